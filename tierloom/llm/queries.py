@@ -5,8 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, lm_scoring, sentencepiece_sampling, simhash
-from .common import read
+from . import chat_format, decontamination, lm_scoring, pii, quality, sentencepiece_sampling, sharding, simhash, toxicity, winnowing
+from .common import bucket_of, read
+
+
+def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and one that holds control strings, formatted; every digest is read back from the formatted text."""
+    table = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = "\\### Assistant: </turn> ok"
+    tricky = spark.range(1).select(F.explode(F.lit([0, 1])).alias("n")).select(F.lit(-7).cast("long").alias("conv_id"), F.col("n").cast("long").alias("turn"), F.when(F.col("n") == 0, "user").otherwise("assistant").alias("role"), F.lit(extra).alias("text"))
+    made = chat_format.formatted(chat_format.canonical_turns(table.union(tricky), F.col("conv_id")))
+    back = made.select("conv_id", F.length("formatted").cast("long").alias("formatted_chars"), chat_format.parsed(F.col("formatted")).alias("turns"), F.array_join(chat_format.masked(F.col("formatted"), F.col("loss")), "").alias("loss_text"))
+    said = F.array_join(F.transform("turns", lambda t: F.concat(t.role, F.lit("\n"), t.text, F.lit("\n"))), "")
+    return back.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(said.cast("binary"), 256).alias("turns_sha256"), F.length("loss_text").cast("long").alias("loss_chars"), F.sha2(F.col("loss_text").cast("binary"), 256).alias("loss_sha256"), "formatted_chars")
 
 
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,6 +34,15 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.shards(read(spark, sf_dir, "documents"), 8)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op4_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnowing.compared(read(spark, sf_dir, "documents"))
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
     ids = F.array_join(F.array_sort(F.transform("items", lambda x: x.cast("string"))), ",")
@@ -33,11 +53,34 @@ def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.scores(read(spark, sf_dir, "documents"), sentencepiece_sampling.default_vocabulary())
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.with_spans(read(spark, sf_dir, "documents"), pii.train(spark), keep=["doc_id"])
+    counts = [F.size(f"_{k}").cast("long").alias(f"n_{k}") for k in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(pii.listed(F.col("_base")).cast("binary"), 256).alias("base_sha256"), pii.listed(F.col("_spans")).alias("spans"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(read(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hex_of(F.col("fp")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op2_sentencepiece, op5_decontamination, op6_lm_scoring, op8_simhash)}
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    model = toxicity.train(docs, read(spark, sf_dir, "labels"))
+    return _judged(toxicity.scored(docs, model), toxicity)
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    model = quality.train(docs, read(spark, sf_dir, "labels"))
+    return _judged(quality.scored(docs, model, keep=["doc_id"]), quality)
+
+
+def _judged(scores: DataFrame, module) -> DataFrame:
+    held = bucket_of(F.col("doc_id"), module.MODULUS) == module.HELD
+    return scores.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= module.THRESHOLD).cast("int").alias("predicted"))
+
+
+QUERIES = {f.__name__: f for f in (op1_chat_format, op2_sentencepiece, op3_sharding, op4_winnowing, op5_decontamination, op6_lm_scoring, op7_pii, op8_simhash, op9_toxicity, op10_quality)}
 
 ORACLES: dict[str, str] = {}
