@@ -189,23 +189,62 @@ class Lattice:
             out += np.bincount(self.piece[e:f], got, size)
         return out
 
-    def sampler(self) -> np.ndarray:
-        """For each edge the cumulative probability up to it among the edges into its node, of 2**31."""
-        counts = np.diff(self.first)
-        total = np.cumsum(np.exp(self.weight))
-        base = np.r_[0.0, total][self.first[:-1]]
-        within = np.rint((total - np.repeat(base, counts)) * (1 << 31)).astype(np.int64)
-        within[self.first[1:][counts > 0] - 1] = 1 << 31
-        return within
-
-    def drawn(self, within: np.ndarray, node: np.ndarray, u: np.ndarray) -> np.ndarray:
-        """The edge into each node that a number u below 2**31 selects."""
-        edge = self.first[node]
-        left = np.flatnonzero(within[edge] <= u)
-        while len(left):
-            edge[left] += 1
-            left = left[within[edge[left]] <= u[left]]
-        return edge
+    def thresholds(self) -> np.ndarray:
+        """For each edge the probability of it and those before it into the same node, of 2**31, summed node by node."""
+        total = np.exp(self.weight)
+        nth = np.arange(len(total)) - np.repeat(self.first[:-1], np.diff(self.first))
+        at, k = np.flatnonzero(nth), 1
+        while len(at):
+            here = at[nth[at] == k]
+            total[here] += total[here - 1]
+            at, k = at[nth[at] > k], k + 1
+        out = np.rint(total * (1 << 31)).astype(np.uint32)
+        out[self.first[1:][np.diff(self.first) > 0] - 1] = 1 << 31
+        return out
+
+
+class Draws:
+    """Compact lattices of many strings, and draws of segmentations from them. More strings can be added."""
+
+    def __init__(self):
+        self.words = None
+        self.end, self.first, self.local = np.zeros(0, np.int32), np.zeros(1, np.int32), np.zeros(0, np.int32)
+        self.source, self.piece, self.within = np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros(0, np.uint32)
+
+    def add(self, words, lattice: Lattice) -> None:
+        """`words`: the strings of the lattice, as an Arrow array."""
+        import pyarrow as pa
+
+        nodes, edges = len(self.local), len(self.source)
+        self.words = words if self.words is None else pa.concat_arrays([self.words, words])
+        joined = lambda old, new: np.concatenate([old, new.astype(old.dtype)])
+        self.end = joined(self.end, lattice.ends() + nodes)
+        self.first = joined(self.first, lattice.first[1:] + edges)
+        self.local = joined(self.local, np.repeat(np.arange(len(lattice.level) - 1), np.diff(lattice.level)))
+        self.source = joined(self.source, lattice.source + nodes)
+        self.piece = joined(self.piece, lattice.piece)
+        self.within = joined(self.within, lattice.thresholds())
+
+    def draw(self, which: np.ndarray, place: np.ndarray, key: np.ndarray, out: np.ndarray) -> None:
+        """Puts a drawn piece (its id plus one) where it begins: string which[i] begins at out[place[i]]; key[i] seeds it."""
+        node = self.end[which]
+        while len(node):
+            with np.errstate(over="ignore"):
+                u = (splitmix(key + self.local[node].astype(np.uint64) * STEP) >> np.uint64(33)).astype(np.uint32)
+            edge = self.first[node]
+            left = np.flatnonzero(self.within[edge] <= u)
+            while len(left):
+                edge[left] += 1
+                left = left[self.within[edge[left]] <= u[left]]
+            node = self.source[edge]
+            at = self.local[node]
+            out[place + at] = self.piece[edge] + 1
+            more = np.flatnonzero(at)
+            node, place, key = node[more], place[more], key[more]
+
+
+#: What a position adds to a row's key.
+STEP = np.uint64(0xA24BAED4963EE407)
 
 
 def splitmix(x: np.ndarray) -> np.ndarray:
@@ -237,11 +276,21 @@ def chunks(data: np.ndarray, doc_starts: np.ndarray) -> np.ndarray:
 
 def distinct(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(index into the distinct strings, their bytes, their starts) of data cut at starts (with the end last)."""
+    which, words = encoded(data, starts)
+    return which, *bytes_of(words)
+
+
+def encoded(data: np.ndarray, starts: np.ndarray):
+    """(index into the distinct strings, the distinct strings as an Arrow array)."""
     import pyarrow as pa
 
     array = pa.Array.from_buffers(pa.binary(), len(starts) - 1, [None, pa.py_buffer(starts.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data))])
-    encoded = array.dictionary_encode()
-    words = encoded.dictionary
-    offsets = np.frombuffer(words.buffers()[1], np.int32)[words.offset : words.offset + len(words) + 1].astype(np.int64)
+    code = array.dictionary_encode()
+    return code.indices.to_numpy(), code.dictionary
+
+
+def bytes_of(words) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes, starts) of an Arrow binary array."""
+    offsets = np.frombuffer(words.buffers()[1], np.int32)[words.offset : words.offset + len(words) + 1].astype(np.int64) if len(words) else np.zeros(1, np.int64)
     body = np.frombuffer(words.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
-    return encoded.indices.to_numpy(), body, offsets - offsets[0]
+    return body, offsets - offsets[0]

@@ -3,7 +3,7 @@
 Each document's segmentation is drawn from the posterior over the whole piece lattice. The random
 numbers are a hash of the row key and the byte position, so a row gets the same pieces whatever
 partition, batch or retry it is in. The sampling thresholds are integers worked out chunk by chunk, so
-neighbouring rows cannot change a draw either (sums of equal probabilities are rounded to 2**-31).
+neighbouring rows cannot change a draw either.
 
 Defined cases: null text gives null ids and decodes to null; empty text gives an empty array; very long
 texts are encoded whole; a null key counts as zero; repeated rows get equal pieces; other columns are
@@ -16,11 +16,14 @@ from collections.abc import Iterator
 
 import numpy as np
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from .common import slices
-from .pieces import Lattice, Table, Vocabulary, chunks, distinct, from_pieces, load_vocabulary, splitmix, to_lattice
+from .pieces import _FROM_LATTICE, STEP, Draws, Lattice, Table, Vocabulary, bytes_of, chunks, encoded, load_vocabulary, splitmix, to_lattice
 
-SLICE = 8 << 20
+SLICE = 4 << 20
+#: Chunks whose lattices a worker keeps.
+KEPT = 200_000
 _tables: dict = {}
 
 
@@ -33,8 +36,13 @@ def table_of(vocabulary: Vocabulary) -> Table:
     return _tables[key]
 
 
-def sample(table: Table, texts: list[bytes], keys: np.ndarray, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
-    """(piece ids of all texts in order, how many each text has)."""
+def sample(table: Table, texts: list[bytes], keys: np.ndarray, seed: int = 0, kept: Draws | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(piece ids of all texts in order, how many each text has).
+
+    `kept` holds lattices of chunks met before; chunks met more than once here are added to it while it has room.
+    """
+    import pyarrow.compute as pc
+
     marked = [to_lattice(t) if t else b"" for t in texts]
     sizes = np.fromiter(map(len, marked), np.int64, len(marked))
     data = np.frombuffer(b"".join(marked), np.uint8)
@@ -42,31 +50,35 @@ def sample(table: Table, texts: list[bytes], keys: np.ndarray, seed: int = 0) ->
     if not len(data):
         return np.zeros(0, np.int32), np.zeros(len(texts), np.int64)
     starts = chunks(data, doc_starts[:-1])
-    which, body, body_starts = distinct(data, np.r_[starts, len(data)])
-    lattice = Lattice(table, body, body_starts)
-    thresholds = lattice.sampler()
-    length = lattice.lengths[which]
-    rank = lattice.rank[which]
-    level_of = np.searchsorted(lattice.level, np.arange(lattice.level[-1]), side="right") - 1
-    doc = np.repeat(np.arange(len(texts)), sizes)[starts]
+    which, words = encoded(data, np.r_[starts, len(data)])
+    doc = np.searchsorted(doc_starts, starts, side="right") - 1
     with np.errstate(over="ignore"):
-        key = splitmix(keys.astype(np.int64).view(np.uint64) ^ np.uint64(seed))[doc]
-    inside = starts - doc_starts[doc]  # of the chunk in its document
+        key = splitmix(keys.astype(np.int64).view(np.uint64) ^ np.uint64(seed))[doc] + (starts - doc_starts[doc]).astype(np.uint64) * STEP
+    kept = Draws() if kept is None else kept
+    at = np.full(len(words), -1) if kept.words is None else pc.index_in(words, kept.words).fill_null(-1).to_numpy(zero_copy_only=False)
+    fresh = at < 0
+    often = fresh & (np.bincount(which, minlength=len(words)) > 1)
     out = np.zeros(len(data), np.int32)
-    node = lattice.level[length] + rank
-    place, left = starts, np.arange(len(starts))
-    while len(left):
-        t = level_of[node]
-        with np.errstate(over="ignore"):
-            u = (splitmix(key + (inside + t).astype(np.uint64) * np.uint64(0xA24BAED4963EE407)) >> np.uint64(33)).astype(np.int64)
-        edge = lattice.drawn(thresholds, node, u)
-        node = lattice.source[edge]
-        out[place + level_of[node]] = lattice.piece[edge] + 1
-        more = node >= lattice.n
-        node, place, key, inside, left = node[more], place[more], key[more], inside[more], left[more]
-    at = np.flatnonzero(out)
-    per_doc = np.diff(np.searchsorted(at, doc_starts))
-    return out[at] - 1, per_doc
+    if often.any() and len(kept.end) + often.sum() <= KEPT:
+        at[often] = len(kept.end) + np.arange(often.sum())
+        part = words.filter(pa_mask(often))
+        kept.add(part, Lattice(table, *bytes_of(part)))
+        fresh &= ~often
+    known = np.flatnonzero(~fresh[which])
+    kept.draw(at[which[known]], starts[known], key[known], out)
+    if fresh.any():
+        part, rest = words.filter(pa_mask(fresh)), np.flatnonzero(fresh[which])
+        once = Draws()
+        once.add(part, Lattice(table, *bytes_of(part)))
+        once.draw((np.cumsum(fresh) - 1)[which[rest]], starts[rest], key[rest], out)
+    found = np.flatnonzero(out)
+    return out[found] - 1, np.diff(np.searchsorted(found, doc_starts))
+
+
+def pa_mask(mask: np.ndarray):
+    import pyarrow as pa
+
+    return pa.array(mask)
 
 
 def encode(docs: DataFrame, vocabulary: Vocabulary, key_col: str = "doc_id", text_col: str = "text", out_col: str = "ids", seed: int = 0) -> DataFrame:
@@ -78,7 +90,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, key_col: str = "doc_id", tex
         import pyarrow as pa
         import pyarrow.compute as pc
 
-        table = table_of(shared.value)
+        table, kept = table_of(shared.value), Draws()
         for batch in batches:
             column = batch.column(batch.schema.get_field_index(text_col))
             sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
@@ -86,7 +98,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, key_col: str = "doc_id", tex
             for a, b in slices(sizes, SLICE):
                 part = batch.slice(a, b - a)
                 values = column.slice(a, b - a).cast(pa.binary()).to_pylist()
-                ids, per_doc = sample(table, [v or b"" for v in values], keys[a:b], seed)
+                ids, per_doc = sample(table, [v or b"" for v in values], keys[a:b], seed, kept)
                 offsets = pa.array(np.r_[0, np.cumsum(per_doc)].astype(np.int32), mask=np.r_[[v is None for v in values], False])
                 arrays = [*part.columns, pa.ListArray.from_arrays(offsets, pa.array(ids, pa.int32()))]
                 yield pa.RecordBatch.from_arrays(arrays, [*batch.schema.names, out_col])
@@ -96,25 +108,10 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, key_col: str = "doc_id", tex
 
 
 def decode(encoded: DataFrame, vocabulary: Vocabulary, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
-    """`encoded` with the text of `ids_col`."""
-    shared = encoded.sparkSession.sparkContext.broadcast(vocabulary)  # a vocabulary file's size
-    encoded = encoded.drop(out_col)
-
-    def run(batches) -> Iterator:
-        import pyarrow as pa
-        import pyarrow.compute as pc
-
-        pieces = shared.value.pieces
-        for batch in batches:
-            column = batch.column(batch.schema.get_field_index(ids_col))
-            sizes = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
-            for a, b in slices(sizes, SLICE // 8):
-                rows = column.slice(a, b - a)
-                texts = [None if x is None else from_pieces(x, pieces) for x in rows.to_pylist()]
-                yield pa.RecordBatch.from_arrays([*batch.slice(a, b - a).columns, pa.array(texts, pa.binary()).cast(pa.string())], [*batch.schema.names, out_col])
-
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema.fields)
-    return encoded.mapInArrow(run, f"{schema}, `{out_col}` string")
+    """`encoded` with the text of `ids_col`: the pieces' bytes in hexadecimal, joined, without the space in front. Column expressions only."""
+    pieces = F.lit(["" if p is None else p.translate(_FROM_LATTICE).hex() for p in vocabulary.pieces])  # a vocabulary file's size
+    whole = F.array_join(F.transform(ids_col, lambda i: F.get(pieces, i)), "")
+    return encoded.withColumn(out_col, F.decode(F.unhex(F.substring(whole, F.lit(3), F.length(whole))), "UTF-8"))
 
 
 def default_vocabulary() -> Vocabulary:
