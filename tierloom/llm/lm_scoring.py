@@ -25,6 +25,7 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,8 +33,8 @@ from .common import bucket_of, checkpointed, slices, texts_of
 from .pieces import SPACE, Lattice, Vocabulary, distinct
 from .sentencepiece_sampling import table_of
 
-#: Most frequent tokens that every worker holds.
-HEAD = 200_000
+#: Most frequent tokens that every worker holds, at most.
+HEAD = 150_000
 SLICE = 8 << 20
 #: White space of a text: separates tokens.
 _WHITE = np.zeros(256, bool)
@@ -73,7 +74,7 @@ def marked(body: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray
 def log_z(vocabulary: Vocabulary, body: np.ndarray, starts: np.ndarray, logp: np.ndarray) -> np.ndarray:
     """Natural log of Z for each token, a slice at a time."""
     out = np.empty(len(starts) - 1)
-    for a, b in slices(np.diff(starts), 1 << 21):
+    for a, b in slices(np.diff(starts), 1 << 19):
         data, at = marked(body[starts[a] : starts[b]], starts[a : b + 1] - starts[a])
         out[a:b] = Lattice(table_of(vocabulary), data, at, logp).log_marginal()
     return out
@@ -107,7 +108,7 @@ def adapted(counts: DataFrame, vocabulary: Vocabulary) -> np.ndarray:
         table, total = table_of(shared.value), np.zeros(size)
         for batch in batches:
             words, n = texts_of(batch.column(0)), batch.column(1).to_numpy().astype(float)
-            for a, b in slices(np.fromiter(map(len, words), np.int64, len(words)), 1 << 21):
+            for a, b in slices(np.fromiter(map(len, words), np.int64, len(words)), 1 << 20):
                 data, at = marked(np.frombuffer(b"".join(words[a:b]), np.uint8), np.r_[0, np.cumsum([len(w) for w in words[a:b]])])
                 total += Lattice(table, data, at).expected(n[a:b], size)
         used = np.flatnonzero(total)
@@ -121,6 +122,18 @@ def adapted(counts: DataFrame, vocabulary: Vocabulary) -> np.ndarray:
         return np.log(total / total.sum())
 
 
+def most_frequent(counts: DataFrame, head: int) -> pd.DataFrame:
+    """At most `head` rows of `counts`: those above the lowest sixteenth of a binary order of magnitude that leaves no more."""
+    bins = F.floor(F.log2("n") * 16).cast("int").alias("bin")
+    kept, least = 0, None
+    for r in sorted(counts.groupBy(bins).agg(F.count("*").alias("tokens")).collect(), reverse=True):  # a thousand bins at most
+        kept += r.tokens
+        if kept > head:
+            break
+        least = r.bin
+    return counts.where(F.lit(False) if least is None else F.floor(F.log2("n") * 16) >= least).toPandas().sort_values("token", ignore_index=True)
+
+
 def scores(docs: DataFrame, vocabulary: Vocabulary, modulus: int = 5, held: int = 1, id_col: str = "doc_id", text_col: str = "text", head: int = HEAD) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every document."""
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).withColumn("held_out", bucket_of(F.col("doc_id"), modulus) == held)
@@ -129,7 +142,7 @@ def scores(docs: DataFrame, vocabulary: Vocabulary, modulus: int = 5, held: int
     n, v, once, ends = (int(x or 0) for x in counts.agg(F.sum("n"), F.count("*"), F.sum(F.when((F.col("n") == 1) & ~is_end, 1)), F.sum(F.when(is_end, F.col("n")))).first())
     m = min(0.999, max(once, 1) / n) if n else 1.0
     logp = adapted(counts, vocabulary)
-    top = counts.orderBy(F.desc("n"), "token").limit(head).toPandas()  # `head` rows at most
+    top = most_frequent(counts, head)
     top = top[top.token != ""]
     words = [w.encode() for w in top.token]
     body, starts = np.frombuffer(b"".join(words), np.uint8), np.r_[0, np.cumsum([len(w) for w in words])].astype(np.int64)
