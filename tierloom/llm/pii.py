@@ -41,7 +41,7 @@ GENERATORS = {
     "email": r"(?i)(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+(?:\s?[\[({]\s?(?:at|@)\s?[\])}]\s?|\sat\s)[A-Za-z0-9-]{1,63}+(?:(?:\s?[\[({]\s?(?:dot|\.)\s?[\])}]\s?|\sdot\s|\.)[A-Za-z0-9-]{1,63}+){1,5}",
     "ip": r"(?i)(?<![0-9A-Za-z.])[0-9]{1,3}(?:\s?(?:[\[({]\s?(?:dot|\.)\s?[\])}]|\sdot)\s?[0-9]{1,3}){3}(?![0-9A-Za-z])",
     "card": r"(?<![0-9A-Za-z.+-])[0-9]{4}(?:[ ._/-]{1,3}[0-9]{2,6}){2,4}(?![0-9A-Za-z])",
-    "phone": r"(?<![0-9A-Za-z.+/-])\(?[0-9]{2,4}\)?(?:[ ./-]{1,2}\(?[0-9]{2,5}\)?){1,5}(?![0-9A-Za-z])",
+    "phone": r"(?<![0-9A-Za-z.+/-])(?:\+[0-9]{1,3}[ .-]?)?\(?[0-9]{2,4}\)?(?:[ ./-]{1,2}\(?[0-9]{2,5}\)?){1,5}(?!\.?[0-9A-Za-z])",
 }
 GENERATOR_HINT = {"email": r"(?i)[\[({]\s?(?:at|@)\s?[\])}]|\sat\s\S+\sdot\s", "ip": r"(?i)[0-9]\s?(?:[\[({]\s?(?:dot|\.)\s?[\])}]|\sdot)\s?[0-9]", "card": r"[0-9]{4}[ ._/-]{1,3}[0-9]{2}", "phone": r"[0-9]\)?[ ./-]{1,2}\(?[0-9]"}
 #: Words before a candidate, by what they speak for.
@@ -140,7 +140,7 @@ def features(c: Column) -> list[Column]:
         F.length(digits).cast("double"), F.length(m).cast("double"), F.size(F.split(m, "[^0-9]+")).cast("double"),
         *[count(ch) for ch in ".- /("],
         one(luhn(F.substring(digits, 1, 20))), one(m.rlike(r"(?:^|[^0-9])[0-9]{5}")), one(m.rlike(r"^[0-9]{4}(?:[^0-9]+[0-9]{4}){3}$")), one(m.rlike(r"^\(?[0-9]{3}\)?[^0-9]+[0-9]{3}[^0-9]+[0-9]{4}$")),
-        one(m.rlike(r"^(?:19|20)[0-9]{2}[-/.][0-9]{2}[-/.]")), one(m.rlike(r"(?i)\b(?:com|org|net|edu|gov|info|io|de|fr|es|uk)$")), one(m.rlike(r"[\[({]")),
+        one(m.rlike(r"^(?:19|20)[0-9]{2}[-/.][0-9]{2}[-/.]")), one(m.rlike(r"(?i)\b(?:com|org|net|edu|gov|info|io|de|fr|es|uk)$")), one(m.rlike(r"[\[({]")), one(m.startswith("+")),
         *[one(c.before.rlike(p)) for p in CONTEXT.values()],
         one(c.before.rlike(r"[A-Za-z0-9_]$")), one(c.after.rlike(r"^[A-Za-z0-9_%]")),
     ]
@@ -167,6 +167,7 @@ def examples(n: int = 1500, seed: int = 11) -> list[tuple[str, int]]:
         lambda: rng.choice(["server ip ", "host ", "login from ", "client address "]) + rng.choice(["[.]", "(.)", " dot ", "[dot]"]).join(octets()),
         lambda: rng.choice(["card ", "visa no ", "credit card: ", "pay with ", ""]) + card(),
         lambda: rng.choice(["tel ", "phone: ", "call me on ", "fax ", "mobile ", "dial ", "whatsapp "]) + rng.choice([phone, local])(),
+        lambda: rng.choice(["", "", "tel "]) + f"+{rng.randrange(1, 99)} " + phone() + rng.choice(["", " " + ".".join(octets())]),
     ]
     bad = [
         lambda: rng.choice(["order ", "invoice ", "isbn ", "ref ", "serial ", "sku ", "part ", "ticket ", "version ", "page "]) + rng.choice([phone, local])(),
