@@ -215,6 +215,7 @@ def test_trees_add_spans_and_leave_decoys(spark):
         "contact jo.doe (at) example (dot) com now": [("email", "jo.doe (at) example (dot) com")],
         "please call me on 415-555-2671 today": [("phone", "415-555-2671")],
         "login from 10[.]0[.]0[.]7 seen": [("ip", "10[.]0[.]0[.]7")],
+        "le +1 (826) 555-4081 190.137.223.204 du": [("phone", "+1 (826) 555-4081"), ("ip", "190.137.223.204")],  # the base pattern swallows both and drops them
         "order 415-555-2671 was sent": [],
         "the date is 2021-03-04 and page 12 34 56": [],
         "plain words without anything at all. next": [],

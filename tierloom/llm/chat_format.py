@@ -19,7 +19,7 @@ row (its digest needs the whole text in order); other columns count only if they
 from __future__ import annotations
 
 import itertools
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -41,7 +41,7 @@ class Layout:
 
     Either the row is one turn (`turn`: paths of position, role and text), or it holds an array of turns
     (`each`: the array and its role and text fields), or named fields are turns (`fields`: role and path in order;
-    several paths under one role are joined by a blank line).
+    several paths under one role are joined by a blank line). `before` are fields that come first.
     """
 
     name: str
@@ -50,7 +50,7 @@ class Layout:
     turn: tuple[str, str, str] | None = None
     each: tuple[str, str, str] | None = None
     fields: tuple[tuple[str, tuple[str, ...]], ...] = ()
-    before: tuple[tuple[str, tuple[str, ...]], ...] = field(default=())
+    before: tuple[tuple[str, tuple[str, ...]], ...] = ()
 
     @property
     def paths(self) -> tuple[str, ...]:
@@ -122,7 +122,7 @@ def _turns(layout: Layout) -> Column:
     one = lambda turn, role, text: F.struct(turn.cast("long").alias("turn"), role.cast("string").alias("role"), F.coalesce(text.cast("string"), F.lit("")).alias("text"))
     if layout.turn:
         turn, role, text = map(F.col, layout.turn)
-        return F.array(one(turn, _role(role), text))
+        return F.array(one(turn, F.coalesce(role.cast("string"), F.lit("")), text))  # roles as they are
     named = [F.when(F.coalesce(*[F.col(p) for p in paths]).isNotNull(), one(F.lit(k), F.lit(role), F.concat_ws("\n\n", *[F.when(F.col(p) != "", F.col(p)) for p in paths]))) for k, (role, paths) in enumerate(layout.fields)]
     if layout.fields:
         return F.array_compact(F.array(*named))
@@ -134,8 +134,6 @@ def _turns(layout: Layout) -> Column:
 def canonical_turns(df: DataFrame, conversation: Column, layouts: tuple[Layout, ...] = LAYOUTS) -> DataFrame:
     """(conv_id, turn, role, text) of all rows that a mapping fits."""
     known = _known(df, layouts)
-    absent = [layout for layout in layouts if layout not in [k for k, _ in known]]
-    del absent
     turns, have = F.lit(None).cast("array<struct<turn:bigint,role:string,text:string>>"), set(paths_of(df.schema))
     for k, (layout, _) in enumerate(known):
         lean = Layout(layout.name, layout.required, tuple(p for p in layout.optional if p in have), layout.turn, layout.each, _present(layout.fields, have), _present(layout.before, have))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -14,18 +15,27 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 SLICE_BYTES = 4 << 20
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """`df` computed once and kept in the shared checkpoint folder, so lost executors cost no recomputation.
-
-    The folder is the session's `spark.checkpoint.dir`; only where that is unset is one made, for tests.
-    """
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The session's `spark.checkpoint.dir`; only where that is unset is a folder made, for tests."""
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
         sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints-"))
+    return sc._jsc.sc().getCheckpointDir().get()
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """`df` computed once and kept in the shared checkpoint folder, so lost executors cost no recomputation. For narrow frames."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """`df` written to the shared folder as Parquet and read again: for wide frames, which a checkpoint would keep uncompressed."""
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """`body(value)` with `value` evaluated once, however often `body` mentions it."""
     return F.element_at(F.transform(F.array(value), body), 1)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import chat_format, decontamination, lm_scoring, pii, quality, sentencepiece_sampling, sharding, simhash, toxicity, winnowing
-from .common import bucket_of, read
+from .common import UPPER, bucket_of, read
 
 
 def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,4 +83,29 @@ def _judged(scores: DataFrame, module) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_chat_format, op2_sentencepiece, op3_sharding, op4_winnowing, op5_decontamination, op6_lm_scoring, op7_pii, op8_simhash, op9_toxicity, op10_quality)}
 
-ORACLES: dict[str, str] = {}
+_TRICKY = "\\### Assistant: </turn> ok"
+_FOLDED = f"translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}')"
+_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+ORACLES = {
+    "op1_chat_format": rf"""
+with c as (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all values (-7, 0, 'user', '{_TRICKY}'), (-7, 1, 'assistant', '{_TRICKY}')),
+e as (select *, replace(replace(replace(text, '\', '\0'), '###', '\1'), '</turn>', '\2') as body, replace(replace(replace(replace(role, '\', '\0'), '###', '\1'), '</turn>', '\2'), ': ', '\3') as head from c),
+g as (select conv_id, count(*) as n_turns, string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text) as said,
+  coalesce(string_agg(text, '' order by turn, role, text) filter (role = 'assistant'), '') as loss, sum(len(head) + len(body) + 14) as chars from e group by conv_id)
+select cast(conv_id as bigint) as conv_id, n_turns, sha256(said) as turns_sha256, len(loss) as loss_chars, sha256(loss) as loss_sha256, cast(chars as bigint) as formatted_chars from g""",
+    "op5_decontamination": rf"""
+with d as (select doc_id, regexp_extract_all({_FOLDED}, '{_WORD}') as w from documents),
+i as (select item_id, regexp_extract_all({_FOLDED}, '{_WORD}') as w from benchmark where item_id is not null),
+iw as (select item_id, w, least(10, len(w)) as n, unnest(range(1, len(w) - least(10, len(w)) + 2)) as p from i where len(w) > 0),
+ik as (select distinct item_id, n, array_to_string(w[p:p + n - 1], ' ') as k from iw),
+dw as (select doc_id, unnest(w) as word, unnest(range(1, len(w) + 1)) as p from d),
+k10 as (select doc_id, p, 10 as n, string_agg(word, ' ') over f as k, count(*) over f as m from dw window f as (partition by doc_id order by p rows between current row and 9 following)),
+short as (select dw.doc_id, dw.p, s.n, array_to_string(d.w[dw.p:dw.p + s.n - 1], ' ') as k, s.n as m from dw join d using (doc_id), (select distinct n from ik where n < 10) s where dw.p + s.n - 1 <= len(d.w)),
+met as (select a.doc_id, a.p, a.n, ik.item_id from (select * from k10 where m = n union all select * from short) a join ik on ik.n = a.n and ik.k = a.k),
+hit as (select doc_id, count(distinct q) as n_hit from (select doc_id, unnest(range(p, p + n)) as q from met) group by all),
+it as (select doc_id, count(*) as n_items, string_agg(x, ',' order by x) as ids from (select distinct doc_id, cast(item_id as varchar) as x from met) group by all)
+select d.doc_id, len(d.w) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items, sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from d left join hit using (doc_id) left join it using (doc_id)""",
+}

@@ -19,15 +19,17 @@ shards leave shards empty; other columns are ignored.
 
 from __future__ import annotations
 
+from collections import Counter, defaultdict
+
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import checkpointed, let
+from .common import checkpointed
 
-#: Ranges to aim at, whatever the number of shards; each is sorted by one task.
-RANGES = 192
+#: Ranges to aim at, at least, at most, and by size; each is sorted by one task.
+RANGES, MOST_RANGES, RANGE_BYTES = 192, 16_384, 128 << 20
 #: Sampled keys by range.
 SAMPLE = 32
 #: A range is overfull beyond this multiple of its fair share.
@@ -69,7 +71,7 @@ def _chosen(sample: list[tuple[int, int, float]], n: int) -> list[tuple[int, int
     sample = sorted(sample)
     total = np.cumsum([w for *_, w in sample])
     picks = [sample[int(np.searchsorted(total, total[-1] * k / n))][:2] for k in range(1, n)]
-    often = {h: sum(1 for p in picks if p[0] == h) for h, _ in picks}
+    often = Counter(h for h, _ in picks)
     starts = {(h, _LEAST) for h, _ in picks}
     return sorted(starts | {p for p in picks if often[p[0]] > 1})
 
@@ -84,6 +86,7 @@ def splitters(keys: DataFrame, ranges: int = RANGES, sample: int = SAMPLE) -> tu
     total, rows = keys.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count("*")).first()
     if not rows:
         return [], []
+    ranges = min(max(ranges, int(total // RANGE_BYTES)), max(ranges, MOST_RANGES))
     want = ranges * sample
     drawn = _drawn(keys, F.col("size") * (want / total), 1).select("h", "i", F.greatest(F.col("size").cast("double"), F.lit(total / want)).alias("w"))
     cuts = _chosen([tuple(r) for r in drawn.collect()], ranges)  # about `want` keys at most
@@ -96,16 +99,17 @@ def splitters(keys: DataFrame, ranges: int = RANGES, sample: int = SAMPLE) -> tu
         # in an overfull range, draw by its own measure
         parts = {r: int(max(2 * b / fair_b, 2 * n / fair_n, 2)) for r, (b, n) in full.items()}
         by_bytes = {r: b / fair_b >= n / fair_n for r, (b, n) in full.items()}
-        rate = F.lit(0.0)
         r = range_of(F.col("h"), F.col("i"), cuts)
         table = F.create_map(*[F.lit(x) for r_, p in parts.items() for x in (r_, p * sample / (full[r_][0] if by_bytes[r_] else full[r_][1]))])
         sized = F.create_map(*[F.lit(x) for r_ in parts for x in (r_, by_bytes[r_])])
         inside = keys.withColumn("r", r).where(F.col("r").isin(list(full)))
         rate = table[F.col("r")] * F.when(sized[F.col("r")], F.col("size")).otherwise(1)
-        more = _drawn(inside, rate, 2 + attempt).select("r", "h", "i", F.when(sized[F.col("r")], F.col("size")).otherwise(1).cast("double").alias("w")).collect()  # `sample` keys for each part
-        new = set(cuts)
-        for r_ in full:
-            new |= set(_chosen([(x.h, x.i, 1.0) for x in more if x.r == r_], parts[r_]))
+        more = _drawn(inside, rate, 2 + attempt).select("r", "h", "i").collect()  # `sample` keys for each part
+        new, own = set(cuts), defaultdict(list)
+        for x in more:
+            own[x.r].append((x.h, x.i, 1.0))
+        for r_, found in own.items():
+            new |= set(_chosen(found, parts[r_]))
         if len(new) == len(cuts):
             break
         cuts = sorted(new)
@@ -140,21 +144,3 @@ def shards(docs: DataFrame, n_shards: int, id_col: str = "doc_id", text_col: str
     first = {r.shard: r.at for r in placed.groupBy("shard").agg(F.min("at").alias("at")).collect()}  # a row a shard
     start = F.get(F.lit([int(first.get(s, 0)) for s in range(n_shards)]), F.col("shard"))
     return placed.select("doc_id", "size", "text_crc32", "shard", (F.col("at") - start).cast("long").alias("slot"))
-
-
-#: What `shards` returns, as SQL: the order, the groups and the line of bytes.
-SQL = f"""
-with k as (
-  select doc_id, coalesce(strlen(text), 0) + 1 as size, coalesce(text, '') as t,
-         cast(concat('0x', substr(md5(coalesce(text, '')), 1, 15)) as bigint) as h from documents
-), g as (
-  select *, sum(size) over (order by h, doc_id nulls first rows unbounded preceding) as c, sum(size) over () as total,
-         sum(size) over (partition by h) as own, row_number() over (order by h, doc_id nulls first) - 1 as at from k
-), m as (
-  select *, case when own > {GROUP} * total / 8 then 2 * c - size
-            else 2 * min(c - size) over (partition by h) + own end as middle from g
-), s as (
-  select *, least(cast(floor(cast(middle as double) * 8 / cast(2 * total as double)) as int), 7) as shard from m
-)
-select doc_id, cast(size as bigint) as size, shard, cast(at - min(at) over (partition by shard) as bigint) as slot from s
-"""
