@@ -1,4 +1,8 @@
-"""A corpus pipeline over the operators of `tierloom.llm`; each stage reads what the one before it wrote."""
+"""A corpus pipeline over the operators of `tierloom.llm`; each stage reads what the one before it wrote.
+
+Every stage takes (spark, docs, sf_dir), with docs in the columns of `documents` (others are carried along), and judges
+all of them. All but the last return documents.
+"""
 
 from __future__ import annotations
 
@@ -6,8 +10,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tierloom.llm import decontamination, sentencepiece_sampling, simhash
-from tierloom.llm.common import read
+from tierloom.llm import decontamination, pii, quality, sentencepiece_sampling, simhash
+from tierloom.llm.common import read, stored
+
+
+def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier accepts, learnt from the labelled ones among them."""
+    model = quality.train(docs, read(spark, sf_dir, "labels"))
+    return quality.scored(docs, model, out_col="_score").where(F.col("_score") >= quality.THRESHOLD).select(docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,6 +32,12 @@ def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return decontamination.contaminated(docs, read(spark, sf_dir, "benchmark"), carry=docs.columns).where("n_hit = 0").select(docs.columns)
 
 
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, personal data replaced by its kind; n_chars counts the new text."""
+    clean = pii.redacted(docs, pii.train(spark))
+    return clean.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), F.col("n_chars")))
+
+
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sampled piece ids, and whether they decode to the text again."""
     vocabulary = sentencepiece_sampling.default_vocabulary()
@@ -29,13 +45,14 @@ def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return coded.select("doc_id", F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"), "ids", F.col("decoded").eqNullSafe(F.col("text")).alias("lossless"))
 
 
-STAGES = [("near_duplicates", near_duplicates), ("benchmark", benchmark), ("pieces", pieces)]
+STAGES = [("quality_filter", quality_filter), ("near_duplicates", near_duplicates), ("benchmark", benchmark), ("personal_data", personal_data), ("pieces", pieces)]
 
 ORACLE_SQL = None  # no SQL for SimHash classes, trained models or sampled pieces
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over `documents`; each result but the last is kept as Parquet in the shared checkpoint folder."""
     docs = read(spark, sf_dir, "documents")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = stored(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)
