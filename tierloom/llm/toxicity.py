@@ -21,13 +21,13 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import labelled_sample, slices, texts_of
+from .common import labelled_sample, slices, stored, texts_of
 from .decontamination import word_ids
 
 SAMPLE = 12_000
 FEATURES = 6_000
 TARGET, MODULUS, HELD = "toxic", 3, 1
-LASSO, SWAP = 3e-4, 0.5
+LASSO, SWAP = 3e-4, 1.0
 CAP = 3
 THRESHOLD = 0.7
 #: Bytes of a word that make a feature; 0 is the whole word.
@@ -131,7 +131,8 @@ def fit(x: tuple, y: np.ndarray, size: int, swaps: np.ndarray, share: np.ndarray
     n = len(y)
     p = min(max(float(y.mean()), 1e-3), 1 - 1e-3)
     w, b = np.zeros(size), float(np.log(p / (1 - p)))
-    spread = np.sqrt(np.bincount(cols, values**2, size) / n) + 1e-3  # scaled, so that one step width suits all
+    # scaled by both parts of the curvature, so that one step width suits all
+    spread = np.sqrt(np.bincount(cols, values**2, size) / n + 8 * SWAP * (share @ swaps**2)) + 1e-3
     v = values / spread[cols]
     d = swaps / spread
     # largest curvature, by the power method
@@ -172,6 +173,7 @@ def calibrated(z: np.ndarray, y: np.ndarray, intercept: float) -> tuple[float, f
 
 def train(docs: DataFrame, labels: DataFrame, most: int = SAMPLE, text_col: str = "text") -> ToxicityModel:
     rows = labelled_sample(docs.select("doc_id", F.col(text_col).cast("string").alias("text")), labels, TARGET, MODULUS, HELD, most, ["text"])
+    rows = stored(rows, "toxicity-sample")  # `most` rows; read several times, while the documents are read once
     pos, neg = rows.agg(F.sum("_y"), F.sum(1 - F.col("_y"))).first()
     pos, neg = int(pos or 0), int(neg or 0)
     if not pos or not neg:
