@@ -41,6 +41,13 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def long_array(values: list[int]) -> Column:
+    """A constant array of longs, as one literal however many there are (folded before the query runs)."""
+    if not values:
+        return F.array().cast("array<bigint>")
+    return F.split(F.lit(" ".join(map(str, values))), " ").cast("array<bigint>")
+
+
 def text_of(name: str = "text") -> Column:
     """The text, null as empty."""
     return F.coalesce(F.col(name).cast("string"), F.lit(""))

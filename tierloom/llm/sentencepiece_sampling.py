@@ -55,7 +55,7 @@ def sample(table: Table, texts: list[bytes], keys: np.ndarray, seed: int = 0, ke
     with np.errstate(over="ignore"):
         key = splitmix(keys.astype(np.int64).view(np.uint64) ^ np.uint64(seed))[doc] + (starts - doc_starts[doc]).astype(np.uint64) * STEP
     kept = Draws() if kept is None else kept
-    at = np.full(len(words), -1) if kept.words is None else pc.index_in(words, kept.words).fill_null(-1).to_numpy(zero_copy_only=False)
+    at = np.full(len(words), -1) if kept.words is None else np.array(pc.index_in(words, kept.words).fill_null(-1))
     fresh = at < 0
     often = fresh & (np.bincount(which, minlength=len(words)) > 1)
     out = np.zeros(len(data), np.int32)
@@ -109,7 +109,8 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, key_col: str = "doc_id", tex
 
 def decode(encoded: DataFrame, vocabulary: Vocabulary, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
     """`encoded` with the text of `ids_col`: the pieces' bytes in hexadecimal, joined, without the space in front. Column expressions only."""
-    pieces = F.lit(["" if p is None else p.translate(_FROM_LATTICE).hex() for p in vocabulary.pieces])  # a vocabulary file's size
+    # one literal of a vocabulary file's size, split once before the query runs
+    pieces = F.split(F.lit(" ".join("" if p is None else p.translate(_FROM_LATTICE).hex() for p in vocabulary.pieces)), " ")
     whole = F.array_join(F.transform(ids_col, lambda i: F.get(pieces, i)), "")
     return encoded.withColumn(out_col, F.decode(F.unhex(F.substring(whole, F.lit(3), F.length(whole))), "UTF-8"))
 
