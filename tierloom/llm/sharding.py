@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import checkpointed
+from .common import checkpointed, long_array
 
 #: Ranges to aim at, at least, at most, and by size; each is sorted by one task.
 RANGES, MOST_RANGES, RANGE_BYTES = 192, 16_384, 128 << 20
@@ -54,7 +54,7 @@ def range_of(h: Column, i: Column, splitters: list[tuple[int, int]]) -> Column:
     while size <= len(splitters):
         size *= 2
     top = [(1 << 63) - 1] * (size - 1 - len(splitters))
-    hs, ids = F.lit([*[a for a, _ in splitters], *top]), F.lit([*[b for _, b in splitters], *top])
+    hs, ids = long_array([*[a for a, _ in splitters], *top]), long_array([*[b for _, b in splitters], *top])
     steps = F.lit([size >> k for k in range(1, size.bit_length())])
 
     def above(at: Column) -> Column:
@@ -130,7 +130,7 @@ def shards(docs: DataFrame, n_shards: int, id_col: str = "doc_id", text_col: str
     heavy = [r.h for r in keys.groupBy("h").agg(F.sum("size").alias("b")).where(F.col("b") > GROUP * total / n_shards).select("h").collect()]
     before_b = dict(zip([r for r, *_ in held], np.cumsum([0, *[b for _, b, _ in held]]).tolist()))
     before_n = dict(zip([r for r, *_ in held], np.cumsum([0, *[n for *_, n in held]]).tolist()))
-    lookup = lambda d: F.get(F.lit([int(d.get(r, 0)) for r in range(len(cuts) + 1)]), F.col("r"))
+    lookup = lambda d: F.get(long_array([int(d.get(r, 0)) for r in range(len(cuts) + 1)]), F.col("r"))
     ranged = keys.withColumn("r", range_of(F.col("h"), F.col("i"), cuts))
     inside = Window.partitionBy("r").orderBy("h", "i")
     same = Window.partitionBy("r", "h")
@@ -142,5 +142,5 @@ def shards(docs: DataFrame, n_shards: int, id_col: str = "doc_id", text_col: str
     shard = F.least(F.floor(line * n_shards / F.lit(2 * total)), F.lit(n_shards - 1)).cast("int")
     placed = checkpointed(placed.select("doc_id", "size", "text_crc32", shard.alias("shard"), (lookup(before_n) + F.col("n") - 1).alias("at")))
     first = {r.shard: r.at for r in placed.groupBy("shard").agg(F.min("at").alias("at")).collect()}  # a row a shard
-    start = F.get(F.lit([int(first.get(s, 0)) for s in range(n_shards)]), F.col("shard"))
+    start = F.get(long_array([int(first.get(s, 0)) for s in range(n_shards)]), F.col("shard"))
     return placed.select("doc_id", "size", "text_crc32", "shard", (F.col("at") - start).cast("long").alias("slot"))

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import checkpointed, let, text_of
+from .common import checkpointed, let, long_array, text_of
 from .sharding import _LEAST, range_of, splitters
 
 GRAM = 3
@@ -103,8 +103,8 @@ def ranged(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     # a range's first key, if this row has it: where the copy goes
     table = {x.r: x.k for x in firsts}
     size = len(cuts) + 1
-    first_h, first_i = F.lit([table[k].h if k in table else 0 for k in range(size)]), F.lit([table[k].i if k in table else 0 for k in range(size)])
-    target = F.lit([before[table[k].h, table[k].i] if k in table else -1 for k in range(size)])
+    first_h, first_i = long_array([table[k].h if k in table else 0 for k in range(size)]), long_array([table[k].i if k in table else 0 for k in range(size)])
+    target = long_array([before[table[k].h, table[k].i] if k in table else -1 for k in range(size)]).cast("array<int>")
     is_first = (F.col("_i") == F.get(first_h, F.col("_r"))) & (F.col("_h") == F.get(first_i, F.col("_r")))
     copies = F.when(is_first, F.array(F.struct(F.col("_r").alias("r"), F.lit(False).alias("g")), F.struct(F.get(target, F.col("_r")).alias("r"), F.lit(True).alias("g")))).otherwise(F.array(F.struct(F.col("_r").alias("r"), F.lit(False).alias("g"))))
     spread = own.withColumn("_x", F.explode(copies))
