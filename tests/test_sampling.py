@@ -96,7 +96,7 @@ def test_plans_and_bounds():
     assert metrics.plan_sizes(178_544, 8)["n_gold"] == 4107 and metrics.plan_sizes(223_180, 10)["n_gold"] == 5134
     assert metrics.test_sizes(4107, 8) == {"m_positive": 385, "n_test": 1284, "n_dev": 822, "n_train": 2001}
     assert abs(metrics.upper_bound(0, 100) - (1 - 0.05 ** (1 / 100))) < 1e-9
-    assert metrics.upper_bound(5, 5) == 1.0 and 0.01 < metrics.upper_bound(10, 2000) < 0.0095 * 1.1
+    assert metrics.upper_bound(5, 5) == 1.0 and 0.0075 < metrics.upper_bound(10, 2000) < 0.0095
 
 
 def test_measures(spark):

@@ -137,5 +137,45 @@ def test_one_runner_at_a_time(spark, tmp_path):
         pass
 
 
+def test_failed_tasks_wait_while_others_go_on(spark, tmp_path):
+    made = spark.createDataFrame([("d", i, f"p{i}", "S", "S", 1.0, 1.0, json.dumps({"title": str(i), "abstract": "", "claim": "", "ipc": "", "main_ipc": ""}), f"t{i}") for i in range(2)], "dataset_id string, source_row_number int, patent_id string, keyword_level string, selection_group string, selection_probability double, sample_weight double, payload_json string, task_id string")
+    made.write.parquet(f"{tmp_path}/tasks")
+    log = TaskLog(spark, str(tmp_path), max_attempts=2)
+
+    def first_fails(p):
+        if p["title"] == "0":
+            raise TimeoutError("later")
+        return answer(p)
+
+    log.run(first_fails, batch=1, retry_delay=1.5)
+    done = [(r.task_id, r.attempt) for r in log.attempts.orderBy("finished_at").collect()]
+    assert done == [("t0", 1), ("t1", 1), ("t0", 2)]
+    log.run(first_fails, stop=lambda: True)
+    assert log.attempts.count() == 3
+
+
+def test_state_files_of_other_tools(spark, tmp_path):
+    import sqlite3
+
+    from tierloom.sources import state_files
+
+    for year in (2020, 2021):
+        db = sqlite3.connect(tmp_path / f"classification_state_{year}.sqlite3")
+        db.execute("create table tasks (task_id text, dataset_id text, patent_id text, source_row_number integer, keyword_level text, status text, attempts integer, elapsed_seconds real)")
+        db.executemany("insert into tasks values (?, ?, ?, ?, 'S', 'succeeded', 1, 0.5)", [(f"t{year}{i}", str(year), f"P{i}", i) for i in range(3)])
+        db.commit()
+        db.close()
+    files = state_files.discover_state_files(tmp_path)
+    assert [p.name[-12:-8] for p in files] == ["2020", "2021"]
+    got = state_files.read_state_files(spark, files)
+    assert got.count() == 6 and len(got.columns) == 22 and got.first().raw_response is None
+    assert {r.tasks for r in state_files.manifest(spark, files).collect()} == {3}
+    (tmp_path / "classification_state_x.sqlite3").write_bytes(b"not a database" * 100)
+    with pytest.raises(Exception, match="(?i)database"):
+        state_files.read_state_files(spark, [tmp_path / "classification_state_x.sqlite3"]).count()
+    with pytest.raises(FileNotFoundError):
+        state_files.read_state_files(spark, [tmp_path / "none.sqlite3"])
+
+
 def test_attempt_columns_are_stable():
     assert len(ATTEMPTS.split(", ")) == 13

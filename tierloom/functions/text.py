@@ -5,6 +5,7 @@ from __future__ import annotations
 import unicodedata
 from collections.abc import Iterator
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -22,8 +23,6 @@ def normalized(value: str | None) -> str:
 
 def normalize_text(column: Column) -> Column:
     """`normalized` as an Arrow UDF: Spark has neither NFKC nor case folding."""
-    import pandas as pd
-
     @F.pandas_udf("string")
     def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for part in parts:
@@ -82,8 +81,6 @@ def spans_overlap(start: Column, end: Column, other_start: Column, other_end: Co
 
 def text_hash(*fields: Column) -> Column:
     """SHA-256 of the fields, each NFKC-normalised with white space collapsed, joined by newlines."""
-    import pandas as pd
-
     @F.pandas_udf("string")
     def flat(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for part in parts:
@@ -94,8 +91,6 @@ def text_hash(*fields: Column) -> Column:
 
 def format_float(column: Column) -> Column:
     """Twelve significant digits without trailing zeros, as C's %.12g prints them."""
-    import pandas as pd
-
     @F.pandas_udf("string")
     def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for part in parts:
@@ -108,8 +103,6 @@ def blake2b(column: Column, size: int) -> Column:
     """BLAKE2b of a string, in hexadecimal: not among Spark's hashes."""
     import hashlib
 
-    import pandas as pd
-
     @F.pandas_udf("string")
     def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for part in parts:

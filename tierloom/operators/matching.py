@@ -10,6 +10,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable, Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -138,8 +139,6 @@ def _evidence(taxonomy: Taxonomy) -> Evidence:
 
 def evidence(fields: dict[str, Column], taxonomy: Taxonomy) -> Column:
     """Struct of `keyword_hits` and `diagnostic_hits` over several text fields, in their order."""
-    import pandas as pd
-
     names = list(fields)
 
     @F.pandas_udf(f"struct<keyword_hits:array<{KEYWORD_HIT}>,diagnostic_hits:array<{DIAGNOSTIC_HIT}>>")
@@ -187,8 +186,8 @@ def scope(text: Column, start: Column, end: Column, window: int) -> Column:
     marks = f"[{BOUNDARIES}]"
     before = F.substring(text, F.lit(1), start)
     after = F.substring(text, end + 1, F.length(text))
-    left = F.length(F.regexp_replace(before, f"(?s)[^{BOUNDARIES}]*$", ""))  # one past the last mark
-    right = end + F.length(F.regexp_extract(after, f"(?s)^([^{BOUNDARIES}]*)", 1))
+    left = F.length(F.regexp_replace(before, f"[^{BOUNDARIES}]*\\z", ""))  # one past the last mark
+    right = end + F.length(F.regexp_extract(after, f"^([^{BOUNDARIES}]*)", 1))
     sentence = (left > 0) | after.rlike(marks)
     return F.struct(F.when(sentence, left).otherwise(F.greatest(start - window, F.lit(0))).alias("start"), F.when(sentence, right).otherwise(F.least(F.length(text), end + window)).alias("end"), F.when(sentence, "sentence").otherwise("window").alias("mode"))
 

@@ -4,6 +4,11 @@ from __future__ import annotations
 
 import argparse
 import importlib
+import os
+import signal
+import subprocess
+import sys
+import threading
 import time
 from pathlib import Path
 
@@ -112,7 +117,7 @@ def main(argv: list[str] | None = None) -> None:
     one.add_argument("--limit", type=int)
     one.add_argument("--overwrite", action="store_true")
     two = sub.add_parser("step2", help="prepare, run or show classification tasks")
-    two.add_argument("action", choices=["prepare", "run", "stream", "status", "export"])
+    two.add_argument("action", choices=["prepare", "run", "stream", "start", "stop", "status", "export"])
     two.add_argument("--input", nargs="*", default=[])
     two.add_argument("--step1")
     two.add_argument("--rate", type=float, default=tasks.RATE)
@@ -123,6 +128,7 @@ def main(argv: list[str] | None = None) -> None:
     two.add_argument("--concurrency", type=int, default=1)
     two.add_argument("--max-attempts", type=int, default=3)
     two.add_argument("--dataset", nargs="*", default=[])
+    two.add_argument("--retry-delay", type=float, default=2.0)
     three = sub.add_parser("step3", help="draw the sample and write the sheets")
     three.add_argument("--tasks", nargs="+", required=True)
     three.add_argument("--target", type=int, default=2000)
@@ -133,6 +139,16 @@ def main(argv: list[str] | None = None) -> None:
         p.add_argument("--out", required=True)
         p.add_argument("--master")
     a = parser.parse_args(argv)
+    if a.command == "step2" and a.action == "start":  # a process of its own that runs on
+        given = [x if x != "start" else "run" for x in (sys.argv[1:] if argv is None else argv)]
+        print(subprocess.Popen([sys.executable, "-m", __spec__.name, *given], start_new_session=True).pid)
+        return
+    if a.command == "step2" and a.action == "stop":  # the runner's process id is in its lock file
+        for name in a.dataset:
+            os.kill(int((Path(a.out) / name / "runner.lock").read_text()), signal.SIGTERM)
+        return
+    stopped = threading.Event()
+    signal.signal(signal.SIGTERM, lambda *_: stopped.set())
     spark = session(master=a.master)
     if a.command == "step1":
         taxonomy = load_taxonomy(a.taxonomy)
@@ -150,8 +166,11 @@ def main(argv: list[str] | None = None) -> None:
                 step2_export(log, f"{a.out}/results_{name}.csv")
             else:
                 module, _, function = a.classifier.partition(":")
-                run = getattr(log, "run" if a.action == "run" else "stream")
-                run(getattr(importlib.import_module(module), function), a.model, a.concurrency)
+                classifier = getattr(importlib.import_module(module), function)
+                if a.action == "run":
+                    log.run(classifier, a.model, a.concurrency, retry_delay=a.retry_delay, stop=stopped.is_set)
+                else:
+                    log.stream(classifier, a.model, a.concurrency)
     else:
         step3(spark, a.tasks, a.out, sampling.SamplingConfig(a.target, a.core, a.seed), a.rebuild)
 

@@ -60,7 +60,7 @@ def plain_taxonomy() -> Taxonomy:
 
 
 WORDS = "apache license|mit license|license|ention|token|anon"
-TIER = "case when k in ('apache license', 'license') then 3 when k in ('token', 'mit license') then 2 else 1 end"
+TIER = "case when k in ('apache license', 'license') then 3 when k in ('token', 'mit license') then 2 when k is not null then 1 end"
 HITS = f"""{RECORDS}, hits as (
   select doc_id, 'abstract' as field, unnest(list_distinct(regexp_extract_all({NORM('abstract')}, '{WORDS}'))) as k from records
   union all select doc_id, 'claim', unnest(list_distinct(regexp_extract_all({NORM('claim')}, '{WORDS}'))) from records
@@ -222,9 +222,9 @@ def dataset_ids(spark, sf_dir):
     return o.select("o_orderkey", records.dataset_id_column(path).alias("dataset_id"))
 
 
-@query("with f as (select distinct concat('dir', n_regionkey, '/file_', 2000 + n_nationkey % 20, '.csv') as path, cast(2000 + n_nationkey % 20 as varchar) as d from nation) select d as dataset_id, array_to_string(list_sort(list(path)), ';') as paths from f group by d having count(*) > 1")
+@query("with f as (select distinct concat('dir', n_nationkey % 7, '/file_', 2000 + n_nationkey % 20, '.csv') as path, cast(2000 + n_nationkey % 20 as varchar) as d from nation) select d as dataset_id, array_to_string(list_sort(list(path)), ';') as paths from f group by d having count(*) > 1")
 def dataset_collisions(spark, sf_dir):
-    path = F.concat(F.lit("dir"), "n_regionkey", F.lit("/file_"), (2000 + F.col("n_nationkey") % 20).cast("string"), F.lit(".csv"))
+    path = F.concat(F.lit("dir"), (F.col("n_nationkey") % 7).cast("string"), F.lit("/file_"), (2000 + F.col("n_nationkey") % 20).cast("string"), F.lit(".csv"))
     return records.collisions(table(spark, sf_dir, "nation").select(path.alias("path"))).select("dataset_id", F.array_join("paths", ";").alias("paths"))
 
 
@@ -354,10 +354,10 @@ def answers(spark, sf_dir):
     return table(spark, sf_dir, "labels").select("doc_id", raw.alias("raw"))
 
 
-@query(f"""with {ANSWER}, v as (select doc_id, list_filter([case when cast(r->>'confidence' as double) not between 0 and 1 then 'confidence' end,
-  case when not ((cat = 1 and r->>'subtype' = 'data_integrity') or (cat = 2 and r->>'subtype' = 'potential_data_security') or (cat = 3 and r->>'subtype' = 'other')) then 'subtype_for_cat' end,
-  case when cat = 1 and r->'evidence_chain'->>'missing_or_ambiguous_link' <> '' then 'cat1_open_link' end, case when cat = 2 and r->'evidence_chain'->>'missing_or_ambiguous_link' = '' then 'cat2_no_link' end,
-  case when r->>'review_flag' = 'true' and r->>'review_reason' = '' then 'review_without_reason' end], lambda x: x is not null) as broken from j) select doc_id, array_to_string(broken, ';') as violations from v""")
+@query(f"""with {ANSWER}, v as (select doc_id, list_filter([case when cast((r->>'confidence') as double) not between 0 and 1 then 'confidence' end,
+  case when not ((cat = 1 and (r->>'subtype') = 'data_integrity') or (cat = 2 and (r->>'subtype') = 'potential_data_security') or (cat = 3 and (r->>'subtype') = 'other')) then 'subtype_for_cat' end,
+  case when cat = 1 and (r->'evidence_chain'->>'missing_or_ambiguous_link') <> '' then 'cat1_open_link' end, case when cat = 2 and (r->'evidence_chain'->>'missing_or_ambiguous_link') = '' then 'cat2_no_link' end,
+  case when (r->>'review_flag') = 'true' and (r->>'review_reason') = '' then 'review_without_reason' end], lambda x: x is not null) as broken from j) select doc_id, array_to_string(broken, ';') as violations from v""")
 def validate_response(spark, sf_dir):
     return answers(spark, sf_dir).select("doc_id", F.array_join(classify.violations(classify.parsed(F.col("raw")), F.col("raw")), ";").alias("violations"))
 

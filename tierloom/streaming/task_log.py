@@ -9,8 +9,10 @@ from __future__ import annotations
 
 import fcntl
 import os
+import time
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from datetime import UTC, datetime
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -56,21 +58,25 @@ class TaskLog:
     def _attempt(self, ready: DataFrame, classify: Callable, model: str, workers: int) -> None:
         append(run_classifier(ready, classify, model, workers), str(self.folder / "attempts"))
 
-    def run(self, classify: Callable[[dict], dict], model: str = "", workers: int = 1, batch: int = 10_000, stop: Callable[[], bool] = lambda: False) -> None:
-        """Rounds over what is pending until nothing is, or until asked to stop. Every round tries each task once, so a failing task backs off while others go on."""
+    def waiting(self, delay: float) -> DataFrame:
+        """Tasks whose last attempt ended less than `delay` seconds ago."""
+        edge = datetime.fromtimestamp(time.time() - delay, UTC).isoformat()
+        return self.attempts.where(F.col("finished_at") > edge).select("task_id").distinct()
+
+    def run(self, classify: Callable[[dict], dict], model: str = "", workers: int = 1, batch: int = 10_000, retry_delay: float = 0.0, stop: Callable[[], bool] = lambda: False) -> None:
+        """Batches of what is pending, strongest tiers first, until nothing is or `stop` says so. A failed task waits `retry_delay` seconds while others go on."""
         with self.owned():
-            tried = None
             while not stop():
-                ready = claim(self.state(), batch, self.max_attempts, tried)
-                ready = self.spark.createDataFrame(ready.select("task_id", "payload_json", "attempts").collect(), "task_id string, payload_json string, attempts int")  # at most `batch` rows, so that a later read of the log does not change them
-                if ready.isEmpty():
-                    if tried is None:
-                        break
-                    tried = None
-                    continue
-                self._attempt(ready, classify, model, workers)
-                tried = ready.select("task_id") if tried is None else tried.union(ready.select("task_id"))
-                self.write_progress(workers)
+                state = self.state()
+                ready = claim(state, batch, self.max_attempts, self.waiting(retry_delay) if retry_delay else None)
+                rows = ready.select("task_id", "payload_json", "attempts").collect()  # `batch` rows at most, held so that appending to the log does not change them
+                if rows:
+                    self._attempt(self.spark.createDataFrame(rows, "task_id string, payload_json string, attempts int"), classify, model, workers)
+                    self.write_progress(workers)
+                elif claim(state, 1, self.max_attempts).isEmpty():
+                    break
+                else:
+                    time.sleep(0.1)
 
     def stream(self, classify: Callable[[dict], dict], model: str = "", workers: int = 1) -> None:
         """The first attempt of every task file not yet seen, as a stream that stops when it has caught up."""
