@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: Text handled at once inside a Python worker, in bytes; bounds its memory whatever the batch size is.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -53,6 +53,18 @@ def text_of(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
+def fresh(name: str, columns: list[str]) -> str:
+    """`name`, with underscores added until no column has it."""
+    while name.lower() in {c.lower() for c in columns}:
+        name += "_"
+    return name
+
+
+def packed(docs: DataFrame, keep: list[str]) -> Column:
+    """The columns `keep` as one struct `_row`, so that no name of theirs meets a name used here; `_row.*` gives them back."""
+    return F.struct(*[docs[f"`{c}`"].alias(c) for c in keep]).alias("_row")
+
+
 def bucket_of(doc_id: Column, modulus: int) -> Column:
     """crc32 of the id's decimal digits, modulo `modulus`; a null id counts as the empty string."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % modulus

@@ -16,7 +16,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import labelled_sample, text_of
+from .common import labelled_sample, packed, text_of
 from .trees import boost, paths, sigmoid
 
 #: Labelled rows to learn from, at most about this many.
@@ -35,7 +35,7 @@ def statistics(text: Column) -> dict[str, Column]:
     return {
         "log_chars": F.log1p(chars.cast("double")),
         "upper": kept("[^A-Z]+") / some(chars),
-        "symbols": kept(r"[^!-+/:-@\[-`{-~]+") / some(chars),
+        "symbols": (kept(r"[^\p{Punct}]+") - kept("[^,.]+")) / some(chars),
         "digits": kept("[^0-9]+") / some(chars),
         "commas_stops": kept("[^,.]+") / some(words),
         "word_length": chars / some(words),
@@ -48,12 +48,12 @@ def statistics(text: Column) -> dict[str, Column]:
 
 
 def measured(docs: DataFrame, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """`docs` (or its columns `keep`) with the struct `_stats`."""
-    keep = docs.columns if keep is None else keep
-    keep = [F.col(f"`{c}`") for c in keep if c != "_stats"]
-    text = docs.select(*keep, text_of(text_col).alias("_text"))
-    parts = text.withColumns({"_chars": F.length("_text"), "_words": F.split("_text", " "), "_lines": F.split("_text", "\n")})
-    return parts.select(*keep, F.struct(*[c.alias(n) for n, c in statistics(F.col("_text")).items()]).alias("_stats"))
+    """(_row, _stats): the columns `keep` (or all) as a struct, and the statistics as another."""
+    rows = docs.select(packed(docs, docs.columns if keep is None else keep), text_of(text_col).alias("_text"))
+    parts = rows.withColumns({"_chars": F.length("_text"), "_words": F.split("_text", " "), "_lines": F.split("_text", "\n")})
+    stats = F.struct(*[c.alias(n) for n, c in statistics(F.col("_text")).items()])
+    # generated, not projected: the optimizer would copy a projected struct into every rule and filter that reads it
+    return parts.select("_row", F.explode(F.array(stats)).alias("_stats"))
 
 
 def lasso(x: np.ndarray, y: np.ndarray, strength: float, steps: int = 600) -> tuple[float, np.ndarray]:
@@ -111,14 +111,23 @@ class RuleEnsemble:
 
 def train(docs: DataFrame, labels: DataFrame, most: int = SAMPLE, text_col: str = "text") -> RuleEnsemble:
     rows = labelled_sample(docs.select("doc_id", F.col(text_col).alias("text")), labels, TARGET, MODULUS, HELD, most, ["text"])
-    rows = measured(rows, keep=["doc_id", "_y"]).select("doc_id", "_y", "_stats.*").toPandas()  # numbers only, `most` rows
+    rows = measured(rows, keep=["doc_id", "_y"]).select("_row.*", "_stats.*").toPandas()  # numbers only, `most` rows
     rows = rows.sort_values(list(rows.columns), kind="stable")
     return RuleEnsemble.fit(rows.drop(columns=["doc_id", "_y"]).to_numpy(float), rows["_y"].to_numpy(float))
 
 
+def _score(frame: DataFrame, model: RuleEnsemble) -> Column:
+    return model.score([F.col(f"_stats.{n}") for n in frame.schema["_stats"].dataType.names])
+
+
 def scored(docs: DataFrame, model: RuleEnsemble, text_col: str = "text", keep: list[str] | None = None, out_col: str = "score") -> DataFrame:
-    """`docs` (or its columns `keep`) with the score, from 0 to 1."""
+    """`docs` (or its columns `keep`) with the score, from 0 to 1, in place of any column of its name."""
     keep = [c for c in (docs.columns if keep is None else keep) if c != out_col]
     frame = measured(docs, text_col, keep)
-    names = list(frame.schema["_stats"].dataType.names)
-    return frame.select(*[F.col(f"`{c}`") for c in keep], model.score([F.col(f"_stats.{n}") for n in names]).alias(out_col))
+    return frame.select("_row.*", _score(frame, model).alias(out_col))
+
+
+def accepted(docs: DataFrame, model: RuleEnsemble, threshold: float = THRESHOLD, text_col: str = "text") -> DataFrame:
+    """The rows of `docs` that score `threshold` or more."""
+    frame = measured(docs, text_col)
+    return frame.where(_score(frame, model) >= threshold).select("_row.*")
