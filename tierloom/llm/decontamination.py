@@ -23,13 +23,13 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, texts_of
+from .common import fresh, slices, texts_of
 from .pieces import distinct
 
 WORDS = 10
 #: Windows of a block.
 WINDOWS = 200_000
-SLICE = 8 << 20
+SLICE = 2 << 20
 #: Lower-cases A-Z and turns everything that is no word byte into a space; bytes above 0x7F belong to words.
 _FOLD = bytes(b + 32 if 0x41 <= b <= 0x5A else b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256))
 
@@ -133,13 +133,16 @@ def _uses(docs: DataFrame, vocabularies: list) -> dict:
     return {(b, w): n for b, w, n in rows}  # the benchmark's vocabulary
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, size: int = WORDS, windows: int = WINDOWS, carry: list[str] = ("doc_id",), text_col: str = "text") -> DataFrame:
-    """`carry` columns of every document and n_words, n_hit, items (ids of items with occurring windows)."""
+def contaminated(docs: DataFrame, benchmark: DataFrame, size: int = WORDS, windows: int = WINDOWS, carry: list[str] = ("doc_id",), text_col: str = "text", names: tuple[str, str, str] = ("n_words", "n_hit", "items")) -> DataFrame:
+    """`carry` columns of every document and, under `names`, its words, hit words and the ids of items with occurring windows.
+
+    A carried column of one of these names gives way.
+    """
     sc = docs.sparkSession.sparkContext
-    carry = [c for c in carry if c not in ("n_words", "n_hit", "items", "_body")]
-    docs = docs.select(*[F.col(c) for c in carry], F.col(text_col).cast("string").alias("_body"))
+    carry = [c for c in carry if c not in names]
+    docs = docs.select(*[F.col(f"`{c}`") for c in carry], F.col(text_col).cast("string").alias(body := fresh("_body", carry)))
     blocks = list(_blocks(benchmark, size, windows))
-    uses = _uses(docs.select(F.col("_body").alias("text")), [sc.broadcast(b.vocabulary) for b in blocks])
+    uses = _uses(docs.select(F.col(body).alias("text")), [sc.broadcast(b.vocabulary) for b in blocks])
     shared = [sc.broadcast(b.order(np.array([uses.get((k, w), 0) for w in range(len(b.vocabulary))], np.int64))) for k, b in enumerate(blocks)]
 
     def run(batches) -> Iterator:
@@ -167,7 +170,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, size: int = WORDS, windo
                         del s._value
                 hit = np.r_[0, np.cumsum(np.cumsum(edge[:-1]) > 0)]
                 arrays = [*[batch.column(i).slice(a, b - a) for i in range(len(carry))], pa.array(np.diff(first).astype(np.int64)), pa.array(np.diff(hit[first]).astype(np.int64)), pa.array([sorted(x) for x in found], pa.list_(pa.int64()))]
-                yield pa.RecordBatch.from_arrays(arrays, [*carry, "n_words", "n_hit", "items"])
+                yield pa.RecordBatch.from_arrays(arrays, [*carry, *names])
 
     schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in docs.schema.fields[:-1])
-    return docs.mapInArrow(run, schema + "n_words long, n_hit long, items array<long>")
+    return docs.mapInArrow(run, schema + "`{}` long, `{}` long, `{}` array<long>".format(*names))

@@ -35,7 +35,7 @@ from .sentencepiece_sampling import table_of
 
 #: Most frequent tokens that every worker holds, at most.
 HEAD = 150_000
-SLICE = 8 << 20
+SLICE = 4 << 20
 #: White space of a text: separates tokens.
 _WHITE = np.zeros(256, bool)
 _WHITE[[0x20, *range(0x09, 0x0E)]] = True

@@ -21,9 +21,9 @@ from pyspark.sql import functions as F
 from .common import slices
 from .pieces import _FROM_LATTICE, STEP, Draws, Lattice, Table, Vocabulary, bytes_of, chunks, encoded, load_vocabulary, splitmix, to_lattice
 
-SLICE = 4 << 20
+SLICE = 2 << 20
 #: Chunks whose lattices a worker keeps.
-KEPT = 200_000
+KEPT = 100_000
 _tables: dict = {}
 
 
