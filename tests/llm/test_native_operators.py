@@ -204,7 +204,7 @@ def test_base_spans_match_the_plain_patterns(spark):
     rows = [(i, t, "", "", 0) for i, t in enumerate(PERSONAL)] + documents()
     model = pii.train(spark)
     got = pii.with_spans(frame(spark, rows), model).collect()
-    assert Counter((r.doc_id, tuple(map(tuple, r._base))) for r in got) == Counter((d, tuple(python_base(t or ""))) for d, t, *_ in rows)
+    assert Counter((r._row.doc_id, tuple(map(tuple, r._base))) for r in got) == Counter((d, tuple(python_base(t or ""))) for d, t, *_ in rows)
     assert all(set(map(tuple, r._base)) <= set(map(tuple, r._spans)) for r in got)
     assert pii.with_spans(frame(spark, []), model).count() == 0
 
@@ -221,7 +221,7 @@ def test_trees_add_spans_and_leave_decoys(spark):
         "plain words without anything at all. next": [],
     }
     rows = [(i, t, "", "", 0) for i, t in enumerate(texts)]
-    got = {r.text: [(pii.KINDS[s.kind], r.text[s.start : s.end]) for s in r._spans] for r in pii.with_spans(frame(spark, rows), model).collect()}
+    got = {r._text: [(pii.KINDS[s.kind], r._text[s.start : s.end]) for s in r._spans] for r in pii.with_spans(frame(spark, rows), model).collect()}
     assert got == texts
 
 

@@ -2,6 +2,8 @@ import random
 
 import pytest
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from tierloom.llm import sentencepiece_sampling
 from tierloom.llm.pieces import from_pieces
@@ -51,6 +53,26 @@ def test_stages_take_effect(spark, folder):
         assert r.lossless and from_pieces(r.ids, vocabulary.pieces).decode() == seen["personal_data"][r.doc_id].text
 
 
+def test_clashing_columns_and_odd_rows_pass_through(spark, folder):
+    d, docs, _ = folder
+    odd = [(None, None, None, None, None), (None, "no id " * 30, "en", "s", 1), (20_000, None, "en", "s", None), (20_001, "", "en", "s", 0), (20_002, "ta re mi so la ti do " * 3000, "en", "s", 1)]
+    names = ("_score", "_n", "_hit", "items", "_base", "_stats", "_text", "_row", "_body", "_words", "token", "fp")
+    frame = spark.createDataFrame(docs + odd + docs[:3], SCHEMA).withColumns({n: F.lit("mine") for n in names})
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        frame = corpus_pipeline.stored(stage(spark, frame, d), name)
+        assert frame.columns == [*SCHEMA.replace(",", "").split()[::2], *names]
+        assert frame.where(" or ".join(f"{n} <> 'mine'" for n in names)).isEmpty()
+    last = corpus_pipeline.STAGES[-1][1](spark, frame, d).collect()
+    assert all(r.lossless for r in last) and len({r.doc_id for r in last if r.doc_id is not None}) == len([r for r in last if r.doc_id is not None])
+
+
+def test_stages_on_an_empty_table(spark, folder):
+    d, _, _ = folder
+    frame = spark.createDataFrame([], SCHEMA)
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, frame, d).count() == 0
+
+
 def test_run_equals_the_stages(spark, folder):
     d, _, _ = folder
     got = corpus_pipeline.run(spark, d)

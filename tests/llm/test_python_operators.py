@@ -144,7 +144,7 @@ def test_kept_lattices_change_no_draw(vocabulary):
     texts = [(t or "").encode() for _, t, *_ in documents()]
     whole = sentencepiece_sampling.sample(table, texts, np.arange(len(texts)))
     parts = [sentencepiece_sampling.sample(table, texts[a : a + 7], np.arange(a, min(a + 7, len(texts))), 0, kept) for a in range(0, len(texts), 7)]
-    assert len(kept.end) > 20
+    assert len(kept.end) > 10
     assert np.array_equal(whole[0], np.concatenate([p[0] for p in parts])) and np.array_equal(whole[1], np.concatenate([p[1] for p in parts]))
     other = sentencepiece_sampling.sample(table, texts, np.arange(len(texts)), seed=1)
     assert not np.array_equal(whole[0], other[0])

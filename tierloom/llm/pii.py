@@ -23,7 +23,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import let, text_of
+from .common import let, packed, text_of
 from .trees import boost, sigmoid, tree_column, value_of
 
 KINDS = ("email", "ip", "card", "phone")
@@ -229,10 +229,9 @@ def _overlap(a: Column, b: Column) -> Column:
 
 
 def with_spans(docs: DataFrame, model: PiiModel, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """`docs` (or columns `keep`) and `_text`, arrays `_email`, `_ip`, `_card`, `_phone`, `_base` and `_spans` of (start, kind, end)."""
-    keep = [F.col(f"`{c}`") for c in (docs.columns if keep is None else keep)]
-    rows = docs.select(*keep, text_of(text_col).alias("_text"))
-    found = rows.select(*keep, "_text", *[s.alias(f"_{k}") for k, s in base_spans(F.col("_text")).items()], candidates(F.col("_text")).alias("_c"))
+    """`_row` (columns `keep`, or all, as a struct), `_text`, and arrays `_email`, `_ip`, `_card`, `_phone`, `_base` and `_spans` of (start, kind, end)."""
+    rows = docs.select(packed(docs, docs.columns if keep is None else keep), text_of(text_col).alias("_text"))
+    found = rows.select("_row", "_text", *[s.alias(f"_{k}") for k, s in base_spans(F.col("_text")).items()], candidates(F.col("_text")).alias("_c"))
     found = found.withColumn("_base", F.array_sort(F.concat(*[F.col(f"_{k}") for k in KINDS])))
     free = F.filter("_c", lambda c: ~F.exists("_base", lambda b: _overlap(b, c)))
     judged = F.transform(free, lambda c: F.struct(c.start.alias("start"), c.kind.alias("kind"), c.end.alias("end"), model.probability(c).alias("p")))
@@ -262,5 +261,5 @@ def redacted(docs: DataFrame, model: PiiModel, text_col: str = "text") -> DataFr
 
     start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
     text = F.aggregate("_spans", start, step, lambda a: F.concat(F.array_join(a.out, ""), F.substring(F.col("_text"), a.at + 1, F.length("_text") - a.at)))
-    text = F.when(F.size("_spans") > 0, text).otherwise(F.col(f"`{text_col}`"))
-    return rows.select(*[text.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns])
+    text = F.when(F.size("_spans") > 0, text).otherwise(F.col("_row")[text_col])
+    return rows.select(*[text.alias(c) if c == text_col else F.col("_row")[c].alias(c) for c in docs.columns])

@@ -56,7 +56,7 @@ def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.with_spans(read(spark, sf_dir, "documents"), pii.train(spark), keep=["doc_id"])
     counts = [F.size(f"_{k}").cast("long").alias(f"n_{k}") for k in pii.KINDS]
-    return found.select("doc_id", *counts, F.sha2(pii.listed(F.col("_base")).cast("binary"), 256).alias("base_sha256"), pii.listed(F.col("_spans")).alias("spans"))
+    return found.select("_row.doc_id", *counts, F.sha2(pii.listed(F.col("_base")).cast("binary"), 256).alias("base_sha256"), pii.listed(F.col("_spans")).alias("spans"))
 
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

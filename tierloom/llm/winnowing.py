@@ -28,7 +28,7 @@ from .common import checkpointed, let, long_array, text_of
 from .sharding import _LEAST, range_of, splitters
 
 GRAM = 3
-WINDOW = 6
+WINDOW = 4
 RUN = 24
 _LAST = (1 << 31) - 1
 
