@@ -11,25 +11,27 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tierloom.llm import decontamination, pii, quality, sentencepiece_sampling, simhash
-from tierloom.llm.common import read, stored
+from tierloom.llm.common import fresh, read, stored
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts, learnt from the labelled ones among them."""
     model = quality.train(docs, read(spark, sf_dir, "labels"))
-    return quality.scored(docs, model, out_col="_score").where(F.col("_score") >= quality.THRESHOLD).select(docs.columns)
+    return quality.accepted(docs, model)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group: that of the least doc_id. Rows without an id all stay; of rows with one id, one."""
     kept = simhash.near_duplicates(docs).where("doc_id = component_id").select("doc_id").distinct()
-    first = docs.join(kept, "doc_id", "left_semi").withColumn("_n", F.row_number().over(Window.partitionBy("doc_id").orderBy("doc_id"))).where("_n = 1")
+    n = fresh("_n", docs.columns)
+    first = docs.join(kept, "doc_id", "left_semi").withColumn(n, F.row_number().over(Window.partitionBy("doc_id").orderBy("doc_id"))).where(F.col(n) == 1)
     return first.select(docs.columns).union(docs.where("doc_id is null"))
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark window."""
-    return decontamination.contaminated(docs, read(spark, sf_dir, "benchmark"), carry=docs.columns).where("n_hit = 0").select(docs.columns)
+    names = tuple(fresh(n, docs.columns) for n in ("_words", "_hit", "_items"))
+    return decontamination.contaminated(docs, read(spark, sf_dir, "benchmark"), carry=docs.columns, names=names).where(F.col(names[1]) == 0).select(docs.columns)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
