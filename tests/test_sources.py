@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tierloom.functions import text
 from tierloom.sources import records, sinks
-from tierloom.sources.taxonomy import Taxonomy, sample_taxonomy
+from tierloom.sources.taxonomy import Taxonomy, load_sources, load_taxonomy, sample_taxonomy
 
 HEADER = "关联股票代码,code,企业名称,专利名称,申请号,申请年份,IPC分类号,IPC主分类号,摘要文本,主权项内容,unknown"
 
@@ -107,8 +107,12 @@ def test_sinks_write_whole_or_not(spark, tmp_path):
     assert digests.size == (tmp_path / "j.json").stat().st_size and len(digests.sha256) == 64
 
 
-def test_taxonomy_integrity():
+def test_taxonomy_integrity(tmp_path):
     t = sample_taxonomy()
+    (tmp_path / "terms.json").write_text(json.dumps(t.docs), encoding="utf-8")
+    (tmp_path / "codes.json").write_text(json.dumps(t.ipc), encoding="utf-8")
+    (tmp_path / "s.json").write_text('{"sources": [{"id": "SRC-1"}]}', encoding="utf-8")
+    assert load_taxonomy(tmp_path / "terms.json", tmp_path / "codes.json") == t and load_sources(tmp_path / "s.json") == {"SRC-1"}
     assert t.version == "docs-0.1__ipc-0.1" and t.window == 48 and "the" not in t.terms
     assert t.problems({"SRC-1"}) == []
     assert t.problems(set())

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from .tasks import ATTEMPTS
 
+# Fixed value: written where an attempt has no version of its own.
 PROMPT_VERSION = "data-security-three-class-v2.1.0"
 # Subtypes by class.
 SUBTYPES = {

@@ -8,6 +8,7 @@ lexicons and texts where that matters more.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterable, Iterator
 
 import pandas as pd
@@ -71,8 +72,9 @@ class Evidence:
 
     def scope(self, marks: list[int], text: str, start: int, end: int) -> tuple[int, int, str]:
         """The sentence around a keyword, or a window if no boundary stands on either side of it."""
-        left = max((m for m in marks if m < start), default=None)
-        right = min((m for m in marks if m >= end), default=None)
+        before, after = bisect_left(marks, start), bisect_left(marks, end)
+        left = marks[before - 1] if before else None
+        right = marks[after] if after < len(marks) else None
         if left is None and right is None:
             return max(0, start - self.window), min(len(text), end + self.window), "window"
         return (0 if left is None else left + 1), (len(text) if right is None else right), "sentence"

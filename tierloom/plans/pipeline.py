@@ -113,7 +113,8 @@ def main(argv: list[str] | None = None) -> None:
     one.add_argument("--input", nargs="*", default=[])
     one.add_argument("--input-dir")
     one.add_argument("--pattern", default="*.csv")
-    one.add_argument("--taxonomy", required=True)
+    one.add_argument("--lexicon", required=True)
+    one.add_argument("--codes", required=True)
     one.add_argument("--limit", type=int)
     one.add_argument("--overwrite", action="store_true")
     two = sub.add_parser("step2", help="prepare, run or show classification tasks")
@@ -151,7 +152,7 @@ def main(argv: list[str] | None = None) -> None:
     signal.signal(signal.SIGTERM, lambda *_: stopped.set())
     spark = session(master=a.master)
     if a.command == "step1":
-        taxonomy = load_taxonomy(a.taxonomy)
+        taxonomy = load_taxonomy(a.lexicon, a.codes)
         for path in records.discover_files(a.input, a.input_dir, a.pattern):
             print(step1(spark, path, a.out, taxonomy, a.limit, a.overwrite))
     elif a.command == "step2":

@@ -562,3 +562,22 @@ def paired_bootstrap(spark, sf_dir):
     p = pairs(spark, sf_dir)
     right = lambda c: F.when(F.col("truth") == F.col(c), 1.0).otherwise(0.0)
     return metrics.paired_bootstrap(p, "doc_id", right("guess"), right("other"), 100)
+
+
+# ---- streaming -------------------------------------------------------------------------------------------------
+
+
+@query("select epoch_ms(time_bucket(interval '5 minutes', ts)) // 1000 as window_start, case when event_id % 3 = 0 then 'succeeded' else 'failed' end as status, count(*) as attempts, round(sum(value), 4) as seconds from events group by all")
+def attempt_windows(spark, sf_dir):
+    """The attempts log as a stream, caught up with: attempts by five-minute window and status."""
+    import uuid
+
+    from ..streaming.task_log import progress_stream
+
+    source = table(spark, sf_dir, "events")
+    log = spark.readStream.schema(source.schema).parquet(f"{sf_dir}/events.parquet")
+    log = log.select(F.col("ts").cast("string").alias("finished_at"), F.when(F.col("event_id") % 3 == 0, "succeeded").otherwise("failed").alias("status"), F.col("value").alias("elapsed_seconds"))
+    name = f"windows_{uuid.uuid4().hex}"
+    run = progress_stream(log).writeStream.outputMode("complete").format("memory").queryName(name).trigger(availableNow=True).start()
+    run.awaitTermination()
+    return spark.table(name).select(F.unix_timestamp("window.start").alias("window_start"), "status", "attempts", F.round("seconds", 4).alias("seconds"))

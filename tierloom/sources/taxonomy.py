@@ -82,13 +82,18 @@ class Taxonomy:
         return spark.createDataFrame(rows, "rule_id string, tier string, symbol string, match string, subclass string, main_group int, subgroup string, specificity int, position int, editions array<string>, source_ids array<string>")
 
 
-def load_taxonomy(directory: str | Path) -> Taxonomy:
-    read = lambda name: json.loads((Path(directory) / name).read_text(encoding="utf-8"))
-    return Taxonomy(read("docs_taxonomy.json"), read("ipc_taxonomy.json"))
+def _json(path: str | Path) -> dict:
+    return json.loads(Path(path).read_text(encoding="utf-8"))
 
 
-def load_sources(directory: str | Path) -> set[str]:
-    return {s["id"] for s in json.loads((Path(directory) / "sources.json").read_text(encoding="utf-8"))["sources"]}
+def load_taxonomy(lexicon: str | Path, codes: str | Path) -> Taxonomy:
+    """From the file of term groups, contexts and diagnostics, and the file of code rules."""
+    return Taxonomy(_json(lexicon), _json(codes))
+
+
+def load_sources(path: str | Path) -> set[str]:
+    """Ids of the sources that lexicons cite."""
+    return {s["id"] for s in _json(path)["sources"]}
 
 
 def sample_taxonomy() -> Taxonomy:
