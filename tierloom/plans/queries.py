@@ -575,7 +575,7 @@ def attempt_windows(spark, sf_dir):
     from ..streaming.task_log import progress_stream
 
     source = table(spark, sf_dir, "events")
-    log = spark.readStream.schema(source.schema).parquet(f"{sf_dir}/events.parquet")
+    log = spark.readStream.schema(source.schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
     log = log.select(F.col("ts").cast("string").alias("finished_at"), F.when(F.col("event_id") % 3 == 0, "succeeded").otherwise("failed").alias("status"), F.col("value").alias("elapsed_seconds"))
     name = f"windows_{uuid.uuid4().hex}"
     run = progress_stream(log).writeStream.outputMode("complete").format("memory").queryName(name).trigger(availableNow=True).start()
