@@ -113,3 +113,35 @@ def test_identity_terms_move_scores_little():
     assert free[1] > 0.5
     assert abs(held[1] / held[0]) < 0.5 * abs(free[1] / free[0])
     assert features[1][1] in [w.encode() for w in toxicity.IDENTITY["en"].split()]
+
+
+def test_swaps_cover_every_labelled_row():
+    """The penalty is that of every swap in every row, toxic ones beyond the first 512 included."""
+    terms = toxicity.identity_terms()
+    features = [(0, b"ta")] + [(0, t) for t in terms] + [(4, t) for t in dict.fromkeys(t[:4] for t in terms)]
+    features = [(k, f) for k, f in features if k in toxicity.PREFIXES]
+    have = [[] for _ in range(600)] + [[3], [3, 7], [7], []] * 50  # clean rows first, as they are sorted
+    rows, cols = np.array([(i, 0) for i in range(len(have))] + [(i, 1 + t) for i, ts in enumerate(have) for t in ts]).T
+    swaps, share = toxicity.swaps_of(rows, cols, len(have), features)
+    v = toxicity.mentions(toxicity._table(features), len(features))
+    w = np.random.default_rng(4).normal(size=len(features))
+    want, k = 0.0, len(terms)
+    for ts in have:
+        for t in ts:
+            want += sum(((v[u] - v[t]) @ w) ** 2 for u in range(k) if u != t) / (k - 1)
+        if not ts:
+            want += sum((v[u] @ w) ** 2 for u in range(k)) / k
+    assert np.isclose(share @ (swaps @ w) ** 2, want / len(have))
+    assert len(swaps) == k
+
+
+def test_training_swaps_terms_of_toxic_rows(spark, monkeypatch):
+    """With more than 512 clean rows, a term that only toxic rows mention is still swapped in each of them."""
+    rows = [(i, "ta re mi" + (" muslims" if i % 6 == 0 else ""), "en", "s", 1) for i in range(1200)]
+    seen = {}
+    monkeypatch.setattr(toxicity, "fit", lambda x, y, size, swaps, share: seen.update(y=y, swaps=swaps, share=share) or (np.zeros(size), 0.0))
+    monkeypatch.setattr(toxicity, "ToxicityModel", lambda features, w, b: features)
+    features = toxicity.train(spark.createDataFrame(rows, SCHEMA), spark.createDataFrame([(i, 1, int(i % 6 == 0)) for i in range(1200)], "doc_id long, quality int, toxic int"))
+    at = features.index((0, b"muslims"))
+    assert (seen["y"] == 0).sum() > 512
+    assert seen["share"] @ seen["swaps"][:, at] ** 2 >= seen["y"].mean()

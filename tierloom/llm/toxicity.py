@@ -1,9 +1,10 @@
 """Toxicity scoring with a counterfactually regularised classifier.
 
 A logistic regression over capped counts of words and word prefixes. Besides the lasso it pays for every
-change of score that swapping identity terms makes: in a labelled text that mentions one, the term is
-swapped for another; in one that does not, a mention is put in. The squared differences enter the loss, so
-neutral mentions of a group move the score as little as the data allow.
+change of score that swapping identity terms makes: in a labelled text, one mention of every term it has is
+swapped for every other term in turn; in a text that has none, every term is put in. The squared differences
+enter the loss, as their mean over the other terms and over all the labelled texts, so neutral mentions of a
+group move the score as little as the data allow.
 
 Features are chosen, and weights fitted, on labelled rows outside the held-out remainder, at most about
 `SAMPLE` of them and `FEATURES` features; scoring is a single narrow pass.
@@ -105,9 +106,14 @@ def _counts(table: dict, which: np.ndarray, first: np.ndarray, words) -> tuple[n
     return pair >> 32, pair & 0xFFFFFFFF, np.minimum(times, CAP)
 
 
+def identity_terms() -> list[bytes]:
+    """The distinct terms of all languages."""
+    return list(dict.fromkeys(w.encode() for words in IDENTITY.values() for w in words.split()))
+
+
 def mentions(table: dict, size: int) -> np.ndarray:
     """The feature vector of one mention of each identity term."""
-    terms = [w.encode() for words in IDENTITY.values() for w in words.split()]
+    terms = identity_terms()
     out = np.zeros((len(terms), size))
     for i, term in enumerate(terms):
         d, f, n = _counts(table, *word_ids([term]))
@@ -115,6 +121,24 @@ def mentions(table: dict, size: int) -> np.ndarray:
     return out
 
 
+def swaps_of(rows: np.ndarray, cols: np.ndarray, n: int, features: list[tuple[int, bytes]]) -> tuple[np.ndarray, np.ndarray]:
+    """Vectors and shares whose weighted squares are those of all swaps in all n rows, each row counting 1 / n.
+
+    A swap's difference is linear in the terms' vectors, so all squares together are one form over the terms, which
+    needs only the number of rows that have each term. Its eigenvectors stand for the swaps: one a term.
+    """
+    number = {(0, t): i for i, t in enumerate(identity_terms())}
+    k = len(number)
+    term = np.array([number.get(f, -1) for f in features])[cols]
+    has = np.bincount(term[term >= 0], minlength=k).astype(float)
+    without = n - len(np.unique(rows[term >= 0]))
+    # of has[t] rows: the mean over u of (e_u - e_t) (e_u - e_t)'; of rows without a term: the mean of e_u e_u'
+    form = -(has[:, None] + has[None, :]) / (k - 1)
+    np.fill_diagonal(form, has + (has.sum() - has) / (k - 1) + without / k)
+    share, turned = np.linalg.eigh(form / n)
+    return turned.T @ mentions(_table(features), len(features)), np.maximum(share, 0)
+
+
 class ToxicityModel:
     def __init__(self, features: list[tuple[int, bytes]], weights: np.ndarray, intercept: float):
         used = np.flatnonzero(weights)
@@ -126,7 +150,7 @@ class ToxicityModel:
 
 
 def fit(x: tuple, y: np.ndarray, size: int, swaps: np.ndarray, share: np.ndarray, steps: int = 500) -> tuple[np.ndarray, float]:
-    """Weights and intercept. x: (row, feature, value); swaps: difference vectors, each with its share of the texts."""
+    """Weights and intercept. x: (row, feature, value); swaps: difference vectors, each with its share."""
     rows, cols, values = x
     n = len(y)
     p = min(max(float(y.mean()), 1e-3), 1 - 1e-3)
@@ -204,15 +228,7 @@ def train(docs: DataFrame, labels: DataFrame, most: int = SAMPLE, text_col: str
     row = np.repeat(np.arange(len(got)), [len(r.f) for r in got])
     col = np.concatenate([np.array(r.f, np.int64) for r in got])
     val = np.concatenate([np.array(r.n, float) for r in got])
-    vectors = mentions(_table(features), len(features))
-    # one swap for each text: of the term it mentions, or of a term put in
-    whole = {f[1]: i for i, f in enumerate(features) if not f[0]}
-    terms = [w.encode() for words in IDENTITY.values() for w in words.split()]
-    number = {whole[t]: i for i, t in enumerate(terms)}
-    has = {int(r): number[int(c)] for r, c in zip(row, col) if int(c) in number}
-    other = np.random.default_rng(5).integers(0, len(terms), len(got))
-    swaps, count = np.unique(np.stack([vectors[other[i]] - (vectors[has[i]] if i in has else 0) for i in range(min(len(got), 512))]), axis=0, return_counts=True)
-    return ToxicityModel(features, *fit((row, col, val), y, len(features), swaps, count / count.sum()))
+    return ToxicityModel(features, *fit((row, col, val), y, len(features), *swaps_of(row, col, len(y), features)))
 
 
 def scored(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
