@@ -231,3 +231,20 @@ def test_redaction_replaces_spans(spark):
     got = {r.doc_id: r.text for r in pii.redacted(frame(spark, rows), model).collect()}
     assert got[1] == "[EMAIL] and [PHONE]." and got[2] is None and got[3] == "clean text"
     assert got[4] == "x [PHONE] y"  # a card inside a phone number
+
+
+def proposed(spark, texts):
+    rows = frame(spark, [(i, t, "", "", 0) for i, t in enumerate(texts)]).select("text", pii.candidates(F.col("text")).alias("c")).collect()
+    return {r.text: {(pii.KINDS[c.kind], c.match) for c in r.c} for r in rows}
+
+
+def test_every_spelling_of_an_address_is_proposed(spark):
+    """Whatever else the text holds; and every made sentence with personal data has a candidate or a base span."""
+    forms = ["jo.doe" + at + "example" + dot + "com" for at in (" (at) ", "[at]", " at ", " (@) ") for dot in (" (dot) ", "[dot]", " dot ", ".")]
+    got = proposed(spark, forms)
+    assert all(("email", f) in got[f] for f in forms)
+    good = [t for t, y in pii.examples() if y]
+    assert all(proposed(spark, good).values())
+    wanted = ["contact jo.doe at example[dot]com now", "write to jo.doe at example (dot) com now", "mail me: jo.doe at example.com now", "look at example.com now"]
+    spans = {r._text: [r._text[s.start : s.end] for s in r._spans] for r in pii.with_spans(frame(spark, [(i, t, "", "", 0) for i, t in enumerate(wanted)]), pii.train(spark)).collect()}
+    assert [spans[t] for t in wanted] == [["jo.doe at example[dot]com"], ["jo.doe at example (dot) com"], ["jo.doe at example.com"], []]
