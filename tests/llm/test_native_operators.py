@@ -248,3 +248,13 @@ def test_every_spelling_of_an_address_is_proposed(spark):
     wanted = ["contact jo.doe at example[dot]com now", "write to jo.doe at example (dot) com now", "mail me: jo.doe at example.com now", "look at example.com now"]
     spans = {r._text: [r._text[s.start : s.end] for s in r._spans] for r in pii.with_spans(frame(spark, [(i, t, "", "", 0) for i, t in enumerate(wanted)]), pii.train(spark)).collect()}
     assert [spans[t] for t in wanted] == [["jo.doe at example[dot]com"], ["jo.doe at example (dot) com"], ["jo.doe at example.com"], []]
+
+
+def test_numbers_of_any_grouping_are_proposed(spark):
+    numbers = ["5551234567", "030 1234567", "0171 2345678", "030/1234567", "089/123456", "(555)123-4567", "+49 (0)30 1234567", "12 34 56"]
+    got = proposed(spark, [f"tel {n} x" for n in numbers] + ["Tel.030/1234567", "12345678901234567890"])
+    assert all(("phone", n) in got[f"tel {n} x"] for n in numbers) and ("phone", "030/1234567") in got["Tel.030/1234567"]
+    assert not got["12345678901234567890"]
+    texts = [f"please call tel {n} today" for n in numbers[:6]] + [f"order {n} was sent" for n in [*numbers[:6], "3.14159265358"]]
+    spans = {r._text: [r._text[s.start : s.end] for s in r._spans] for r in pii.with_spans(frame(spark, [(i, t, "", "", 0) for i, t in enumerate(texts)]), pii.train(spark)).collect()}
+    assert [spans[t] for t in texts] == [[n] for n in numbers[:6]] + [[]] * 7

@@ -41,10 +41,11 @@ GENERATORS = {
     "email": r"(?i)(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+(?:\s?[\[({]\s?(?:at|@)\s?[\])}]\s?|\sat\s)[A-Za-z0-9-]{1,63}+(?:(?:\s?[\[({]\s?(?:dot|\.)\s?[\])}]\s?|\sdot\s|\.)[A-Za-z0-9-]{1,63}+){1,5}",
     "ip": r"(?i)(?<![0-9A-Za-z.])[0-9]{1,3}(?:\s?(?:[\[({]\s?(?:dot|\.)\s?[\])}]|\sdot)\s?[0-9]{1,3}){3}(?![0-9A-Za-z])",
     "card": r"(?<![0-9A-Za-z.+-])[0-9]{4}(?:[ ._/-]{1,3}[0-9]{2,6}){2,4}(?![0-9A-Za-z])",
-    "phone": r"(?<![0-9A-Za-z.+/-])(?:\+[0-9]{1,3}[ .-]?)?\(?[0-9]{2,4}\)?(?:[ ./-]{1,2}\(?[0-9]{2,5}\)?){1,5}(?!\.?[0-9A-Za-z])",
+    # 7 to 15 digits however they are grouped, or any groups of digits with signs between
+    "phone": r"(?<![0-9A-Za-z+/-])(?<![0-9]\.)(?:\+?(?:\((?=[0-9]{1,5}\)))?[0-9](?:\)?[ ./-]{0,2}\(?[0-9]){6,14}(?![./-]?[0-9A-Za-z])|(?<!\.)(?:\+[0-9]{1,3}[ .-]?)?\(?[0-9]{2,4}\)?(?:[ ./-]{1,2}\(?[0-9]{2,5}\)?){1,5}(?!\.?[0-9A-Za-z]))",
 }
 #: Each is implied by its generator, so that it saves work and changes no result.
-GENERATOR_HINT = {"email": r"(?i)[\[({]\s?(?:at|@)\s?[\])}]|\sat\s[A-Za-z0-9-]++(?:\s?[\[({]\s?(?:dot|\.)\s?[\])}]|\sdot\s|\.)", "ip": r"(?i)[0-9]\s?(?:[\[({]\s?(?:dot|\.)\s?[\])}]|\sdot)\s?[0-9]", "card": r"[0-9]{4}[ ._/-]{1,3}[0-9]{2}", "phone": r"[0-9]\)?[ ./-]{1,2}\(?[0-9]"}
+GENERATOR_HINT = {"email": r"(?i)[\[({]\s?(?:at|@)\s?[\])}]|\sat\s[A-Za-z0-9-]++(?:\s?[\[({]\s?(?:dot|\.)\s?[\])}]|\sdot\s|\.)", "ip": r"(?i)[0-9]\s?(?:[\[({]\s?(?:dot|\.)\s?[\])}]|\sdot)\s?[0-9]", "card": r"[0-9]{4}[ ._/-]{1,3}[0-9]{2}", "phone": r"[0-9]\)?[ ./-]{1,2}\(?[0-9]|[0-9](?:\)?[ ./-]{0,2}\(?[0-9]){6}"}
 #: Words before a candidate, by what they speak for.
 CONTEXT = {
     "phone": r"(?i)(?:\btel|phone|\bcall|\bfax|mobil|\bcell|whatsapp|\bring|\bdial|telefon|t.l.phone|tel.fono|handy|\bsms|\btext me)",
@@ -164,12 +165,14 @@ def examples(n: int = 1500, seed: int = 11) -> list[tuple[str, int]]:
     phone = lambda: rng.choice(["({}) {}-{}", "{}-{}-{}", "{}.{}.{}", "{} {} {}"]).format(d(3), d(3), d(4))
     local = lambda: rng.choice(["0{}/{}", "0{} {}", "0{}-{}"]).format(d(3), d(5))
     site = lambda: rng.choice(["example", "mail", "uni"]) + "." + rng.choice(["com", "org", "de", "fr", "net"])
+    run = lambda: rng.choice([d(10), "0" + d(10), d(7), f"0{d(2)} {d(7)}", f"0{d(3)} {d(7)}", f"0{d(2)}/{d(rng.choice([6, 7, 8]))}", f"({d(3)}){d(3)}-{d(4)}"])
     good = [
         lambda: rng.choice(["mail me: ", "contact ", "write to ", "", "reach us at "]) + name() + at() + rng.choice(["example", "mail", "uni"]) + dot() + rng.choice(["com", "org", "de", "fr", "net"]),
         lambda: rng.choice(["server ip ", "host ", "login from ", "client address "]) + rng.choice(["[.]", "(.)", " dot ", "[dot]"]).join(octets()),
         lambda: rng.choice(["card ", "visa no ", "credit card: ", "pay with ", ""]) + card(),
         lambda: rng.choice(["tel ", "phone: ", "call me on ", "fax ", "mobile ", "dial ", "whatsapp "]) + rng.choice([phone, local])(),
         lambda: rng.choice(["mail me: ", "contact ", "write to ", "email "]) + name() + " at " + site(),
+        lambda: rng.choice(["tel ", "tel. ", "phone ", "call ", "fax ", "mobil ", "telefon "]) + run(),
         lambda: rng.choice(["", "", "tel "]) + f"+{rng.randrange(1, 99)} " + phone() + rng.choice(["", " " + ".".join(octets())]),
     ]
     bad = [
@@ -180,6 +183,7 @@ def examples(n: int = 1500, seed: int = 11) -> list[tuple[str, int]]:
         lambda: rng.choice(["we met", "look", "they are", "sit"]) + " at " + rng.choice(["noon", "home", "school", "once"]) + rng.choice([" dot ", "."]) + rng.choice(["then", "and", "it", "matrix"]),
         lambda: rng.choice(["see ", "the score ", "section ", "values "]) + rng.choice([" ", "-", "/"]).join(d(rng.choice([2, 3])) for _ in range(rng.choice([2, 3]))),
         lambda: rng.choice(["we met", "look", "they are", "sold", "more"]) + " at " + site(),
+        lambda: rng.choice(["order ", "invoice ", "isbn ", "ref ", "serial ", "sku ", "id ", "", "the ", "values "]) + rng.choice([run(), d(rng.choice([8, 9, 12, 13, 14])), f"{d(1)}.{d(rng.randrange(5, 12))}"]),
         lambda: rng.choice(["", "", "the ", "with "]) + phone().replace("(", "").replace(")", ""),
     ]
     filler = "the of and when und der les que con para this was".split()
