@@ -4,7 +4,8 @@ Tokens are runs of non-space characters of the lower-cased text, cut after `RUN`
 texts without spaces have tokens too. Every `GRAM` consecutive tokens give a rolling hash (the tokens' hashes
 rotated and xored), every window of `WINDOW` consecutive hashes gives up its minimum, of equal ones the
 rightmost, and each chosen position is kept once. Any passage of `GRAM + WINDOW - 1` tokens that two
-texts share is therefore met by an equal hash in both fingerprints.
+texts share is therefore met by an equal hash in both fingerprints. Characters inside a run longer than `RUN` make
+the same tokens only where their offsets agree modulo `RUN`: there a shared passage can be missed.
 
 All of it is column expressions over the whole text, linear in its length. A hash has 32 bits and a
 position 31, packed into one long so that a window's minimum with its tie rule is a plain minimum.
