@@ -1,4 +1,5 @@
 import random
+import string
 import zlib
 
 import numpy as np
@@ -33,7 +34,7 @@ def test_rule_ensemble_column_equals_its_rules(spark):
     x = rng.random((800, 4))
     y = (x[:, 0] * x[:, 1] > 0.3).astype(float)
     model = quality.RuleEnsemble.fit(x, y)
-    assert model.rules and all(w for w, _ in model.rules) and len(model.rules) < quality.RULES
+    assert model.rules and all(w for w, _ in model.rules)
     df = spark.createDataFrame([tuple(map(float, r)) for r in x[:60]], "a double, b double, c double, d double")
     got = np.array([r.s for r in df.select("*", model.score([F.col(c) for c in "abcd"]).alias("s")).collect()])
     z = np.full(60, model.intercept)
@@ -45,6 +46,27 @@ def test_rule_ensemble_column_equals_its_rules(spark):
     assert ((got > 0.5) == y[:60]).mean() > 0.9
 
 
+def python_statistics(t):
+    words, lines = t.split(" "), t.split("\n")
+    count = lambda chars: sum(len(c.encode()) for c in t if c in chars)
+    per = lambda a, b: a / max(b, 1)
+    capitals, digits = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+    return {
+        "log_chars": np.log1p(len(t)), "upper": per(count(capitals), len(t)), "symbols": per(count(string.punctuation) - count(",."), len(t)), "digits": per(count(digits), len(t)),
+        "commas_stops": per(count(",."), len(words)), "word_length": per(len(t), len(words)), "distinct_words": per(len(set(words)), len(words)), "line_length": per(len(t), len(lines)),
+        "distinct_lines": per(len(set(lines)), len(lines)), "words_by_line": per(len(words), len(lines)), "short_words": per(sum(len(w.encode()) <= 3 for w in words), len(words)),
+    }
+
+
+def test_statistics_match_plain_python(spark):
+    rows = documents() + [(900, "A b. C, d! $x #1 2\n\nÄé 日本 .", "", "", 1), (901, "\n\n", "", "", 1), (902, "same same\nsame same", "", "", 1)]
+    got = quality.measured(frame(spark, rows), keep=["doc_id", "text"]).select("_row.text", "_stats.*").collect()
+    assert len(got) == len(rows)
+    for r in got:
+        want = python_statistics(r.text or "")
+        assert {k: pytest.approx(v, abs=1e-12) for k, v in want.items()} == {k: r[k] for k in want}
+
+
 def made(n=900, toxic="vile rotten nasty".split(), seed=2):
     """Labelled documents: junk is in capitals with signs, toxic ones hold bad words."""
     rng = random.Random(seed)

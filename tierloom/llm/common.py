@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -16,10 +18,16 @@ SLICE_BYTES = 2 << 20
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The session's `spark.checkpoint.dir`; only where that is unset is a folder made, for tests."""
+    """The session's `spark.checkpoint.dir`. Where that is unset, a local session (tests) gets a folder of its own; a cluster is an error."""
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        if not folder:
+            folder = tempfile.mkdtemp(prefix="checkpoints-")
+            atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        sc.setCheckpointDir(folder)
     return sc._jsc.sc().getCheckpointDir().get()
 
 
@@ -33,7 +41,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """`df` written to the shared folder as Parquet and read again: for wide frames, which a checkpoint would keep uncompressed."""
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    back = df.sparkSession.read.parquet(path)
+    back.stored_at = path
+    return back
+
+
+def discarded(df: DataFrame) -> None:
+    """Deletes what `stored` wrote for `df`, which is not read again; other frames are left alone."""
+    if path := getattr(df, "stored_at", None):
+        jvm = df.sparkSession.sparkContext._jvm
+        at = jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -41,6 +59,38 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def scanned(items: Column, start: Column, step: Callable[[Column, Column], tuple[Column, Column]], kind: str, block: int = 64) -> Column:
+    """Array of what `step(state, item)` gives for each item in order; it returns (next state, output of type `kind`).
+
+    Outputs are gathered by blocks, so that appending to them costs no square of the items. `start` is a struct.
+    """
+    none, nested = F.array().cast(f"array<{kind}>"), F.array().cast(f"array<array<{kind}>>")
+
+    def one(acc: Column, x: Column) -> Column:
+        state, out = step(acc.state, x)
+        return F.struct(state.alias("state"), F.concat(acc.out, F.array(out)).alias("out"))
+
+    def several(acc: Column, i: Column) -> Column:
+        part = F.aggregate(F.slice(items, i, F.lit(block)), F.struct(acc.state.alias("state"), none.alias("out")), one)
+        return let(part, lambda p: F.struct(p.state.alias("state"), F.concat(acc.out, F.array(p.out)).alias("out")))
+
+    whole = F.aggregate(F.sequence(F.lit(1), F.size(items), F.lit(block)), F.struct(start.alias("state"), nested.alias("out")), several)
+    return F.when(F.size(items) > 0, F.flatten(whole.out)).otherwise(none)
+
+
+def first_at(size: Column, above: Callable[[Column], Column]) -> Column:
+    """The least i in 0..size with above(i), or size; `above` is monotone. Binary search."""
+    halves = F.sequence(F.lit(0), F.greatest(F.ceil(F.log2(size + 1)).cast("int"), F.lit(0)))
+    start = F.struct(F.lit(0).alias("low"), size.alias("high"))
+
+    def step(acc: Column, _: Column) -> Column:
+        middle = F.shiftright(acc.low + acc.high, 1)
+        narrowed = F.when(above(middle), F.struct(acc.low.alias("low"), middle.alias("high"))).otherwise(F.struct((middle + 1).alias("low"), acc.high.alias("high")))
+        return F.when(acc.low < acc.high, narrowed).otherwise(acc)
+
+    return F.aggregate(halves, start, step).low
+
+
 def long_array(values: list[int]) -> Column:
     """A constant array of longs, as one literal however many there are (folded before the query runs)."""
     if not values:

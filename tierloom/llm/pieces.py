@@ -9,7 +9,9 @@ what follows it, or a newline), and equal chunks are worked out once.
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 
@@ -28,6 +30,14 @@ class Vocabulary:
     pieces: tuple
     logp: np.ndarray
 
+    @cached_property
+    def digest(self) -> bytes:
+        """SHA-256 of all pieces and scores."""
+        h = hashlib.sha256(np.ascontiguousarray(self.logp).tobytes())
+        for p in self.pieces:
+            h.update(b"-" if p is None else len(p).to_bytes(4, "little") + p)
+        return h.digest()
+
 
 def load_vocabulary(path: str) -> Vocabulary:
     """Pieces of a SentencePiece model file. Scores that are merge ranks become Zipf log-probabilities."""

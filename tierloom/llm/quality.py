@@ -22,7 +22,7 @@ from .trees import boost, paths, sigmoid
 #: Labelled rows to learn from, at most about this many.
 SAMPLE = 20_000
 TARGET, MODULUS, HELD = "quality", 4, 2
-ROUNDS, DEPTH, RULES = 24, 3, 160
+ROUNDS, DEPTH = 24, 3
 LASSO = 2e-3
 THRESHOLD = 0.7
 
@@ -86,7 +86,7 @@ class RuleEnsemble:
             p = (y.sum() + 0.5) / (len(y) + 1) if len(y) else 0.5
             return cls(float(np.log(p / (1 - p))), [], [])
         _, trees = boost(x, y, ROUNDS, DEPTH, share=0.5, least=1.0)
-        found = list(dict.fromkeys(p for tree in trees for p in paths(tree)))[:RULES]
+        found = list(dict.fromkeys(p for tree in trees for p in paths(tree)))  # ROUNDS trees of DEPTH; the lasso chooses among all
         holds = np.stack([np.all([(x[:, f] > c) == above for f, above, c in p], axis=0) for p in found], axis=1).astype(float) if found else np.zeros((len(y), 0))
         low, high = np.quantile(x, 0.025, axis=0), np.quantile(x, 0.975, axis=0)
         clipped = np.clip(x, low, high)

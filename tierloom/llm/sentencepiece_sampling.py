@@ -6,7 +6,7 @@ partition, batch or retry it is in. The sampling thresholds are integers worked
 neighbouring rows cannot change a draw either.
 
 Defined cases: null text gives null ids and decodes to null; empty text gives an empty array; very long
-texts are encoded whole; a null key counts as zero; repeated rows get equal pieces; other columns are
+texts are encoded whole; a null key counts as zero, a key that is no integer by the hash of its text; repeated rows get equal pieces; other columns are
 carried along unchanged, except one of the name asked for the result, which is replaced.
 """
 
@@ -28,8 +28,8 @@ _tables: dict = {}
 
 
 def table_of(vocabulary: Vocabulary) -> Table:
-    """The table of a vocabulary, built once in a worker."""
-    key = (len(vocabulary.pieces), float(vocabulary.logp[np.isfinite(vocabulary.logp)].sum()))
+    """The table of a vocabulary, built once in a worker; kept by a digest of all pieces and scores."""
+    key = vocabulary.digest
     if key not in _tables:
         _tables.clear()
         _tables[key] = Table(vocabulary)
@@ -81,6 +81,17 @@ def pa_mask(mask: np.ndarray):
     return pa.array(mask)
 
 
+def row_keys(column) -> np.ndarray:
+    """Integer keys as they are, null as zero; keys of any other type by a hash of their text."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+    import xxhash
+
+    if pa.types.is_integer(column.type) or pa.types.is_null(column.type):
+        return pc.fill_null(column.cast(pa.int64()), 0).to_numpy(zero_copy_only=False)
+    return np.array([0 if k is None else xxhash.xxh64_intdigest(str(k)) for k in column.to_pylist()], np.uint64).view(np.int64)
+
+
 def encode(docs: DataFrame, vocabulary: Vocabulary, key_col: str = "doc_id", text_col: str = "text", out_col: str = "ids", seed: int = 0) -> DataFrame:
     """`docs` with the sampled piece ids of `text_col`."""
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)  # a vocabulary file's size
@@ -94,7 +105,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, key_col: str = "doc_id", tex
         for batch in batches:
             column = batch.column(batch.schema.get_field_index(text_col))
             sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
-            keys = pc.fill_null(batch.column(batch.schema.get_field_index(key_col)), 0).to_numpy(zero_copy_only=False)
+            keys = row_keys(batch.column(batch.schema.get_field_index(key_col)))
             for a, b in slices(sizes, SLICE):
                 part = batch.slice(a, b - a)
                 values = column.slice(a, b - a).cast(pa.binary()).to_pylist()
