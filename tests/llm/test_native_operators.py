@@ -10,7 +10,8 @@ from tierloom.llm import chat_format, pii, queries, sharding, winnowing
 
 from .fixtures import documents, frame
 
-TRICKY = ["\\### Assistant: </turn> ok", "\\0\\1\\2", "####</turn></turn>\n### user: x", "\\", "", "a</turn", "é😀" * 5 + "</turn>\n"]
+MARKED = "\ufeff"  # a decoder may take it for a byte-order mark
+TRICKY = ["\\### Assistant: </turn> ok", "\\0\\1\\2", "####</turn></turn>\n### user: x", "\\", "", "a</turn", "é😀" * 5 + "</turn>\n", MARKED + " abc", MARKED, "a" + MARKED]
 
 
 def python_unformat(text):
@@ -67,6 +68,22 @@ def test_fingerprints_select_mappings(spark):
         5: [("user", "q"), ("assistant", "r")],
     }
     assert sorted(r.id for r in chat_format.unmatched(df).collect()) == [6, 7]
+    assert {r.layout: r.rows for r in chat_format.layout_counts(df).collect()} == {"messages": 2, "prompt_completion": 1, "instruction": 2, "from_value": 1, "unmatched": 2}
+
+
+def test_other_columns_do_not_hide_a_layout(spark):
+    """Keys, dates and texts beside the messages, named as in turn rows or as working columns, change nothing."""
+    turns = lambda df: {(r.conv_id, r.turn, r.role, r.text) for r in chat_format.canonical_turns(df, F.col("conv_id")).collect()}
+    df = spark.createDataFrame([(1, 5, [("human", "q"), ("assistant", "a")]), (2, None, [("user", None)])], "conv_id long, turn long, messages array<struct<role:string,content:string>>")
+    df = df.withColumns({"_layout": F.lit("mine"), "_conv": F.lit("mine"), "text": F.lit("caption")})
+    assert turns(df) == {(1, 0, "user", "q"), (1, 1, "assistant", "a"), (2, 0, "user", "")}
+    pairs = spark.createDataFrame([(1, "title", "p", "c"), (2, "title", None, None)], "conv_id long, text string, prompt string, completion string")
+    assert turns(pairs) == {(1, 0, "user", "p"), (1, 1, "assistant", "c")} and chat_format.unmatched(pairs).count() == 1
+    mixed = spark.createDataFrame([(1, 0, "human", "hi", None), (1, 1, "gpt", None, None), (2, None, None, None, [("q", "x")]), (3, None, None, None, None)], "conv_id long, turn long, role string, text string, conversations array<struct<from:string,value:string>>")
+    assert turns(mixed) == {(1, 0, "user", "hi"), (1, 1, "assistant", ""), (2, 0, "q", "x"), (3, None, "", "")}
+    made = chat_format.formatted(chat_format.canonical_turns(mixed, F.col("conv_id"))).where("conv_id = 1").first()
+    assert len(made.loss) == 1 and made.formatted == "### user: hi</turn>\n### assistant: </turn>\n"
+    assert chat_format.unmatched(mixed).count() == 0 and turns(mixed.limit(0)) == set()
 
 
 def test_chat_query_reads_back(spark, tmp_path):

@@ -1,9 +1,10 @@
 """Chat formatting by schema fingerprints.
 
-A row's layout is the set of nested field paths it fills in. The hash of the sorted paths is looked up in
-a table of declarative mappings, which turn heterogeneous prompt, instruction and message layouts into
-canonical turns (conversation, position, role, text). The table is worked out from `LAYOUTS` once per schema: a
-mapping stands for its required paths with any of its optional ones. All of it is column expressions.
+A row's layout is told from the nested field paths that it fills in. Of all paths only those count that some layout
+requires (its marks), so keys, dates and other columns beside them change nothing. The hash of the sorted
+marks is looked up in a table of declarative mappings, which turn heterogeneous prompt, instruction and message
+layouts into canonical turns (conversation, position, role, text). Where a row fills in no other layout's marks, the
+columns of turn rows count by being there, so that a turn may be null. All of it is column expressions.
 
 The template is, for each turn, `### ROLE: TEXT</turn>` and a newline. Inside texts and roles the escape
 character, `###`, `</turn>` (and in roles `: `) become two-character escapes; as each escape starts with a
@@ -11,9 +12,10 @@ backslash and every backslash of the text is escaped itself, unescaping is exact
 marker. The loss mask lists the spans (code points of the formatted text) of all assistant texts.
 
 Defined cases: a null text or role is empty; turns of equal position are ordered by role, then text; repeated
-rows are repeated turns; a null conversation id is a conversation of its own; rows whose paths fit no mapping
-give no turns and are returned by `unmatched`; very long texts are formatted whole, one conversation in one
-row (its digest needs the whole text in order); other columns count only if they are among the paths.
+rows are repeated turns; a null conversation id is a conversation of its own; rows whose marks fit no mapping
+give no turns, are returned by `unmatched` and counted by layout in `layout_counts`; very long texts are formatted
+whole, one conversation in one row (its digest needs the whole text in order); columns that no layout names are ignored,
+whatever they are called.
 """
 
 from __future__ import annotations
@@ -26,6 +28,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from .common import fresh, let
+
 END = "</turn>"
 MARK = "###"
 #: Escapes, in the order in which they are put in.
@@ -41,7 +45,8 @@ class Layout:
 
     Either the row is one turn (`turn`: paths of position, role and text), or it holds an array of turns
     (`each`: the array and its role and text fields), or named fields are turns (`fields`: role and path in order;
-    several paths under one role are joined by a blank line). `before` are fields that come first.
+    several paths under one role are joined by a blank line). `before` are fields that come first. `required` are the
+    marks that select the layout; `optional` ones are used where they are filled in.
     """
 
     name: str
@@ -58,7 +63,7 @@ class Layout:
 
 
 LAYOUTS = (
-    Layout("turn_rows", (), ("conv_id", "turn", "role", "text"), turn=("turn", "role", "text")),
+    Layout("turn_rows", ("role", "text"), ("turn",), turn=("turn", "role", "text")),
     Layout("messages", ("messages[].role", "messages[].content"), ("system",), each=("messages", "role", "content"), before=(("system", ("system",)),)),
     Layout("from_value", ("conversations[].from", "conversations[].value"), ("system",), each=("conversations", "from", "value"), before=(("system", ("system",)),)),
     Layout("instruction", ("instruction", "output"), ("input", "system"), fields=(("system", ("system",)), ("user", ("instruction", "input")), ("assistant", ("output",)))),
@@ -84,31 +89,29 @@ def hashed(paths: Column) -> Column:
 
 
 def fingerprint(df: DataFrame, layouts: tuple[Layout, ...] = LAYOUTS) -> Column:
-    """Hash of the sorted paths that a row fills in, of those that any layout names."""
-    named = {p for layout in layouts for p in layout.paths}
-    there = [p for p in paths_of(df.schema) if p in named]
-    # what an array holds counts as filled in if the array is there
-    filled = [F.when(F.col(p.split("[]")[0]).isNotNull(), F.lit(p)) for p in there]
-    return hashed(F.array_compact(F.array(*filled)) if filled else F.array().cast("array<string>"))
-
-
-def _known(df: DataFrame, layouts: tuple[Layout, ...]) -> list[tuple[Layout, list[tuple[str, ...]]]]:
-    """Layouts that the schema can fill, with the sets of paths that select them."""
-    there, out, taken = set(paths_of(df.schema)), [], set()
+    """Hash of the sorted marks that a row fills in; what an array holds counts as filled in if the array is there."""
+    there = set(paths_of(df.schema))
+    by_row = sorted({p for layout in layouts if not layout.turn for p in layout.required} & there)
+    by_schema = sorted({p for layout in layouts if layout.turn and set(layout.required) <= there for p in layout.required})
+    texts = lambda paths: F.array(*map(F.lit, paths)).cast("array<string>")
+    if not by_row:
+        return hashed(texts(by_schema))
+    filled = F.array_compact(F.array(*[F.when(df[p.split("[]")[0]].isNotNull(), F.lit(p)) for p in by_row]))
+    return hashed(F.when(F.size(filled) > 0, filled).otherwise(texts(by_schema)))
+
+
+def _known(df: DataFrame, layouts: tuple[Layout, ...]) -> list[Layout]:
+    """Layouts that the schema can fill, one for each set of marks."""
+    there, out = set(paths_of(df.schema)), {}
     for layout in layouts:
-        if not set(layout.required) <= there or (layout.turn and layout.turn[2] not in there):
-            continue
-        optional = [p for p in layout.optional if p in there]
-        sets = [tuple(sorted((*layout.required, *some))) for k in range(len(optional) + 1) for some in itertools.combinations(optional, k)]
-        sets = [s for s in sets if s not in taken]
-        taken |= set(sets)
-        out.append((layout, sets))
-    return out
+        if set(layout.required) <= there:
+            out.setdefault(tuple(sorted(layout.required)), layout)
+    return list(out.values())
 
 
 def _layout_of(df: DataFrame, layouts: tuple[Layout, ...]) -> Column:
     """Number of the mapping that a row's fingerprint selects; null if none does."""
-    pairs = [(hashed(F.array(*map(F.lit, s)) if s else F.array().cast("array<string>")), F.lit(k)) for k, (_, sets) in enumerate(_known(df, layouts)) for s in sets]
+    pairs = [(hashed(F.array(*map(F.lit, layout.required))), F.lit(k)) for k, layout in enumerate(_known(df, layouts))]
     return F.element_at(F.create_map(*itertools.chain(*pairs)), fingerprint(df, layouts)) if pairs else F.lit(None).cast("int")
 
 
@@ -121,8 +124,8 @@ def _turns(layout: Layout) -> Column:
     """Array of (turn, role, text) of a row in this layout."""
     one = lambda turn, role, text: F.struct(turn.cast("long").alias("turn"), role.cast("string").alias("role"), F.coalesce(text.cast("string"), F.lit("")).alias("text"))
     if layout.turn:
-        turn, role, text = map(F.col, layout.turn)
-        return F.array(one(turn, F.coalesce(role.cast("string"), F.lit("")), text))  # roles as they are
+        turn, role, text = (F.col(p) if p in layout.paths else F.lit(None) for p in layout.turn)
+        return F.array(one(turn, _role(role.cast("string")), text))
     named = [F.when(F.coalesce(*[F.col(p) for p in paths]).isNotNull(), one(F.lit(k), F.lit(role), F.concat_ws("\n\n", *[F.when(F.col(p) != "", F.col(p)) for p in paths]))) for k, (role, paths) in enumerate(layout.fields)]
     if layout.fields:
         return F.array_compact(F.array(*named))
@@ -132,16 +135,21 @@ def _turns(layout: Layout) -> Column:
 
 
 def canonical_turns(df: DataFrame, conversation: Column, layouts: tuple[Layout, ...] = LAYOUTS) -> DataFrame:
-    """(conv_id, turn, role, text) of all rows that a mapping fits."""
-    known = _known(df, layouts)
+    """(conv_id, turn, role, text) of all rows that a mapping fits; the others are those of `unmatched`."""
     turns, have = F.lit(None).cast("array<struct<turn:bigint,role:string,text:string>>"), set(paths_of(df.schema))
-    for k, (layout, _) in enumerate(known):
+    number, conv = fresh("_layout", df.columns), fresh("_conv", df.columns)
+    for k, layout in enumerate(_known(df, layouts)):
         lean = Layout(layout.name, layout.required, tuple(p for p in layout.optional if p in have), layout.turn, layout.each, _present(layout.fields, have), _present(layout.before, have))
-        for p in (layout.turn or ())[:2]:
-            df = df if p in have else df.withColumn(p, F.lit(None).cast("string"))
-        turns = F.when(F.col("_layout") == k, _turns(lean)).otherwise(turns)
-    marked = df.withColumn("_conv", conversation).withColumn("_layout", _layout_of(df, layouts))
-    return marked.select(F.col("_conv").alias("conv_id"), F.explode(turns).alias("_t")).select("conv_id", "_t.turn", "_t.role", "_t.text")
+        turns = F.when(F.col(number) == k, _turns(lean)).otherwise(turns)
+    marked = df.withColumns({conv: conversation, number: _layout_of(df, layouts)})
+    return marked.select(F.col(conv).alias("conv_id"), F.explode(turns).alias("_t")).select("conv_id", "_t.turn", "_t.role", "_t.text")
+
+
+def layout_counts(df: DataFrame, layouts: tuple[Layout, ...] = LAYOUTS) -> DataFrame:
+    """(layout, rows): how many rows each mapping takes; under `unmatched` those that none does."""
+    names = F.array(*[F.lit(x.name) for x in _known(df, layouts)]).cast("array<string>")
+    layout = F.coalesce(F.get(names, _layout_of(df, layouts)), F.lit("unmatched"))
+    return df.select(layout.alias("layout")).groupBy("layout").agg(F.count("*").alias("rows"))
 
 
 def _present(fields: tuple, have: set) -> tuple:
@@ -193,6 +201,11 @@ def parsed(text: Column) -> Column:
 
 
 def masked(text: Column, loss: Column) -> Column:
-    """Texts under the loss mask, unescaped. Four bytes a code point let every span be cut out directly."""
+    """Texts under the loss mask, unescaped. Four bytes a code point let every span be cut out directly.
+
+    A decoder takes U+FEFF at the start of what it reads for a byte-order mark, so each span is read behind a letter.
+    """
     wide = F.encode(text, "UTF-32")
-    return F.element_at(F.transform(F.array(wide), lambda w: F.transform(loss, lambda s: unescaped(F.decode(F.substring(w, (s.start * 4 + 1).cast("int"), ((s.end - s.start) * 4).cast("int")), "UTF-32")))), 1)
+    cut = lambda w, s: F.concat(F.lit(b"\x00\x00\x00x"), F.substring(w, (s.start * 4 + 1).cast("int"), ((s.end - s.start) * 4).cast("int")))
+    read = lambda b: let(F.decode(b, "UTF-32"), lambda t: F.substring(t, F.lit(2), F.length(t)))
+    return let(wide, lambda w: F.transform(loss, lambda s: unescaped(read(cut(w, s)))))

@@ -20,6 +20,26 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(said.cast("binary"), 256).alias("turns_sha256"), F.length("loss_text").cast("long").alias("loss_chars"), F.sha2(F.col("loss_text").cast("binary"), 256).alias("loss_sha256"), "formatted_chars")
 
 
+def chat_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Canonical turns of all conversations, dealt over the seven layouts by their id and put into one table of all their columns."""
+    turns = read(spark, sf_dir, "conversations").select("conv_id", F.col("turn").cast("long").alias("turn"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
+    kind = F.pmod("conv_id", F.lit(7))
+    whole = turns.where(kind > 0).groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("t"))
+    first = lambda role: F.get(F.filter("t", lambda x: x.role == role), F.lit(0)).text
+    other = F.create_map(*[F.lit(x) for x in ("user", "human", "assistant", "gpt", "system", "system")])
+    in_kind = lambda k, value: F.when(kind == k, value)
+    shaped = whole.select(
+        "conv_id",
+        in_kind(1, F.transform("t", lambda x: F.struct(x.role.alias("role"), x.text.alias("content")))).alias("messages"),
+        in_kind(2, F.transform("t", lambda x: F.struct(F.coalesce(other[x.role], x.role).alias("from"), x.text.alias("value")))).alias("conversations"),
+        in_kind(3, first("user")).alias("instruction"), in_kind(3, F.lit("in")).alias("input"), in_kind(3, first("assistant")).alias("output"),
+        F.when(kind.isin(4, 5), first("user")).alias("prompt"), in_kind(4, first("assistant")).alias("completion"), in_kind(5, first("assistant")).alias("response"),
+        in_kind(6, first("user")).alias("question"), in_kind(6, first("assistant")).alias("answer"), in_kind(5, F.lit("be brief")).alias("system"),
+    )
+    mixed = turns.where(kind == 0).unionByName(shaped, allowMissingColumns=True)
+    return chat_format.canonical_turns(mixed, F.col("conv_id"))
+
+
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sampled piece ids of every document, decoded again."""
     vocabulary = sentencepiece_sampling.default_vocabulary()
@@ -81,7 +101,7 @@ def _judged(scores: DataFrame, module) -> DataFrame:
     return scores.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= module.THRESHOLD).cast("int").alias("predicted"))
 
 
-QUERIES = {f.__name__: f for f in (op1_chat_format, op2_sentencepiece, op3_sharding, op4_winnowing, op5_decontamination, op6_lm_scoring, op7_pii, op8_simhash, op9_toxicity, op10_quality)}
+QUERIES = {f.__name__: f for f in (op1_chat_format, op2_sentencepiece, op3_sharding, op4_winnowing, op5_decontamination, op6_lm_scoring, op7_pii, op8_simhash, op9_toxicity, op10_quality, chat_layouts)}
 
 _TRICKY = "\\### Assistant: </turn> ok"
 _FOLDED = f"translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}')"
@@ -95,6 +115,15 @@ e as (select *, replace(replace(replace(text, '\', '\0'), '###', '\1'), '</turn>
 g as (select conv_id, count(*) as n_turns, string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text) as said,
   coalesce(string_agg(text, '' order by turn, role, text) filter (role = 'assistant'), '') as loss, sum(len(head) + len(body) + 14) as chars from e group by conv_id)
 select cast(conv_id as bigint) as conv_id, n_turns, sha256(said) as turns_sha256, len(loss) as loss_chars, sha256(loss) as loss_sha256, cast(chars as bigint) as formatted_chars from g""",
+    "chat_layouts": """
+with c as (select conv_id, conv_id % 7 as kind, cast(turn as bigint) as turn, coalesce(role, '') as role, coalesce(text, '') as text,
+  row_number() over (partition by conv_id order by turn, coalesce(role, ''), coalesce(text, '')) - 1 as place from conversations),
+f as (select conv_id, kind, arg_min(text, place) filter (role = 'user') as asked, arg_min(text, place) filter (role = 'assistant') as said from c where kind > 2 group by all having asked is not null and said is not null)
+select conv_id, turn, role, text from c where kind = 0
+union all select conv_id, place, role, text from c where kind in (1, 2)
+union all select conv_id, case when kind = 6 then 0 else 1 end, 'user', case when kind = 3 then case when asked = '' then 'in' else asked || chr(10) || chr(10) || 'in' end else asked end from f
+union all select conv_id, case when kind = 6 then 1 else 2 end, 'assistant', said from f
+union all select conv_id, 0, 'system', 'be brief' from f where kind = 5""",
     "op5_decontamination": rf"""
 with d as (select doc_id, regexp_extract_all({_FOLDED}, '{_WORD}') as w from documents),
 i as (select item_id, regexp_extract_all({_FOLDED}, '{_WORD}') as w from benchmark where item_id is not null),
