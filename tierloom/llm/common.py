@@ -59,23 +59,36 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def scanned(items: Column, start: Column, step: Callable[[Column, Column], tuple[Column, Column]], kind: str, block: int = 64) -> Column:
+def scanned(items: Column, start: Column, step: Callable[[Column, Column], tuple[Column, Column]], kind: str, block: int = 128) -> Column:
     """Array of what `step(state, item)` gives for each item in order; it returns (next state, output of type `kind`).
 
-    Outputs are gathered by blocks, so that appending to them costs no square of the items. `start` is a struct.
+    `F.aggregate` copies all it holds at every step, so outputs are not carried along: the states at the start of each
+    block come first, and each block's outputs from its own. `start` is a small struct.
     """
-    none, nested = F.array().cast(f"array<{kind}>"), F.array().cast(f"array<array<{kind}>>")
+    none = F.array().cast(f"array<{kind}>")
 
-    def one(acc: Column, x: Column) -> Column:
-        state, out = step(acc.state, x)
-        return F.struct(state.alias("state"), F.concat(acc.out, F.array(out)).alias("out"))
+    def gathered(xs: Column) -> Column:
+        # by places and not by slices: a slice copies the whole array first
+        places = lambda b: F.sequence(b * block, F.least((b + 1) * block, F.size(xs)) - 1)
+        blocks = F.sequence(F.lit(0), F.floor((F.size(xs) - 1) / block).cast("int"))
 
-    def several(acc: Column, i: Column) -> Column:
-        part = F.aggregate(F.slice(items, i, F.lit(block)), F.struct(acc.state.alias("state"), none.alias("out")), one)
-        return let(part, lambda p: F.struct(p.state.alias("state"), F.concat(acc.out, F.array(p.out)).alias("out")))
+        def over(b: Column, state: Column) -> Column:
+            return F.aggregate(places(b), state, lambda acc, i: step(acc, F.get(xs, i))[0])
 
-    whole = F.aggregate(F.sequence(F.lit(1), F.size(items), F.lit(block)), F.struct(start.alias("state"), nested.alias("out")), several)
-    return F.when(F.size(items) > 0, F.flatten(whole.out)).otherwise(none)
+        def opened(acc: Column, b: Column) -> Column:
+            return F.struct(over(b, acc.state).alias("state"), F.concat(acc.starts, F.array(acc.state)).alias("starts"))
+
+        def one(acc: Column, i: Column) -> Column:
+            state, out = step(acc.state, F.get(xs, i))
+            return F.struct(state.alias("state"), F.concat(acc.out, F.array(out)).alias("out"))
+
+        def closed(starts: Column) -> Column:
+            return F.flatten(F.transform(blocks, lambda b: F.aggregate(places(b), F.struct(F.get(starts, b).alias("state"), none.alias("out")), one, lambda acc: acc.out)))
+
+        starts = F.aggregate(blocks, F.struct(start.alias("state"), F.filter(F.array(start), lambda _: F.lit(False)).alias("starts")), opened, lambda acc: acc.starts)
+        return F.when(F.size(xs) > 0, let(starts, closed)).otherwise(none)
+
+    return let(items, gathered)
 
 
 def first_at(size: Column, above: Callable[[Column], Column]) -> Column:
