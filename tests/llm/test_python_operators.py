@@ -43,8 +43,9 @@ def test_simhash_matches_brute_force(spark):
     assert len(set(group)) < len(rows) - 3
 
 
-def test_simhash_links_large_keys_and_blocks(spark, monkeypatch):
-    monkeypatch.setattr(simhash, "BLOCK", 50)
+@pytest.mark.parametrize("cell", [2048, 50, 4])  # one level, two, three
+def test_simhash_links_of_large_cells(spark, monkeypatch, cell):
+    monkeypatch.setattr(simhash, "CELL", cell)
     rng = np.random.default_rng(1)
     base = rng.integers(0, 1 << 62)
     fps = {int(base)}

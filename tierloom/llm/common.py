@@ -54,6 +54,24 @@ def discarded(df: DataFrame) -> None:
         at.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
+#: A key is hot with more than one in so many of all rows; so there are at most as many hot keys.
+HOT = 1024
+
+
+def joined_with_hot(rows: DataFrame, by_key: DataFrame, key: str) -> DataFrame:
+    """`rows` joined with `by_key`, which has one row for each key and in `_rows` how many of `rows` have it.
+
+    Rows of hot keys meet theirs by broadcast (HOT keys at most) and are not shuffled; the others are joined as usual.
+    """
+    by_key = checkpointed(by_key)
+    total = by_key.agg(F.sum("_rows")).first()[0] or 0
+    hot = by_key.where(F.col("_rows") > total / HOT).drop("_rows")
+    rest = by_key.where(F.col("_rows") <= total / HOT).drop("_rows")
+    met = rows.join(F.broadcast(hot), key)
+    others = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(rest, key)
+    return met.unionByName(others)
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """`body(value)` with `value` evaluated once, however often `body` mentions it."""
     return F.element_at(F.transform(F.array(value), body), 1)

@@ -6,34 +6,37 @@ comparison, so a group of copies is one node however many rows it has.
 
 Which fingerprints meet: 64 bits fall into six groups. Three differing bits touch three groups at
 most, so a linked pair agrees on three whole groups at least; each fingerprint goes to its 20 triples of
-groups, keyed by the bits of that triple. Inside a key, a table of Hamming distances to reference
-fingerprints discards every pair with a coordinate difference above three (the triangle inequality),
-and survivors are verified bit by bit. A key with many members is dealt out as pairs of blocks, so that a
-task holds two blocks at most; only links are written, never the pairs looked at.
+groups, a cell being the bits of one triple. A cell with more than `CELL` members is dealt out anew in the same way
+by its free bits, at most twice more; then nine bits are free and 512 members are all there can be. So no
+task compares more than the pairs of a cell, whatever boilerplate the corpus holds, and no link is lost.
+Inside a cell, members are ordered by their distance to one reference fingerprint and meet only within three of
+it; a table of distances to further references discards every pair with a coordinate difference above three (the
+triangle inequality), and survivors are verified bit by bit. Only links are written, as a forest of each cell.
 
 Defined cases: null or blank text has fingerprint zero and links like any other; a text of one or two
 words has one shingle; repeated rows are each returned; a null doc_id is returned but never becomes
-the component's id unless the component has no other (then null); other columns are ignored.
+the component's id unless the component has no other (then null); other columns are ignored, or carried along on request.
 """
 
 from __future__ import annotations
 
 import itertools
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, text_slices
+from .common import checkpointed, joined_with_hot, text_slices
 
 SEED = 42
 SHINGLE = 3
 MAX_BITS = 3
-#: Bit groups: four of eleven bits and two of ten.
-GROUPS = ((0, 11), (11, 11), (22, 11), (33, 11), (44, 10), (54, 10))
-#: Members of a block; a key with more is dealt out as pairs of blocks.
-BLOCK = 2048
+#: Bit groups (lowest bit, width) by how many bits are free: of a whole fingerprint, of a cell's rest, of that one's rest.
+GROUPS = {64: ((0, 11), (11, 11), (22, 11), (33, 11), (44, 10), (54, 10)), 33: ((0, 6), (6, 6), (12, 6), (18, 5), (23, 5), (28, 5)), 18: ((0, 3), (3, 3), (6, 3), (9, 3), (12, 3), (15, 3))}
+#: Members of a cell; one with more is dealt out anew.
+CELL = 2048
 #: Reference fingerprints of the distance table, drawn once from a fixed generator.
 PIVOTS = np.random.default_rng(7).integers(0, 1 << 63, 16, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -59,34 +62,47 @@ def fingerprint(text: bytes) -> int:
     return int.from_bytes(np.packbits(counts * 2 > n, bitorder="little").tobytes(), "little")
 
 
-def _fingerprints(batches) -> Iterator:
-    import pyarrow as pa
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: list[str] = ()) -> DataFrame:
+    """(doc_id, fp, *carry): the fingerprint as a signed long. A carried column must not have one of these names."""
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), *[F.col(f"`{c}`") for c in carry], F.col(text_col).cast("string").alias("_simhash_text"))
 
-    for batch in batches:
-        out = np.zeros(batch.num_rows, np.uint64)
-        for a, b, texts in text_slices(batch):
-            out[a:b] = [fingerprint(t) for t in texts]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out.view(np.int64))], ["doc_id", "fp"])
+    def run(batches) -> Iterator:
+        import pyarrow as pa
 
+        for batch in batches:
+            out = np.zeros(batch.num_rows, np.uint64)
+            for a, b, texts in text_slices(batch, "_simhash_text"):
+                out[a:b] = [fingerprint(t) for t in texts]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out.view(np.int64)), *batch.columns[1:-1]], ["doc_id", "fp", *carry])
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp): the fingerprint as a signed long."""
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(_fingerprints, "doc_id long, fp long")
+    return rows.mapInArrow(run, "doc_id long, fp long" + "".join(f", `{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[1:-1]))
 
 
-def _bits(fp: Column, triple: tuple[int, ...]) -> Column:
+def _bits(x: Column, groups: list[tuple[int, int]]) -> Column:
+    """The bits of some groups, put together."""
     key = F.lit(0).cast("long")
-    for g in triple:
-        at, width = GROUPS[g]
-        key = F.shiftleft(key, width).bitwiseOR(F.shiftrightunsigned(fp, at).bitwiseAND(F.lit((1 << width) - 1)))
+    for at, width in groups:
+        key = F.shiftleft(key, width).bitwiseOR(F.shiftrightunsigned(x, at).bitwiseAND(F.lit((1 << width) - 1)))
     return key
 
 
+def dealt(rows: DataFrame, free: int) -> DataFrame:
+    """(fp, cell, rest): each row of (fp, cell, rest) in 20 cells, by three of the groups of its `free` rest bits; the others are the new rest.
+
+    A cell is named by a hash; should two have the same, they are compared together, and pairs are verified anyway.
+    """
+    groups, cells = GROUPS[free], []
+    for k, some in enumerate(itertools.combinations(range(6), 3)):
+        held, left = [groups[g] for g in some], [groups[g] for g in range(6) if g not in some]
+        cells.append(F.struct(F.xxhash64("cell", F.lit(k), _bits(F.col("rest"), held)).alias("cell"), _bits(F.col("rest"), left).alias("rest")))
+    return rows.select("fp", F.explode(F.array(*cells)).alias("x")).select("fp", "x.cell", "x.rest")
+
+
 def linked(fp: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Index pairs with the same key and at most MAX_BITS differing bits. `key` is ascending.
 
     Small keys are compared by lag across all keys at once; large ones in strips against a window of the
-    first pivot's distance.
+    first pivot's distance. Pairs that the other pivots leave are verified.
     """
     table = np.bitwise_count(fp[:, None] ^ PIVOTS[None, :]).astype(np.int8)
     order = np.lexsort((table[:, 0], key))
@@ -143,18 +159,14 @@ def forest(i: np.ndarray, j: np.ndarray, n: int) -> np.ndarray:
 
 
 def _links(batches) -> Iterator:
-    """Rows come sorted by (k1, k2); links of each key as a forest."""
+    """(u, v) from rows (cell, fp) that come sorted by cell: the links of each cell as a forest, v being the least that u reaches."""
     import pandas as pd
 
     rest = None
 
     def links(rows: pd.DataFrame) -> pd.DataFrame:
-        key = pd.util.hash_pandas_object(rows[["t", "k", "i", "j"]], index=False).to_numpy()
-        # consecutive numbers, so that a hash collision of neighbours is the only way to merge two keys (harmless: pairs are verified)
-        change = np.r_[True, key[1:] != key[:-1]]
-        number = np.cumsum(change) - 1
         fp = rows["fp"].to_numpy().view(np.uint64)
-        a, b = linked(fp, number)
+        a, b = linked(fp, rows["cell"].to_numpy())
         root = forest(a, b, len(fp))
         moved = np.flatnonzero(root != np.arange(len(fp)))
         return pd.DataFrame({"u": fp[moved].view(np.int64), "v": fp[root[moved]].view(np.int64)}).drop_duplicates()
@@ -164,8 +176,7 @@ def _links(batches) -> Iterator:
             rows = pd.concat([rest, rows], ignore_index=True)
         if not len(rows):
             continue
-        last = rows[["t", "k", "i", "j"]].iloc[-1].to_numpy()
-        whole = (rows[["t", "k", "i", "j"]].to_numpy() != last).any(axis=1)
+        whole = rows["cell"].to_numpy() != rows["cell"].iloc[-1]
         cut = int(whole.nonzero()[0][-1]) + 1 if whole.any() else 0
         rest = rows.iloc[cut:].reset_index(drop=True)
         if cut:
@@ -175,17 +186,19 @@ def _links(batches) -> Iterator:
 
 
 def link_forest(fps: DataFrame) -> DataFrame:
-    """(u, v): links between distinct fingerprints `fp`, as many as join them and no more than one per node, key and block pair."""
-    triples = list(itertools.combinations(range(len(GROUPS)), 3))
-    keys = fps.select("fp", F.explode(F.array(*[F.struct(F.lit(t).alias("t"), _bits(F.col("fp"), triple).alias("k")) for t, triple in enumerate(triples)])).alias("x")).select("fp", "x.t", "x.k")
-    met = keys.groupBy("t", "k").agg(F.count("*").alias("n")).where("n > 1")
-    members = keys.join(met, ["t", "k"])
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    members = members.withColumn("blocks", blocks).withColumn("b", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
-    members = members.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    members = members.select("t", "k", F.least("b", "o").alias("i"), F.greatest("b", "o").alias("j"), "fp")
-    dealt = members.repartition("t", "k", "i", "j").sortWithinPartitions("t", "k", "i", "j")
-    return dealt.mapInPandas(_links, "u long, v long").distinct()
+    """(u, v): links between distinct fingerprints `fp`, as many as join them and no more than one for each node and cell."""
+    level, found = fps.select("fp", F.lit(0).cast("long").alias("cell"), F.col("fp").alias("rest")), []
+    for free in GROUPS:
+        cells = dealt(level, free)
+        met = cells.groupBy("cell").agg(F.count("*").alias("n")).where("n > 1")
+        members = cells.join(met, "cell")
+        last = free == min(GROUPS)
+        small = members if last else members.where(F.col("n") <= CELL)
+        found.append(small.select("cell", "fp").repartition("cell").sortWithinPartitions("cell").mapInPandas(_links, "u long, v long"))
+        if last or met.where(F.col("n") > CELL).isEmpty():
+            break
+        level = checkpointed(members.where(F.col("n") > CELL).select("fp", "cell", "rest"))
+    return reduce(DataFrame.union, found).distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -198,7 +211,7 @@ def components(edges: DataFrame) -> DataFrame:
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u")
         small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v"))).where("u != v").distinct()
-        new = checkpointed(small.withColumn("roots", F.lit(1)).drop("roots"))
+        new = checkpointed(small)
         # done when no node is both above and below an edge and none has two parents
         up = new.groupBy("u").agg(F.count("*").alias("n"))
         open_ = up.where("n > 1").select("u").union(new.select(F.col("v").alias("u")).join(up.select("u"), "u", "left_semi")).limit(1)
@@ -207,15 +220,15 @@ def components(edges: DataFrame) -> DataFrame:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).union(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp, component_id): one row per document, component_id the least doc_id that links reach."""
-    marked = checkpointed(fingerprints(docs, id_col, text_col))
-    nodes = checkpointed(marked.groupBy("fp").agg(F.min("doc_id").alias("least")))
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: list[str] = ()) -> DataFrame:
+    """(doc_id, fp, component_id, component, *carry): one row per document; component_id is the least doc_id that links reach, component a fingerprint of it, never null."""
+    marked = checkpointed(fingerprints(docs, id_col, text_col, carry))
+    nodes = checkpointed(marked.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies")))
     roots = components(link_forest(nodes.select("fp")))
-    rooted = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.join(least, "root").select("fp", "component_id")
-    return marked.join(named, "fp").select("doc_id", "fp", "component_id")
+    rooted = checkpointed(nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("root", "fp")).drop("root"))
+    least = rooted.groupBy("component").agg(F.min("least").alias("component_id"), F.count("*").alias("_rows"))
+    named = joined_with_hot(rooted.select("fp", "component", F.col("copies").alias("_rows")), least, "component")
+    return joined_with_hot(marked, named, "fp").select("doc_id", "fp", "component_id", "component", *carry)
 
 
 def hex_of(fp: Column) -> Column:
