@@ -66,6 +66,27 @@ def test_clashing_columns_and_odd_rows_pass_through(spark, folder):
     assert all(r.lossless for r in last) and len({r.doc_id for r in last if r.doc_id is not None}) == len([r for r in last if r.doc_id is not None])
 
 
+def test_rows_that_share_an_id_or_have_none_are_judged_by_text(spark, folder):
+    d, _, _ = folder
+    rng = random.Random(4)
+    a, b, c = (" ".join(rng.choices(WORDS, k=300)) for _ in range(3))
+    rows = [(1, a, "en", "s", 1), (1, b, "en", "s", 1), (2, b, "en", "s", 1), (None, c, "en", "s", 1), (None, c, "en", "s", 1), (None, c, "fr", "s", 1), (None, a, "en", "s", 1), (3, None, "en", "s", None), (None, None, None, None, None), (3, "", "en", "s", 0)]
+    got = sorted(((r.doc_id is None, r.doc_id or 0, r.text or "") for r in corpus_pipeline.near_duplicates(spark, spark.createDataFrame(rows, SCHEMA), d).collect()))
+    assert got == sorted([(False, 1, a), (False, 1, b), (True, 0, c), (False, 3, "")])
+
+
+def test_run_keeps_no_files_of_earlier_stages(spark, folder):
+    import os
+
+    from tierloom.llm.common import shared_folder
+
+    d, _, _ = folder
+    there = lambda: {x for x in os.listdir(shared_folder(spark).removeprefix("file:")) if x.startswith(tuple(f"{n}-" for n, _ in corpus_pipeline.STAGES))}
+    before = there()
+    assert corpus_pipeline.run(spark, d).count()
+    assert [x.split("-")[0] for x in there() - before] == ["personal_data"]
+
+
 def test_stages_on_an_empty_table(spark, folder):
     d, _, _ = folder
     frame = spark.createDataFrame([], SCHEMA)
