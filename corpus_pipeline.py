@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tierloom.llm import decontamination, pii, quality, sentencepiece_sampling, simhash
-from tierloom.llm.common import fresh, read, stored
+from tierloom.llm.common import discarded, fresh, read, stored
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -21,11 +21,24 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group: that of the least doc_id. Rows without an id all stay; of rows with one id, one."""
-    kept = simhash.near_duplicates(docs).where("doc_id = component_id").select("doc_id").distinct()
-    n = fresh("_n", docs.columns)
-    first = docs.join(kept, "doc_id", "left_semi").withColumn(n, F.row_number().over(Window.partitionBy("doc_id").orderBy("doc_id"))).where(F.col(n) == 1)
-    return first.select(docs.columns).union(docs.where("doc_id is null"))
+    """One row of each near-duplicate group: of the least doc_id (rows without one last), then of the least row key.
+
+    A row is known by two hashes of all its columns and not by its doc_id, so rows that share an id or have none are
+    judged each by its text. Groups are settled on narrow rows; the whole rows are then met once by their key.
+    """
+    k1, k2 = fresh("_k1", docs.columns), fresh("_k2", docs.columns)
+    plain = lambda c, kind: F.to_json(F.struct(c)) if "map<" in kind else c  # noqa: E731  maps have no hash
+    columns = [x for c, kind in docs.dtypes for x in (plain(F.col(f"`{c}`"), kind), F.col(f"`{c}`").isNull())]
+    keyed = docs.withColumns({k1: F.xxhash64(*columns), k2: F.xxhash64(F.lit("second"), *columns)})
+    lean = keyed.select("doc_id", "text", k1, k2)
+    rows = simhash.near_duplicates(lean, carry=[k1, k2])
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("doc_id"), F.col(k1).alias(k1), F.col(k2).alias(k2))).alias("kept")
+    kept = rows.groupBy("component").agg(first).select(f"kept.{k1}", f"kept.{k2}")
+    met = keyed.join(kept, [k1, k2], "left_semi")
+    # rows alike in every column are one: the first, whichever it is
+    n = fresh("_n", [*docs.columns, k1, k2])
+    once = met.withColumn(n, F.row_number().over(Window.partitionBy(k1, k2).orderBy(k1))).where(F.col(n) == 1)
+    return once.select(docs.columns)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,8 +66,10 @@ ORACLE_SQL = None  # no SQL for SimHash classes, trained models or sampled piece
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over `documents`; each result but the last is kept as Parquet in the shared checkpoint folder."""
+    """All stages over `documents`; each result but the last is kept as Parquet in the shared checkpoint folder until the next is written."""
     docs = read(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name)
+        made = stored(stage(spark, docs, sf_dir), name)
+        discarded(docs)
+        docs = made
     return STAGES[-1][1](spark, docs, sf_dir)
