@@ -84,15 +84,31 @@ def test_decontamination_matches_brute_force(spark):
             for a in range(len(w) - n + 1):
                 if tuple(w[a : a + n]) in windows:
                     hit |= set(range(a, a + n))
-                    found.add(i)
+                    found.add(str(i))
         want[d, len(w), len(hit), tuple(sorted(found))] += 1
     bench = spark.createDataFrame(items, "item_id long, text string")
     for windows in (10**6, 40):
         got = decontamination.contaminated(spark.createDataFrame(docs, SCHEMA), bench, windows=windows).collect()
-        assert Counter((r.doc_id, r.n_words, r.n_hit, tuple(r["items"])) for r in got) == want
+        assert Counter((r.doc_id, r.n_words, r.n_hit, tuple(sorted(r["items"]))) for r in got) == want
     none = decontamination.contaminated(spark.createDataFrame(docs, SCHEMA), bench.limit(0), carry=["doc_id", "text"]).collect()
     assert len(none) == len(docs) and not any(r.n_hit for r in none)
     assert decontamination.contaminated(frame(spark, []), bench).count() == 0
+    named = spark.createDataFrame([(f"mmlu/{i}", t) for i, t in items if i is not None], "item_id string, text string")
+    clash = spark.createDataFrame(docs, SCHEMA).withColumns({c: simhash.F.lit("mine") for c in ("items", "n_hit", "_body", "_text_key", "_more", "item")})
+    for windows in (10**6, 40):
+        got = decontamination.contaminated(clash, named, windows=windows, carry=clash.columns).collect()
+        assert Counter((r.doc_id, r.n_words, r.n_hit, tuple(sorted(int(x[5:]) for x in r["items"]))) for r in got) == Counter({(d, a, b, tuple(sorted(map(int, x)))): n for (d, a, b, x), n in want.items()})
+        assert all(r._body == r._text_key == r._more == r.item == "mine" for r in got)
+
+
+def test_one_long_item_is_cut_into_blocks(spark):
+    rng = np.random.default_rng(3)
+    words = [f"w{i}" for i in rng.integers(0, 400, 3000)]
+    docs = [(1, "x " + " ".join(words[700:760]) + " y"), (2, " ".join(words[38:48])), (3, " ".join(words[50:59])), (4, "none of these")]
+    bench = spark.createDataFrame([("a", " ".join(words)), ("b", "none of")], "item_id string, text string")
+    for windows in (10**6, 40):
+        got = {r.doc_id: (r.n_hit, list(r["items"])) for r in decontamination.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), bench, windows=windows).collect()}
+        assert got == {1: (60, ["a"]), 2: (10, ["a"]), 3: (0, []), 4: (2, ["b"])}
 
 
 def test_lattice_sums_all_segmentations(vocabulary):

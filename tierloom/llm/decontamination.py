@@ -6,30 +6,33 @@ prefix: a document without a window's rarest word cannot hold the window. Docume
 meet the windows filed under them; the word's place in the window fixes where the window would begin
 (positional bound), which must lie inside the document (length bound); survivors are verified word by word.
 
-Windows are held in blocks of `WINDOWS`, each sent to the workers, which hold one at a time; so a benchmark
-of any size is joined whole, with memory bounded by a block.
+Windows are held in blocks of `WINDOWS`. The driver and the workers hold one block at a time: it is filed, sent out, met
+with all documents and taken back before the next. Long items are cut into pieces that share `WORDS` - 1 words, so
+that no item makes a block large. With one block the result is one pass over the documents; with several, each
+leaves the hit positions of the texts it meets, by a digest of the text, and these few rows are joined in the end.
 
 Defined cases: null or wordless text has no words and no hits; an item without words (or null) has no window;
-repeated items count once per distinct item_id, a null item_id is ignored; repeated documents are each returned;
-without items nothing is hit; columns asked for in `carry` come along unchanged, others are ignored.
+repeated items count once per distinct item_id, a null item_id is ignored; ids are compared and returned as strings;
+repeated documents are each returned; without items nothing is hit; columns asked for in `carry` come along unchanged,
+others are ignored.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, slices, texts_of
+from .common import checkpointed, fresh, slices, text_slices, texts_of
 from .pieces import distinct
 
 WORDS = 10
 #: Windows of a block.
 WINDOWS = 200_000
-SLICE = 2 << 20
 #: Lower-cases A-Z and turns everything that is no word byte into a space; bytes above 0x7F belong to words.
 _FOLD = bytes(b + 32 if 0x41 <= b <= 0x5A else b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256))
 
@@ -48,10 +51,10 @@ def word_ids(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, object]:
 
 
 class Block:
-    """Windows of some items. `rarity` orders their words; without it there is no index yet."""
+    """Windows of some pieces (item, words). `order` files them by the rarity of their words; before that there is no index."""
 
-    def __init__(self, items: list[tuple[int, str | None]], size: int):
-        texts = [(i, (t or "").encode().translate(_FOLD).split()) for i, t in items if i is not None]
+    def __init__(self, pieces: list[tuple[str, bytes]], size: int):
+        texts = [(i, words.split()) for i, words in pieces]
         self.vocabulary = sorted({w for _, words in texts for w in words})
         number = {w: k for k, w in enumerate(self.vocabulary)}
         windows: dict[tuple, set] = {}
@@ -99,38 +102,102 @@ class Block:
         return np.concatenate([x for x, _ in out]), np.concatenate([x for _, x in out])
 
 
+def _pieces(benchmark: DataFrame, size: int, windows: int) -> DataFrame:
+    """(item, words, windows): the folded words of items, in pieces of at most `windows` windows."""
+
+    def run(batches) -> Iterator:
+        import pyarrow as pa
+
+        for batch in batches:
+            out: list[tuple] = []
+            for item, text in zip(batch.column(0).to_pylist(), texts_of(batch.column(1))):
+                words = text.translate(_FOLD).split()
+                for a in range(0, max(1, len(words) - size + 1) if words else 0, windows):
+                    own = words[a : a + windows + size - 1]
+                    out.append((item, b" ".join(own), max(1, len(own) - size + 1)))
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], kind) for k, kind in enumerate((pa.string(), pa.binary(), pa.int64()))], ["item", "words", "windows"])
+
+    items = benchmark.select(F.col("item_id").cast("string").alias("item"), F.col("text").cast("string").alias("text")).where("item is not null")
+    return items.mapInArrow(run, "item string, words binary, windows long").distinct()
+
+
 def _blocks(benchmark: DataFrame, size: int, windows: int) -> Iterator[Block]:
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("item_id is not null").distinct()
-    # no text has more words than half its length, rounded up
-    total = items.agg(F.sum(F.ceil(F.length("text") / 2))).first()[0] or 0
-    n = max(1, math.ceil(int(total) / windows))
+    """Blocks of about `windows` windows, one at a time; at least one."""
+    pieces = _pieces(benchmark, size, windows)
+    n = max(1, math.ceil(int(pieces.agg(F.sum("windows")).first()[0] or 0) / windows))
+    pieces = checkpointed(pieces) if n > 1 else pieces
     for b in range(n):
-        part = items.where(F.pmod(F.xxhash64("item_id"), F.lit(n)) == b) if n > 1 else items
-        yield Block([tuple(r) for r in part.collect()], size)  # about `windows` windows at most
+        part = pieces.where(F.pmod(F.xxhash64("item", "words"), F.lit(n)) == b) if n > 1 else pieces
+        yield Block([(i, bytes(w)) for i, w in part.select("item", "words").collect()], size)  # a block's windows
 
 
-def _uses(docs: DataFrame, vocabularies: list) -> dict:
-    """How often each benchmark word occurs over all documents."""
+def _uses(docs: DataFrame, body: str, block: Block) -> np.ndarray:
+    """How often each of a block's words occurs over all documents."""
+    shared = docs.sparkSession.sparkContext.broadcast(block.vocabulary)
 
     def run(batches) -> Iterator:
         import pyarrow as pa
         import pyarrow.compute as pc
 
+        known, total = pa.array(shared.value, pa.binary()), np.zeros(len(shared.value), np.int64)
+        for batch in batches:
+            for _, _, texts in text_slices(batch, body):
+                which, _, words = word_ids(texts)
+                at = pc.index_in(words, known).fill_null(-1).to_numpy(zero_copy_only=False)
+                np.add.at(total, at[at >= 0], np.bincount(which, minlength=len(words))[at >= 0])
+        used = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(total[used])], ["word", "n"])
+
+    uses = np.zeros(len(block.vocabulary), np.int64)
+    for w, n in docs.select(body).mapInArrow(run, "word int, n long").groupBy("word").agg(F.sum("n")).collect():  # a block's words
+        uses[w] = n
+    shared.destroy()
+    return uses
+
+
+def _met(block: Block, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[set]]:
+    """(where texts begin among all words, whether each word is hit, ids of items met by each text)."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    which, first, words = word_ids(texts)
+    edge = np.zeros(len(which) + 1, np.int64)
+    found: list[set] = [set() for _ in texts]
+    if len(which):
+        number = pc.index_in(words, pa.array(block.vocabulary, pa.binary())).fill_null(-1).to_numpy(zero_copy_only=False)
+        p, w = block.occurrences(number[which], first)
+        np.add.at(edge, p, 1)
+        np.add.at(edge, p + block.length[w], -1)
+        text = np.searchsorted(first, p, side="right") - 1
+        for t, k in np.unique(np.c_[text, w], axis=0).tolist() if len(p) else ():
+            found[t].update(block.items[k])
+    return first, np.cumsum(edge[:-1]) > 0, found
+
+
+def _partly(docs: DataFrame, body: str, block: Block) -> DataFrame:
+    """(text_key, hit, items): of the distinct texts that a block meets, the positions of hit words and the items."""
+    shared = docs.sparkSession.sparkContext.broadcast(block)
+
+    def run(batches) -> Iterator:
+        import pyarrow as pa
+
+        block = shared.value
         for batch in batches:
-            column = batch.column(0)
-            sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
-            for a, b in slices(sizes, SLICE):
-                which, _, words = word_ids(texts_of(column.slice(a, b - a)))
-                n = np.bincount(which, minlength=len(words))
-                for k, shared in enumerate(vocabularies):
-                    at = pc.index_in(words, pa.array(shared.value, pa.binary())).fill_null(-1).to_numpy(zero_copy_only=False)
-                    if len(vocabularies) > 1:
-                        del shared._value
-                    hit = at >= 0
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(hit.sum(), k, np.int32)), pa.array(at[hit].astype(np.int32)), pa.array(n[hit])], ["block", "word", "n"])
-
-    rows = docs.select("text").mapInArrow(run, "block int, word int, n long").groupBy("block", "word").agg(F.sum("n")).collect()
-    return {(b, w): n for b, w, n in rows}  # the benchmark's vocabulary
+            for a, _, texts in text_slices(batch, body):
+                first, hit, found = _met(block, texts)
+                some = [t for t, x in enumerate(found) if x]
+                at = [np.flatnonzero(hit[first[t] : first[t + 1]]) for t in some]
+                keys = batch.column(batch.num_columns - 1).take(pa.array([a + t for t in some], pa.int64()))
+                yield pa.RecordBatch.from_arrays([keys, pa.array(at, pa.list_(pa.int32())), pa.array([sorted(found[t]) for t in some], pa.list_(pa.string()))], ["text_key", "hit", "items"])
+
+    rows = docs.select(body, _text_key(body).alias("_key")).mapInArrow(run, "text_key string, hit array<int>, items array<string>")
+    kept = checkpointed(rows.dropDuplicates(["text_key"]))
+    shared.destroy()
+    return kept
+
+
+def _text_key(body: str):
+    return F.md5(F.coalesce(F.col(body), F.lit("")).cast("binary"))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, size: int = WORDS, windows: int = WINDOWS, carry: list[str] = ("doc_id",), text_col: str = "text", names: tuple[str, str, str] = ("n_words", "n_hit", "items")) -> DataFrame:
@@ -141,36 +208,36 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, size: int = WORDS, windo
     sc = docs.sparkSession.sparkContext
     carry = [c for c in carry if c not in names]
     docs = docs.select(*[F.col(f"`{c}`") for c in carry], F.col(text_col).cast("string").alias(body := fresh("_body", carry)))
-    blocks = list(_blocks(benchmark, size, windows))
-    uses = _uses(docs.select(F.col(body).alias("text")), [sc.broadcast(b.vocabulary) for b in blocks])
-    shared = [sc.broadcast(b.order(np.array([uses.get((k, w), 0) for w in range(len(b.vocabulary))], np.int64))) for k, b in enumerate(blocks)]
+    blocks = _blocks(benchmark, size, windows)
+    block, parts = next(blocks), []
+    block.order(_uses(docs, body, block))
+    for more in blocks:
+        parts = parts or [_partly(docs, body, block)]
+        block = None
+        parts.append(_partly(docs, body, more.order(_uses(docs, body, more))))
+    shared = sc.broadcast(block)  # one block, or none where all have been met already
 
     def run(batches) -> Iterator:
         import pyarrow as pa
-        import pyarrow.compute as pc
 
+        block = shared.value
         for batch in batches:
-            column = batch.column(batch.num_columns - 1)
-            sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
-            for a, b in slices(sizes, SLICE):
-                which, first, words = word_ids(texts_of(column.slice(a, b - a)))
-                edge = np.zeros(len(which) + 1, np.int64)
-                found: list[set] = [set() for _ in range(b - a)]
-                for s in shared:
-                    block = s.value
-                    number = pc.index_in(words, pa.array(block.vocabulary, pa.binary())).fill_null(-1).to_numpy(zero_copy_only=False)
-                    p, w = block.occurrences(number[which], first) if len(which) else (np.zeros(0, np.int64),) * 2
-                    np.add.at(edge, p, 1)
-                    np.add.at(edge, p + block.length[w], -1)
-                    if len(p):
-                        text = np.searchsorted(first, p, side="right") - 1
-                        for t, k in np.unique(np.c_[text, w], axis=0).tolist():
-                            found[t].update(block.items[k])
-                    if len(shared) > 1:
-                        del s._value
-                hit = np.r_[0, np.cumsum(np.cumsum(edge[:-1]) > 0)]
-                arrays = [*[batch.column(i).slice(a, b - a) for i in range(len(carry))], pa.array(np.diff(first).astype(np.int64)), pa.array(np.diff(hit[first]).astype(np.int64)), pa.array([sorted(x) for x in found], pa.list_(pa.int64()))]
-                yield pa.RecordBatch.from_arrays(arrays, [*carry, *names])
-
-    schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in docs.schema.fields[:-1])
-    return docs.mapInArrow(run, schema + "`{}` long, `{}` long, `{}` array<long>".format(*names))
+            for a, b, texts in text_slices(batch, body):
+                if block is None:
+                    _, first, _ = word_ids(texts)
+                    n_hit, found = np.zeros(b - a, np.int64), [None] * (b - a)
+                else:
+                    first, hit, found = _met(block, texts)
+                    n_hit = np.diff(np.r_[0, np.cumsum(hit)][first])
+                arrays = [*[batch.column(i).slice(a, b - a) for i in range(len(carry))], pa.array(np.diff(first).astype(np.int64)), pa.array(n_hit.astype(np.int64)), pa.array([x and sorted(x) or [] for x in found], pa.list_(pa.string()))]
+                extra = [] if block is not None else [batch.column(batch.num_columns - 1).slice(a, b - a)]
+                yield pa.RecordBatch.from_arrays([*arrays, *extra], [*carry, *names, *([key] if extra else [])])
+
+    key = fresh("_text_key", [*carry, *names])
+    schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in docs.schema.fields[:-1]) + "`{}` long, `{}` long, `{}` array<string>".format(*names)
+    if not parts:
+        return docs.mapInArrow(run, schema)
+    union = reduce(DataFrame.union, parts).groupBy("text_key").agg(F.size(F.array_distinct(F.flatten(F.collect_list("hit")))).cast("long").alias("_hit"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("_items"))
+    met = checkpointed(union).select(F.col("text_key").alias(key), F.struct("_hit", "_items").alias(more := fresh("_more", [*carry, *names, key])))
+    rows = docs.withColumn(key, _text_key(body)).mapInArrow(run, f"{schema}, `{key}` string").join(met, key, "left")
+    return rows.select(*[F.col(f"`{c}`") for c in carry], names[0], F.coalesce(F.col(f"{more}._hit"), F.lit(0)).cast("long").alias(names[1]), F.coalesce(F.col(f"{more}._items"), F.array().cast("array<string>")).alias(names[2]))

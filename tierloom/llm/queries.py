@@ -65,7 +65,7 @@ def op4_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
-    ids = F.array_join(F.array_sort(F.transform("items", lambda x: x.cast("string"))), ",")
+    ids = F.array_join(F.array_sort("items"), ",")
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(ids.cast("binary"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
