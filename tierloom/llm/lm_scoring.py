@@ -1,22 +1,26 @@
 """Language-model scoring with a subword lattice.
 
-A token's probability sums over every segmentation into pieces of an existing vocabulary (log-space
-forward recursion), plus one more path, the whole token as learnt from training texts:
+A text is a chain of pieces of an existing vocabulary that ends with an end symbol. `score` is the log10 probability of
+the text under that model, all segmentations together: the log-space forward recursion over the piece lattice gives
+each token's marginal Z, and as a piece that starts a word ends the one before it, the text's marginal is the product
+of its tokens' and of the end's, so Z is a probability distribution over tokens.
+
+A piece's probability is `ADAPT` parts what expectation maximisation (one step over all distinct training tokens, each
+as often as it occurs) expects of it, and the rest the vocabulary's own score; the end's is its share of all symbols.
+
+`mixed_score` beside it is a model of whole tokens with the lattice for what they leave open:
 
     P(token) = (1 - m) * count / N + m * Z(token)
 
-Z is the lattice sum. Piece weights start from the vocabulary's scores and are adapted by one step of
-expectation maximisation over all distinct training tokens. A piece that starts a word ends the one before
-it, so Z is a probability distribution over tokens. m, the mass of the lattice, is the share of training
-tokens seen once (Good-Turing). The end of a text counts as a token. log10 P(text) is the sum over tokens.
+m, the mass of the lattice, is the share of training tokens seen once (Good-Turing).
 
 Counts are exact over all training rows. The most frequent `HEAD` tokens (a fixed number) are sent to
 every worker; each text's other tokens are joined with the full table of counts, so nothing that grows
 with the corpus is held in one place.
 
-Defined cases: null text is empty; an empty text has one token, its end; without training rows, N is zero,
-the lattice alone weighs words and m is one; a null doc_id is hashed as the empty string; repeated rows
-each count and are each returned; other columns are ignored.
+Defined cases: null text is empty; an empty text has one token, its end; without training rows, N is zero, pieces have the
+vocabulary's scores and m is one; a null doc_id is hashed as the empty string; repeated rows
+each count and are each returned; other columns are ignored, whatever they are called.
 """
 
 from __future__ import annotations
@@ -35,6 +39,8 @@ from .sentencepiece_sampling import table_of
 
 #: Most frequent tokens that every worker holds, at most.
 HEAD = 150_000
+#: Weight of the training corpus against the vocabulary's own scores in a piece's probability.
+ADAPT = 0.5
 SLICE = 4 << 20
 #: White space of a text: separates tokens.
 _WHITE = np.zeros(256, bool)
@@ -97,8 +103,8 @@ def token_counts(texts: DataFrame) -> DataFrame:
     return texts.select("text").mapInArrow(run, "token string, n long").groupBy("token").agg(F.sum("n").alias("n"))
 
 
-def adapted(counts: DataFrame, vocabulary: Vocabulary) -> np.ndarray:
-    """Piece log-probabilities after one step of expectation maximisation over all counted tokens."""
+def expected_uses(counts: DataFrame, vocabulary: Vocabulary) -> np.ndarray:
+    """Expected uses of each piece over all counted tokens, under the vocabulary's scores."""
     size = len(vocabulary.pieces)
     shared = counts.sparkSession.sparkContext.broadcast(vocabulary)
 
@@ -115,11 +121,19 @@ def adapted(counts: DataFrame, vocabulary: Vocabulary) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(total[used])], ["piece", "uses"])
 
     uses = counts.where("token != ''").mapInArrow(run, "piece int, uses double").groupBy("piece").agg(F.sum("uses").alias("uses"))
-    total = np.where(np.isfinite(vocabulary.logp), np.exp(vocabulary.logp), 0.0) * 1000  # the existing scores, as prior counts
+    total = np.zeros(size)
     for piece, n in uses.collect():  # a row for each piece of the vocabulary at most
-        total[piece] += n
+        total[piece] = n
+    return total
+
+
+def adapted(uses: np.ndarray, ends: int, vocabulary: Vocabulary, weight: float = ADAPT) -> tuple[np.ndarray, float]:
+    """Log-probabilities of the pieces and of the end, which together sum to one."""
+    own = np.where(np.isfinite(vocabulary.logp), np.exp(vocabulary.logp), 0.0)
+    share = weight * uses / uses.sum() + (1 - weight) * own if uses.sum() else own
+    end = (ends + 0.5) / (ends + uses.sum() + 1.0)
     with np.errstate(divide="ignore"):
-        return np.log(total / total.sum())
+        return np.log(share) + math.log(1 - end), math.log(end)
 
 
 def most_frequent(counts: DataFrame, head: int) -> pd.DataFrame:
@@ -135,20 +149,21 @@ def most_frequent(counts: DataFrame, head: int) -> pd.DataFrame:
 
 
 def scores(docs: DataFrame, vocabulary: Vocabulary, modulus: int = 5, held: int = 1, id_col: str = "doc_id", text_col: str = "text", head: int = HEAD) -> DataFrame:
-    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every document."""
+    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, mixed_score) of every document."""
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).withColumn("held_out", bucket_of(F.col("doc_id"), modulus) == held)
     counts = checkpointed(token_counts(docs.where("not held_out")))
     is_end = F.col("token") == ""
     n, v, once, ends = (int(x or 0) for x in counts.agg(F.sum("n"), F.count("*"), F.sum(F.when((F.col("n") == 1) & ~is_end, 1)), F.sum(F.when(is_end, F.col("n")))).first())
     m = min(0.999, max(once, 1) / n) if n else 1.0
-    logp = adapted(counts, vocabulary)
+    logp, log_end = adapted(expected_uses(counts, vocabulary), ends, vocabulary)
     top = most_frequent(counts, head)
     top = top[top.token != ""]
     words = [w.encode() for w in top.token]
     body, starts = np.frombuffer(b"".join(words), np.uint8), np.r_[0, np.cumsum([len(w) for w in words])].astype(np.int64)
     base = lambda c: np.log10((np.asarray(c, float) + 0.5) / (n + 0.5 * (v + 1)))
     own = lambda c, z: np.log10((1 - m) * np.asarray(c, float) / n + m * np.exp(np.asarray(z)))  # noqa: E731  counts above zero, so long tokens do not underflow
-    known = {"token": top.token.tolist(), "base": base(top.n), "own": own(top.n, log_z(vocabulary, body, starts, logp)) if len(words) else np.zeros(0)}
+    top_z = log_z(vocabulary, body, starts, logp) if len(words) else np.zeros(0)
+    known = {"token": top.token.tolist(), "base": base(top.n), "own": own(top.n, top_z) if len(words) else np.zeros(0), "z": top_z}
     end_base, end_own = float(base(ends)), math.log10((1 - m) * ends / n if n and ends else 0.5 / (n + 1))
     shared = docs.sparkSession.sparkContext.broadcast((known, vocabulary, logp))  # bounded by `head` and the vocabulary file
 
@@ -169,23 +184,23 @@ def scores(docs: DataFrame, vocabulary: Vocabulary, modulus: int = 5, held: int
                 token_base = np.where(rare, 0.0, np.r_[known["base"], 0.0][at])
                 token_own = np.where(rare, 0.0, np.r_[known["own"], 0.0][at])
                 text = np.repeat(np.arange(b - a), per_text)
-                sums = [np.bincount(text, x[which], b - a) for x in (token_base, token_own, ~rare)]
+                z = np.where(rare, 0.0, np.r_[known["z"], 0.0][at])
+                left = np.flatnonzero(rare)
+                sub = np.repeat(rare, np.diff(starts))
+                z[left] = log_z(vocabulary, body[sub], np.r_[0, np.cumsum(np.diff(starts)[left])], logp)
+                sums = [np.bincount(text, x[which], b - a) for x in (token_base, token_own, ~rare, z)]
                 # the others: (text, token) with how often, ordered by text
                 lean = rare[which]
                 pair, times = np.unique(text[lean] * np.int64(len(rare)) + which[lean], return_counts=True)
                 doc, token = pair // max(1, len(rare)), pair % max(1, len(rare))
-                z = np.zeros(len(rare))
-                left = np.flatnonzero(rare)
-                sub = np.repeat(rare, np.diff(starts))
-                z[left] = log_z(vocabulary, body[sub], np.r_[0, np.cumsum(np.diff(starts)[left])], logp)
                 offsets = pa.array(np.searchsorted(doc, np.arange(b - a + 1)).astype(np.int32))
                 lists = [pa.ListArray.from_arrays(offsets, x) for x in (strings.take(pa.array(token)), pa.array(times.astype(np.int32)), pa.array(z[token]))]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), pa.array(per_text + 1), pa.array(sums[2].astype(np.int64)), pa.array(sums[0]), pa.array(sums[1]), *lists],
-                    ["doc_id", "held_out", "n_tokens", "known", "base", "own", "token", "times", "z"],
+                    [batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), pa.array(per_text + 1), pa.array(sums[2].astype(np.int64)), pa.array(sums[0]), pa.array(sums[1]), pa.array(sums[3]), *lists],
+                    ["doc_id", "held_out", "n_tokens", "known", "base", "own", "marginal", "token", "times", "z"],
                 )
 
-    schema = "doc_id long, held_out boolean, n_tokens long, known long, base double, own double, token array<string>, times array<int>, z array<double>"
+    schema = "doc_id long, held_out boolean, n_tokens long, known long, base double, own double, marginal double, token array<string>, times array<int>, z array<double>"
     parts = docs.select("doc_id", "held_out", "text").mapInArrow(run, schema)
     parts = parts.withColumn("token", F.array_join("token", " "))  # tokens hold no space: smaller to keep
     parts = checkpointed(parts.withColumn("row", F.monotonically_increasing_id()))
@@ -203,5 +218,6 @@ def scores(docs: DataFrame, vocabulary: Vocabulary, modulus: int = 5, held: int
         (F.col("known") + (1 if ends else 0) + zero("more_known")).cast("long").alias("n_known"),
         F.lit(n).cast("long").alias("train_tokens"),
         (F.col("base") + end_base + zero("more_base")).alias("base_score"),
-        (F.col("own") + end_own + zero("more_own")).alias("score"),
+        ((F.col("marginal") + log_end) / math.log(10)).alias("score"),
+        (F.col("own") + end_own + zero("more_own")).alias("mixed_score"),
     )
