@@ -1,10 +1,11 @@
 """Toxicity scoring with a counterfactually regularised classifier.
 
 A logistic regression over capped counts of words and word prefixes. Besides the lasso it pays for every
-change of score that swapping identity terms makes: in a labelled text, one mention of every term it has is
-swapped for every other term in turn; in a text that has none, every term is put in. The squared differences
-enter the loss, as their mean over the other terms and over all the labelled texts, so neutral mentions of a
-group move the score as little as the data allow.
+change of score that swapping identity terms makes. In a labelled text, all mentions of each term it has are
+swapped for every other term of the same language in turn; a text that has none gets one mention of each term of its own
+language, which its most frequent function words tell (all terms where none does). Differences are those of the
+capped counts that scoring reads. Their squares enter the loss, as the mean over replacements and over all
+labelled texts, so neutral mentions of a group move the score as little as the data allow.
 
 Features are chosen, and weights fitted, on labelled rows outside the held-out remainder, at most about
 `SAMPLE` of them and `FEATURES` features; scoring is a single narrow pass.
@@ -22,7 +23,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import labelled_sample, slices, stored, texts_of
+from .common import discarded, labelled_sample, slices, stored, texts_of
 from .decontamination import word_ids
 
 SAMPLE = 12_000
@@ -40,6 +41,13 @@ IDENTITY = {
     "de": "frauen männer mädchen jungen muslime christen juden hindus buddhisten atheisten einwanderer flüchtlinge ausländer schwule lesben behinderte blinde gehörlose senioren afrikaner asiaten europäer amerikaner",
     "es": "mujeres hombres niñas niños musulmanes cristianos judíos hindúes budistas ateos inmigrantes refugiados extranjeros homosexuales lesbianas discapacitados ciegos sordos ancianos africanos asiáticos europeos americanos",
 }
+# Frequent function words, by language.
+FUNCTION = {
+    "en": "the of and to in is that for with was are this by from",
+    "fr": "le la les des et est une dans pour que qui sur avec par",
+    "de": "der die das und ist nicht mit ein eine von den auf sich dem",
+    "es": "el los las de que y es una por con para del se como",
+}
 
 
 def _features(words, kind: int):
@@ -86,7 +94,7 @@ def _table(features: list[tuple[int, bytes]]) -> dict:
     return {k: ([f for kind, f in features if kind == k], np.array([i for i, (kind, _) in enumerate(features) if kind == k], np.int32)) for k in PREFIXES}
 
 
-def _counts(table: dict, which: np.ndarray, first: np.ndarray, words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _counts(table: dict, which: np.ndarray, first: np.ndarray, words, cap: int = CAP) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(document, feature, capped count) of the known features."""
     import pyarrow as pa
     import pyarrow.compute as pc
@@ -103,7 +111,7 @@ def _counts(table: dict, which: np.ndarray, first: np.ndarray, words) -> tuple[n
     if not docs:
         return (np.zeros(0, np.int64),) * 3
     pair, times = np.unique(np.concatenate(docs) * np.int64(1 << 32) + np.concatenate(numbers), return_counts=True)
-    return pair >> 32, pair & 0xFFFFFFFF, np.minimum(times, CAP)
+    return pair >> 32, pair & 0xFFFFFFFF, np.minimum(times, cap)
 
 
 def identity_terms() -> list[bytes]:
@@ -111,32 +119,77 @@ def identity_terms() -> list[bytes]:
     return list(dict.fromkeys(w.encode() for words in IDENTITY.values() for w in words.split()))
 
 
-def mentions(table: dict, size: int) -> np.ndarray:
-    """The feature vector of one mention of each identity term."""
-    terms = identity_terms()
-    out = np.zeros((len(terms), size))
-    for i, term in enumerate(terms):
-        d, f, n = _counts(table, *word_ids([term]))
-        out[i, f] = n
+def votes(which: np.ndarray, first: np.ndarray, words) -> np.ndarray:
+    """Function words of each language in each document."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    doc = np.repeat(np.arange(len(first) - 1), np.diff(first))
+    out = np.zeros((len(first) - 1, len(FUNCTION)), np.int32)
+    for k, own in enumerate(FUNCTION.values()):
+        hit = pc.is_in(words, value_set=pa.array([w.encode() for w in own.split()], pa.binary())).to_numpy(zero_copy_only=False)[which] if len(words) else np.zeros(0, bool)
+        out[:, k] = np.bincount(doc[hit], minlength=len(first) - 1)
     return out
 
 
-def swaps_of(rows: np.ndarray, cols: np.ndarray, n: int, features: list[tuple[int, bytes]]) -> tuple[np.ndarray, np.ndarray]:
-    """Vectors and shares whose weighted squares are those of all swaps in all n rows, each row counting 1 / n.
+def languages_of(vote: np.ndarray) -> np.ndarray:
+    """Number of the language with the most function words, the first of equal ones; -1 without any."""
+    return np.where(vote.sum(axis=1) > 0, vote.argmax(axis=1), -1) if len(vote) else np.zeros(0, int)
 
-    A swap's difference is linear in the terms' vectors, so all squares together are one form over the terms, which
-    needs only the number of rows that have each term. Its eigenvectors stand for the swaps: one a term.
+
+def swaps_of(rows: np.ndarray, cols: np.ndarray, values: np.ndarray, language: np.ndarray, features: list[tuple[int, bytes]], cap: int = CAP) -> tuple[tuple[np.ndarray, np.ndarray, np.ndarray], np.ndarray]:
+    """((swap, feature, difference), share of each swap) over all rows; equal differences are one swap with their shares added.
+
+    `values` are counts without a cap; `language` has a number for each row.
     """
-    number = {(0, t): i for i, t in enumerate(identity_terms())}
-    k = len(number)
-    term = np.array([number.get(f, -1) for f in features])[cols]
-    has = np.bincount(term[term >= 0], minlength=k).astype(float)
-    without = n - len(np.unique(rows[term >= 0]))
-    # of has[t] rows: the mean over u of (e_u - e_t) (e_u - e_t)'; of rows without a term: the mean of e_u e_u'
-    form = -(has[:, None] + has[None, :]) / (k - 1)
-    np.fill_diagonal(form, has + (has.sum() - has) / (k - 1) + without / k)
-    share, turned = np.linalg.eigh(form / n)
-    return turned.T @ mentions(_table(features), len(features)), np.maximum(share, 0)
+    n = len(language)
+    number = {f: i for i, f in enumerate(features)}
+    terms = [[w.encode() for w in own.split()] for own in IDENTITY.values()]
+    marks = {t: [number[k, t[: k or None]] for k in PREFIXES] for own in terms for t in own}
+    local = {f: i for i, f in enumerate(sorted({f for fs in marks.values() for f in fs}))}
+    back = np.array(sorted(local))
+    counts = np.zeros((n, len(local)), np.int64)
+    known = np.isin(cols, back)
+    np.add.at(counts, (rows[known], np.searchsorted(back, cols[known])), values[known].astype(np.int64))
+    marks = {t: [local[f] for f in fs] for t, fs in marks.items()}
+    out_swap, out_feature, out_value, share = [], [], [], []
+
+    def put(at: np.ndarray, change: dict[int, np.ndarray], weight: float) -> None:
+        """Rows `at` change by change[feature] each, before the cap."""
+        places = sorted(f for f, c in change.items() if c.any())
+        if not len(at) or not places:
+            return
+        before = counts[np.ix_(at, places)]
+        delta = np.minimum(before + np.stack([change[f] for f in places], axis=1), cap) - np.minimum(before, cap)
+        kinds, times = np.unique(delta, axis=0, return_counts=True)
+        for d, k in zip(kinds, times):
+            if d.any():
+                out_swap.extend([len(share)] * int((d != 0).sum()))
+                out_feature.extend(back[np.array(places)[d != 0]].tolist())
+                out_value.extend(d[d != 0].tolist())
+                share.append(k * weight / n)
+
+    has = {t: counts[:, fs[0]] for t, fs in marks.items()}  # PREFIXES begins with the whole word
+    some = np.zeros(n, bool)
+    for t, mentions in has.items():
+        some |= mentions > 0
+        own = [k for k, words in enumerate(terms) if t in words]
+        chosen = np.where(np.isin(language, own), language, own[0])
+        for k in own:
+            at = np.flatnonzero((mentions > 0) & (chosen == k))
+            for u in terms[k]:
+                if u != t:
+                    change: dict[int, np.ndarray] = {f: np.zeros(len(at), np.int64) for f in (*marks[t], *marks[u])}
+                    for f in marks[t]:
+                        change[f] = change[f] - mentions[at]
+                    for f in marks[u]:
+                        change[f] = change[f] + mentions[at]
+                    put(at, change, 1 / (len(terms[k]) - 1))
+    for k in range(-1, len(terms)):
+        at, own = np.flatnonzero(~some & (language == k)), terms[k] if k >= 0 else list(marks)
+        for u in own:
+            put(at, dict.fromkeys(marks[u], np.ones(len(at), np.int64)), 1 / len(own))
+    return (np.array(out_swap, np.int64), np.array(out_feature, np.int64), np.array(out_value, float)), np.array(share)
 
 
 class ToxicityModel:
@@ -149,27 +202,32 @@ class ToxicityModel:
         return self.intercept + (np.bincount(d, self.weights[f] * n, len(first) - 1) if len(d) else 0.0) + np.zeros(len(first) - 1)
 
 
-def fit(x: tuple, y: np.ndarray, size: int, swaps: np.ndarray, share: np.ndarray, steps: int = 500) -> tuple[np.ndarray, float]:
-    """Weights and intercept. x: (row, feature, value); swaps: difference vectors, each with its share."""
+def fit(x: tuple, y: np.ndarray, size: int, swaps: tuple, share: np.ndarray, strength: float = SWAP, steps: int = 500) -> tuple[np.ndarray, float]:
+    """Weights and intercept. x: (row, feature, value); swaps: (swap, feature, difference), each swap with its share."""
     rows, cols, values = x
-    n = len(y)
+    at, of, change = swaps
+    n, k = len(y), len(share)
     p = min(max(float(y.mean()), 1e-3), 1 - 1e-3)
     w, b = np.zeros(size), float(np.log(p / (1 - p)))
     # scaled by both parts of the curvature, so that one step width suits all
-    spread = np.sqrt(np.bincount(cols, values**2, size) / n + 8 * SWAP * (share @ swaps**2)) + 1e-3
-    v = values / spread[cols]
-    d = swaps / spread
+    spread = np.sqrt(np.bincount(cols, values**2, size) / n + 8 * strength * np.bincount(of, change**2 * share[at], size)) + 1e-3
+    v, d = values / spread[cols], change / spread[of]
+
+    def pull(w: np.ndarray) -> np.ndarray:
+        """Gradient of the swaps' mean square."""
+        return 2 * strength * np.bincount(of, d * (share * np.bincount(at, d * w[of], k))[at], size)
+
     # largest curvature, by the power method
     q = np.random.default_rng(0).random(size)
     for _ in range(20):
-        q = np.bincount(cols, v * np.bincount(rows, v * q[cols], n)[rows], size) / (4 * n) + 2 * SWAP * (d.T @ (share * (d @ q)))
+        q = np.bincount(cols, v * np.bincount(rows, v * q[cols], n)[rows], size) / (4 * n) + pull(q)
         top = np.linalg.norm(q) + 1e-9
         q = q / top
     rate = 1 / (1.2 * top + 0.25)
     vw, vb, t = w.copy(), b, 1.0
     for _ in range(steps):
         r = 1 / (1 + np.exp(-(np.bincount(rows, v * vw[cols], n) + vb))) - y
-        new = vw - rate * (np.bincount(cols, v * r[rows], size) / n + 2 * SWAP * (d.T @ (share * (d @ vw))))
+        new = vw - rate * (np.bincount(cols, v * r[rows], size) / n + pull(vw))
         new = np.sign(new) * np.maximum(np.abs(new) - rate * LASSO, 0)
         new_b = vb - rate * r.mean()
         t2 = (1 + np.sqrt(1 + 4 * t * t)) / 2
@@ -195,7 +253,8 @@ def calibrated(z: np.ndarray, y: np.ndarray, intercept: float) -> tuple[float, f
     return max(float(c[0]), 0.0), float(c[1])
 
 
-def train(docs: DataFrame, labels: DataFrame, most: int = SAMPLE, text_col: str = "text") -> ToxicityModel:
+def train(docs: DataFrame, labels: DataFrame, most: int = SAMPLE, text_col: str = "text", strength: float = SWAP) -> ToxicityModel:
+    """`strength` weighs the swaps' penalty."""
     rows = labelled_sample(docs.select("doc_id", F.col(text_col).cast("string").alias("text")), labels, TARGET, MODULUS, HELD, most, ["text"])
     rows = stored(rows, "toxicity-sample")  # `most` rows; read several times, while the documents are read once
     pos, neg = rows.agg(F.sum("_y"), F.sum(1 - F.col("_y"))).first()
@@ -218,17 +277,20 @@ def train(docs: DataFrame, labels: DataFrame, most: int = SAMPLE, text_col: str
         import pyarrow as pa
 
         for batch, which, first, words in _pieces(batches, 0):
-            d, f, n = _counts(shared.value, which, first, words)
+            d, f, n = _counts(shared.value, which, first, words, 1 << 30)
             at = pa.array(np.searchsorted(d, np.arange(batch.num_rows + 1)).astype(np.int32))
-            yield pa.RecordBatch.from_arrays([batch.column(1), pa.ListArray.from_arrays(at, pa.array(f.astype(np.int32))), pa.ListArray.from_arrays(at, pa.array(n.astype(np.int8)))], ["y", "f", "n"])
+            lists = [pa.ListArray.from_arrays(at, pa.array(x.astype(np.int32))) for x in (f, n)]
+            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(languages_of(votes(which, first, words)).astype(np.int32)), *lists], ["y", "language", "f", "n"])
 
-    got = rows.select("text", "_y").mapInArrow(run, "y int, f array<int>, n array<tinyint>").collect()  # `most` rows of chosen features
+    got = rows.select("text", "_y").mapInArrow(run, "y int, language int, f array<int>, n array<int>").collect()  # `most` rows of chosen features
+    discarded(rows)
     got.sort(key=lambda r: (r.y, r.f, r.n))
     y = np.array([r.y for r in got], float)
     row = np.repeat(np.arange(len(got)), [len(r.f) for r in got])
     col = np.concatenate([np.array(r.f, np.int64) for r in got])
     val = np.concatenate([np.array(r.n, float) for r in got])
-    return ToxicityModel(features, *fit((row, col, val), y, len(features), *swaps_of(row, col, len(y), features)))
+    swaps, share = swaps_of(row, col, val, np.array([r.language for r in got]), features)
+    return ToxicityModel(features, *fit((row, col, np.minimum(val, CAP)), y, len(features), swaps, share, strength))
 
 
 def scored(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
