@@ -1,26 +1,30 @@
 """Document fingerprints by winnowing.
 
-Tokens are runs of non-space characters of the lower-cased text, cut after `RUN` characters, so that
-texts without spaces have tokens too. Every `GRAM` consecutive tokens give a rolling hash (the tokens' hashes
-rotated and xored), every window of `WINDOW` consecutive hashes gives up its minimum, of equal ones the
-rightmost, and each chosen position is kept once. Any passage of `GRAM + WINDOW - 1` tokens that two
-texts share is therefore met by an equal hash in both fingerprints. Characters inside a run longer than `RUN` make
-the same tokens only where their offsets agree modulo `RUN`: there a shared passage can be missed.
+Tokens are runs of characters that are not white space, in lower case. A character of a script without spaces between
+words (Han, Kana, Thai, Lao, Khmer, Myanmar) is a token of its own, and so is each character of a run of more than
+`RUN`, so tokens never depend on how far a run has gone before. Every `GRAM` consecutive tokens give a rolling hash
+(their hashes rotated and xored: the last one rotated on, the new token in, the oldest out), every window of `WINDOW`
+consecutive hashes gives up its minimum, of equal ones the rightmost, and each chosen gram is kept once, with the
+code point at which its first token begins. Any passage that is `GRAM + WINDOW - 1` tokens of both texts is therefore
+met by an equal hash in both fingerprints, and the positions say where.
 
 All of it is column expressions over the whole text, linear in its length. A hash has 32 bits and a
 position 31, packed into one long so that a window's minimum with its tie rule is a plain minimum.
 
 Defined cases: null text is empty; an empty or blank text has an empty fingerprint, and two empty ones have
 likeness 1; a text with fewer than `GRAM` tokens has one gram, all its tokens, and one with fewer than
-`WINDOW` grams is one window; very long texts are fingerprinted whole.
+`WINDOW` grams is one window; very long texts are fingerprinted whole; other columns are ignored, whatever they are called.
 
-`neighbours` finds each document's next one in ascending (doc_id, text) order without gathering rows: ranges of
-keys from sampled splitters, a window inside each range, and the first row of every range copied to the one
-before. A null doc_id sorts first; repeated rows follow each other; an empty table gives none.
+`ranged` lets each document meet its next one, in ascending order of doc_id and, of equal ids, of the text's hash,
+without gathering rows: ranges of keys from sampled splitters, a window inside each range, and the first row of every
+range copied to the one before. A null doc_id sorts first; repeated rows follow each other; an empty table gives none.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -31,45 +35,72 @@ from .sharding import _LEAST, range_of, splitters
 GRAM = 3
 WINDOW = 4
 RUN = 24
+#: Tokens whose grams are rolled in one go.
+BLOCK = 64
 _LAST = (1 << 31) - 1
 
 
+_WHITE = " \t\n\x0b\f\r"  # what \s stands for
+_ALONE = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}"
+
+
 def tokens(text: Column) -> Column:
-    """Array of tokens of a text that is not null."""
-    low = F.lower(text)
-    runs = F.array_remove(F.split(low, r"\s+"), "")
-    return F.when(low.rlike(rf"\S{{{RUN + 1}}}"), F.regexp_extract_all(low, F.lit(rf"(\S{{1,{RUN}}})"), F.lit(1))).otherwise(runs)
+    """Array of the tokens of a text that is not null and begins with none, each with the white space behind it."""
+    words = r"(?<=\s)(?=\S)"
+    parts = F.when(text.rlike(f"[{_ALONE}]"), F.split(text, rf"{words}|(?<=[{_ALONE}])(?=\S)|(?<=\S)(?=[{_ALONE}])", -1)).otherwise(F.split(text, words, -1))
+    run = rf"\S{{{RUN + 1}}}"
+    single = lambda p: F.when(p.rlike(run), F.split(p, r"(?<=\S)(?=\S)", -1)).otherwise(F.array(p))
+    return F.when(text == "", F.array().cast("array<string>")).when(text.rlike(run), F.flatten(F.transform(parts, single))).otherwise(parts)
 
 
 def _rotated(h: Column, by: int) -> Column:
+    by %= 64
     return F.shiftleft(h, by).bitwiseOR(F.shiftrightunsigned(h, 64 - by)) if by else h
 
 
 def winnowed(text: Column, gram: int = GRAM, window: int = WINDOW) -> Column:
     """Array of chosen (hash, position) pairs, packed as hash * 2**31 + (2**31 - 1 - position), by position."""
-
-    def rolled(h: Column, i: Column) -> Column:
-        total = None
-        for k in range(gram):
-            part = _rotated(F.get(h, i + k), gram - 1 - k)
-            total = part if total is None else total.bitwiseXOR(part)
-        return total
-
-    def packed(h: Column) -> Column:
-        short = F.size(h) < gram
-        # of a short text, its tokens' hashes together make the one gram
-        one = F.array(F.xxhash64(h))
-        many = F.transform(F.sequence(F.lit(0), F.size(h) - gram), lambda i: rolled(h, i))
-        return F.transform(F.when(short, one).otherwise(many), lambda g, i: F.shiftleft(F.shiftrightunsigned(F.xxhash64(g), 32), 31).bitwiseOR((_LAST - i).cast("long")))
+    def grams(parts: Column, hashes: Column, lead: Column) -> Column:
+        """(hash, position) of the gram that ends with each token, rolled along in blocks that each begin with the tokens before them."""
+        n, size = F.size(hashes), F.lit(BLOCK)
+        long = lambda i: F.length(F.get(parts, i))
+        blocks = F.sequence(F.lit(0), F.floor((n - 1) / size).cast("int"))
+        within = lambda b: F.sequence(b * size, F.least((b + 1) * size, n) - 1)
+
+        def opened(acc: Column, b: Column) -> Column:
+            return F.concat(acc, F.array(F.element_at(acc, -1) + F.aggregate(within(b), F.lit(0), lambda at, i: at + long(i))))
+
+        def step(acc: Column, i: Column) -> Column:
+            old = F.when(i >= gram, _rotated(F.get(hashes, i - gram), gram)).otherwise(F.lit(0))
+            roll = _rotated(acc.roll, 1).bitwiseXOR(F.get(hashes, i)).bitwiseXOR(old)
+            packed = F.shiftleft(F.shiftrightunsigned(roll, 32), 31).bitwiseOR((_LAST - acc.at).cast("long"))
+            gone = F.when(i >= gram - 1, long(i - gram + 1)).otherwise(F.lit(0))
+            return F.struct((acc.at + gone).alias("at"), roll.alias("roll"), F.concat(acc.out, F.array(packed)).alias("out"))
+
+        def rolled(b: Column, offset: Column) -> Column:
+            i = b * size
+            # the first token of the gram that ends at i, and the hash of the gram before
+            back = reduce(add, [F.when(i >= k, long(i - k)).otherwise(F.lit(0)) for k in range(1, gram)])
+            roll = reduce(Column.bitwiseXOR, [F.when(i > k, _rotated(F.get(hashes, i - 1 - k), k)).otherwise(F.lit(0).cast("long")) for k in range(gram)])
+            start = F.struct((offset - back).alias("at"), roll.alias("roll"), F.array().cast("array<bigint>").alias("out"))
+            return F.aggregate(within(b), start, step, lambda acc: acc.out)
+
+        offsets = F.aggregate(blocks, F.array(lead), opened)
+        return let(offsets, lambda at: F.flatten(F.transform(blocks, lambda b: rolled(b, F.get(at, b)))))
 
     def least(g: Column) -> Column:
-        short = F.size(g) < window
         many = F.transform(F.sequence(F.lit(0), F.size(g) - window), lambda i: F.least(*[F.get(g, i + k) for k in range(window)]))
-        return F.array_distinct(F.when(short, F.array(F.array_min(g))).otherwise(many))
+        return F.array_distinct(F.when(F.size(g) < window, F.array(F.array_min(g))).otherwise(many))
+
+    def chosen(parts: Column) -> Column:
+        hashes = F.transform(parts, lambda p: F.xxhash64(F.lower(F.rtrim(p, F.lit(_WHITE)))))
+        # what ends before the first whole gram is no gram, but all of a text that has none
+        whole = lambda g: F.when(F.size(g) < gram, F.array(F.element_at(g, -1))).otherwise(F.slice(g, gram, F.size(g)))
+        return let(hashes, lambda h: let(let(grams(parts, h, lead), whole), least))
 
-    hashes = F.transform(tokens(text), lambda t: F.xxhash64(t))
-    none = F.array().cast("array<bigint>")
-    return let(hashes, lambda h: F.when(F.size(h) == 0, none).otherwise(let(packed(h), least)))
+    body = F.ltrim(text, F.lit(_WHITE))
+    lead = F.length(text) - F.length(body)
+    return let(tokens(body), lambda parts: F.when(F.size(parts) == 0, F.array().cast("array<bigint>")).otherwise(chosen(parts)))
 
 
 def hashes_of(chosen: Column) -> Column:
