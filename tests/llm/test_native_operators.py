@@ -1,9 +1,13 @@
 import hashlib
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
+import regex
+import xxhash
 from pyspark.sql import functions as F
 
 from tierloom.llm import chat_format, pii, queries, sharding, winnowing
@@ -104,7 +108,8 @@ def test_chat_query_reads_back(spark, tmp_path):
 def test_shards_match_a_plain_sort(spark, ranges, monkeypatch):
     monkeypatch.setattr(sharding, "SAMPLE", 4)
     rows = documents() + [(1000 + i, "hot copies of one text", "en", "s", 1) for i in range(400)] + [(5000 + i, "", "en", "s", 0) for i in range(300)]
-    got = sharding.shards(frame(spark, rows), 8, ranges=ranges).collect()
+    clash = frame(spark, rows).withColumns({c: F.lit("mine") for c in ("h", "i", "r", "n", "c", "shard", "at")})
+    got = sharding.shards(clash, 8, ranges=ranges).collect()
     size = lambda t: len((t or "").encode()) + 1
     h = lambda t: int(hashlib.md5((t or "").encode()).hexdigest()[:15], 16)
     line = sorted((h(t), -(1 << 63) if d is None else d, d, size(t), zlib.crc32((t or "").encode())) for d, t, *_ in rows)
@@ -133,47 +138,64 @@ def test_splitters_subdivide_overfull_ranges(spark):
     assert max(n for *_, n in held) < 4 * 20_000 / 32
 
 
-def python_winnow(text, gram=winnowing.GRAM, window=winnowing.WINDOW, spark=None):
-    tokens = [x for run in re.split(r"[ \t\n\x0b\f\r]+", text.lower()) for x in [run[i : i + winnowing.RUN] for i in range(0, len(run), winnowing.RUN)]]
+ALONE = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}]")
+
+
+def python_tokens(text):
+    """(start, token) by hand: runs without white space, single characters of scripts without spaces and of long runs."""
+    out, at = [], 0
+    for run in re.findall(r"[ \t\n\x0b\f\r]+|[^ \t\n\x0b\f\r]+", text):
+        if run[0] not in " \t\n\x0b\f\r":
+            part, begun = "", at
+            for k, ch in enumerate([*run, None]):
+                if ch is None or ALONE.match(ch):
+                    if len(part) > winnowing.RUN:
+                        out += [(begun + j, c) for j, c in enumerate(part)]
+                    elif part:
+                        out.append((begun, part))
+                    if ch is not None:
+                        out.append((at + k, ch))
+                    part, begun = "", at + k + 1
+                else:
+                    part += ch
+        at += len(run)
+    return out
+
+
+def python_winnow(text, gram=winnowing.GRAM, window=winnowing.WINDOW):
+    tokens = python_tokens(text)
     if not tokens:
         return []
-    import xxhash
-
     mask = (1 << 64) - 1
-    hs = [xxhash.xxh64_intdigest(t.encode(), 42) for t in tokens]
+    hs = [xxhash.xxh64_intdigest(t.lower().encode(), 42) for _, t in tokens]
     rot = lambda x, n: ((x << n) | (x >> (64 - n))) & mask if n else x
-    if len(hs) < gram:
-        seed = 42
-        for h in hs:
-            seed = xxhash.xxh64_intdigest(h.to_bytes(8, "little"), seed)
-        grams = [seed]
-    else:
-        grams = []
-        for i in range(len(hs) - gram + 1):
-            x = 0
-            for k in range(gram):
-                x ^= rot(hs[i + k], gram - 1 - k)
-            grams.append(x)
-    g = [xxhash.xxh64_intdigest(x.to_bytes(8, "little"), 42) >> 32 for x in grams]
+    g = []
+    for i in range(max(1, len(hs) - gram + 1)):
+        x = 0
+        for h in hs[i : i + gram]:
+            x = rot(x, 1) ^ h
+        g.append(x >> 32)
     chosen = []
     for i in range(max(1, len(g) - window + 1)):
-        w = list(enumerate(g[i : i + window], i))
-        best = min(w, key=lambda x: (x[1], -x[0]))
+        best = min(enumerate(g[i : i + window], i), key=lambda x: (x[1], -x[0]))
         if best[0] not in [p for p, _ in chosen]:
             chosen.append(best)
-    return [(h, p) for p, h in chosen]
+    return [(h, tokens[p][0]) for p, h in chosen]
 
 
 def test_winnowing_matches_brute_force(spark):
-    rows = documents() + [(700, "la la la la la la la la la la", "x", "x", 1), (701, "ÀÉ日" * 60, "x", "x", 1)]
-    got = winnowing.compared(frame(spark, rows)).collect()
-    order = sorted(((-(1 << 63) if d is None else d), t or "", d) for d, t, *_ in rows)
+    rows = documents() + [(700, "la la la la la la la la la la", "x", "x", 1), (701, "ÀÉ日" * 60, "x", "x", 1), (702, " \n  Two  words", "x", "x", 1), (703, "b😀" * 40 + " short RUN日本x" + "Q" * 24 + " " + "q" * 25, "x", "x", 1)]
+    rows += [(704, " ".join(f"w{i % 97}" for i in range(700)), "x", "x", 1), (704, "another text of the same id", "x", "x", 1), (704, "another text of the same id", "x", "x", 1), (705, "ไทย ภาษา 中文字符かなカナ한국어 말", "x", "x", 1)]
+    clash = frame(spark, rows).withColumns({c: F.lit("mine") for c in ("_text", "_r", "_i", "_h", "_ghost", "_fp", "fingerprint", "size")})
+    got = winnowing.compared(clash).collect()
+    hashed = lambda t: int(np.array(xxhash.xxh64_intdigest(t.encode(), 42), np.uint64).view(np.int64))
+    order = sorted(((-(1 << 63) if d is None else d), hashed(t or ""), t or "", d) for d, t, *_ in rows)
     by_key = defaultdict(list)
     for r in got:
         by_key[r.doc_id].append(r)
     seen = Counter()
-    for k, (_, t, d) in enumerate(order):
-        nxt = order[(k + 1) % len(order)][1]
+    for k, (_, _, t, d) in enumerate(order):
+        nxt = order[(k + 1) % len(order)][2]
         n = len(t) // 2
         edited = t[: len(t) - n] + nxt[:n]
         fp, fe, fn = python_winnow(t), python_winnow(edited), python_winnow(nxt)
@@ -185,6 +207,25 @@ def test_winnowing_matches_brute_force(spark):
     assert winnowing.compared(frame(spark, [(1, "one text alone", "", "", 1)])).count() == 1
 
 
+def test_text_without_spaces_is_met_at_any_offset(spark):
+    """A character in front, or another surrounding, changes no gram of a passage; positions say where it is in both texts."""
+    rng = random.Random(5)
+    chinese, blob = "".join(chr(rng.randrange(0x4E00, 0x9000)) for _ in range(2000)), "".join(rng.choices("abcdefghijklmnopqrstuvwxyz0123456789+/", k=2000))
+    texts = {}
+    for k, t in enumerate((chinese, blob)):
+        texts |= {(k, 0): t, (k, 1): "x" + t if k else "中" + t, (k, 2): "some words " + t[700:900] + ("zz" if k else "字")}
+    rows = [(10 * k + j, t, "", "", 1) for (k, j), t in texts.items()]
+    fp = {}
+    for r in frame(spark, rows).select("doc_id", "text", winnowing.winnowed(F.col("text")).alias("w")).collect():
+        fp[divmod(r.doc_id, 10)] = {x >> 31: ((1 << 31) - 1) - (x & ((1 << 31) - 1)) for x in r.w}
+    for k in (0, 1):
+        whole, shifted, part = fp[k, 0], fp[k, 1], fp[k, 2]
+        both = set(whole) & set(shifted)
+        assert len(both) / len(set(whole) | set(shifted)) > 0.98 and all(shifted[h] == whole[h] + 1 for h in both)
+        met = [h for h in part if h in whole]
+        assert len(met) > 50 and sum(whole[h] - 700 == part[h] - 11 for h in met) > 50
+
+
 def test_shared_passages_share_a_hash(spark):
     passage = " ".join(f"w{i}" for i in range(winnowing.GRAM + winnowing.WINDOW - 1))
     rows = [(1, "left side " + passage + " and right", "", "", 1), (2, passage + " other end of it", "", "", 1)]

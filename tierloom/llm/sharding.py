@@ -6,8 +6,9 @@ them, and ranges that turn out overfull, in bytes or in rows, are subdivided by
 totals by range then place every row on the line of cumulated bytes, and shards are equal lengths of it. So
 the sample decides how the work is spread; the shards do not depend on it.
 
-A group of equal texts goes to the shard of its middle and stays whole, unless it is heavier than
-`GROUP` of a shard: then its rows are placed one by one, and a boundary may fall inside it.
+The law is that shards are equal in bytes to within `TOLERANCE` of a shard. Inside it equal texts stay together: a group
+of them that the tolerance can bear goes whole to the shard of its middle. Moving a heavier one whole would break the law,
+so its rows are placed one by one, and a boundary may fall inside it: at most one for each boundary.
 
 Random draws are hashes of the key, so a task that runs again draws the same. The driver holds the sample and
 the ranges, both bounded by parameters; documents' keys are checkpointed without the text.
@@ -28,14 +29,14 @@ from pyspark.sql.window import Window
 
 from .common import checkpointed, long_array
 
-#: Ranges to aim at, at least, at most, and by size; each is sorted by one task.
-RANGES, MOST_RANGES, RANGE_BYTES = 192, 16_384, 128 << 20
-#: Sampled keys by range.
-SAMPLE = 32
+#: Ranges to aim at, at least, at most, and by size; each is sorted by one task. The driver holds their boundaries.
+RANGES, MOST_RANGES, RANGE_BYTES = 192, 1 << 17, 128 << 20
+#: Sampled keys by range, and in all, at most.
+SAMPLE, MOST_SAMPLE = 32, 1 << 20
 #: A range is overfull beyond this multiple of its fair share.
 OVERFULL = 2.0
-#: Share of a shard's bytes beyond which a group of equal texts is dealt out row by row.
-GROUP = 0.01
+#: Share of a shard's bytes by which shards may differ so that equal texts stay together.
+TOLERANCE = 0.01
 #: A range may be subdivided this often.
 ROUNDS = 3
 _LEAST = -(1 << 63)
@@ -87,7 +88,7 @@ def splitters(keys: DataFrame, ranges: int = RANGES, sample: int = SAMPLE) -> tu
     if not rows:
         return [], []
     ranges = min(max(ranges, int(total // RANGE_BYTES)), max(ranges, MOST_RANGES))
-    want = ranges * sample
+    want = min(ranges * sample, max(MOST_SAMPLE, 4 * ranges))
     drawn = _drawn(keys, F.col("size") * (want / total), 1).select("h", "i", F.greatest(F.col("size").cast("double"), F.lit(total / want)).alias("w"))
     cuts = _chosen([tuple(r) for r in drawn.collect()], ranges)  # about `want` keys at most
     fair_b, fair_n = OVERFULL * total / ranges, OVERFULL * rows / ranges
@@ -126,8 +127,8 @@ def shards(docs: DataFrame, n_shards: int, id_col: str = "doc_id", text_col: str
     total = sum(b for _, b, _ in held)
     if not held:
         return keys.select("doc_id", "size", "text_crc32", F.lit(0).alias("shard"), F.lit(0).cast("long").alias("slot"))
-    # at most n_shards / GROUP groups can be heavier than GROUP of a shard
-    heavy = [r.h for r in keys.groupBy("h").agg(F.sum("size").alias("b")).where(F.col("b") > GROUP * total / n_shards).select("h").collect()]
+    # at most n_shards / TOLERANCE groups can be heavier than the tolerance
+    heavy = [r.h for r in keys.groupBy("h").agg(F.sum("size").alias("b")).where(F.col("b") > TOLERANCE * total / n_shards).select("h").collect()]
     before_b = dict(zip([r for r, *_ in held], np.cumsum([0, *[b for _, b, _ in held]]).tolist()))
     before_n = dict(zip([r for r, *_ in held], np.cumsum([0, *[n for *_, n in held]]).tolist()))
     lookup = lambda d: F.get(long_array([int(d.get(r, 0)) for r in range(len(cuts) + 1)]), F.col("r"))
