@@ -36,7 +36,7 @@ GRAM = 3
 WINDOW = 4
 RUN = 24
 #: Tokens whose grams are rolled in one go.
-BLOCK = 64
+BLOCK = 16
 _LAST = (1 << 31) - 1
 
 
@@ -64,11 +64,18 @@ def winnowed(text: Column, gram: int = GRAM, window: int = WINDOW) -> Column:
         """(hash, position) of the gram that ends with each token, rolled along in blocks that each begin with the tokens before them."""
         n, size = F.size(hashes), F.lit(BLOCK)
         long = lambda i: F.length(F.get(parts, i))
-        blocks = F.sequence(F.lit(0), F.floor((n - 1) / size).cast("int"))
+        last = F.floor((n - 1) / size).cast("int")
         within = lambda b: F.sequence(b * size, F.least((b + 1) * size, n) - 1)
 
-        def opened(acc: Column, b: Column) -> Column:
-            return F.concat(acc, F.array(F.element_at(acc, -1) + F.aggregate(within(b), F.lit(0), lambda at, i: at + long(i))))
+        def summed(acc: Column, some: Column) -> Column:
+            """`acc`, prefix sums of lengths, with one more: that of the tokens at `some`."""
+            return F.concat(acc, F.array(F.element_at(acc, -1) + F.aggregate(some, F.lit(0), lambda at, i: at + long(i))))
+
+        # where blocks begin: first by BLOCK blocks, then inside each of these; what an aggregate holds is copied at every step
+        groups = F.sequence(F.lit(0), F.floor(last / size).cast("int"))
+        wide = F.aggregate(groups, F.array(lead), lambda acc, g: summed(acc, F.sequence(g * size * size, F.least((g + 1) * size * size, n) - 1)))
+        inner = lambda at, g: F.aggregate(F.sequence(g * size, F.least((g + 1) * size, last + 1) - 1), F.array(F.get(at, g)), lambda acc, b: summed(acc, within(b)), lambda acc: F.slice(acc, 1, F.size(acc) - 1))
+        offsets = let(wide, lambda at: F.flatten(F.transform(groups, lambda g: inner(at, g))))
 
         def step(acc: Column, i: Column) -> Column:
             old = F.when(i >= gram, _rotated(F.get(hashes, i - gram), gram)).otherwise(F.lit(0))
@@ -85,8 +92,7 @@ def winnowed(text: Column, gram: int = GRAM, window: int = WINDOW) -> Column:
             start = F.struct((offset - back).alias("at"), roll.alias("roll"), F.array().cast("array<bigint>").alias("out"))
             return F.aggregate(within(b), start, step, lambda acc: acc.out)
 
-        offsets = F.aggregate(blocks, F.array(lead), opened)
-        return let(offsets, lambda at: F.flatten(F.transform(blocks, lambda b: rolled(b, F.get(at, b)))))
+        return let(offsets, lambda at: F.flatten(F.transform(F.sequence(F.lit(0), last), lambda b: rolled(b, F.get(at, b)))))
 
     def least(g: Column) -> Column:
         many = F.transform(F.sequence(F.lit(0), F.size(g) - window), lambda i: F.least(*[F.get(g, i + k) for k in range(window)]))
