@@ -58,8 +58,8 @@ def _rotated(h: Column, by: int) -> Column:
     return F.shiftleft(h, by).bitwiseOR(F.shiftrightunsigned(h, 64 - by)) if by else h
 
 
-def winnowed(text: Column, gram: int = GRAM, window: int = WINDOW) -> Column:
-    """Array of chosen (hash, position) pairs, packed as hash * 2**31 + (2**31 - 1 - position), by position."""
+def rolled(text: Column, offset: Column, gram: int = GRAM) -> Column:
+    """The gram that ends with each token, as hash * 2**31 + (2**31 - 1 - position); the first gram - 1 have fewer tokens. `offset` is where the text begins."""
     def grams(parts: Column, hashes: Column, lead: Column) -> Column:
         """(hash, position) of the gram that ends with each token, rolled along in blocks that each begin with the tokens before them."""
         n, size = F.size(hashes), F.lit(BLOCK)
@@ -84,7 +84,7 @@ def winnowed(text: Column, gram: int = GRAM, window: int = WINDOW) -> Column:
             gone = F.when(i >= gram - 1, long(i - gram + 1)).otherwise(F.lit(0))
             return F.struct((acc.at + gone).alias("at"), roll.alias("roll"), F.concat(acc.out, F.array(packed)).alias("out"))
 
-        def rolled(b: Column, offset: Column) -> Column:
+        def block(b: Column, offset: Column) -> Column:
             i = b * size
             # the first token of the gram that ends at i, and the hash of the gram before
             back = reduce(add, [F.when(i >= k, long(i - k)).otherwise(F.lit(0)) for k in range(1, gram)])
@@ -92,21 +92,50 @@ def winnowed(text: Column, gram: int = GRAM, window: int = WINDOW) -> Column:
             start = F.struct((offset - back).alias("at"), roll.alias("roll"), F.array().cast("array<bigint>").alias("out"))
             return F.aggregate(within(b), start, step, lambda acc: acc.out)
 
-        return let(offsets, lambda at: F.flatten(F.transform(F.sequence(F.lit(0), last), lambda b: rolled(b, F.get(at, b)))))
+        return let(offsets, lambda at: F.flatten(F.transform(F.sequence(F.lit(0), last), lambda b: block(b, F.get(at, b)))))
 
-    def least(g: Column) -> Column:
-        many = F.transform(F.sequence(F.lit(0), F.size(g) - window), lambda i: F.least(*[F.get(g, i + k) for k in range(window)]))
-        return F.array_distinct(F.when(F.size(g) < window, F.array(F.array_min(g))).otherwise(many))
+    body = F.ltrim(text, F.lit(_WHITE))
+    lead = offset + F.length(text) - F.length(body)
+    hashes = lambda parts: F.transform(parts, lambda p: F.xxhash64(F.lower(F.rtrim(p, F.lit(_WHITE)))))
+    return let(tokens(body), lambda parts: F.when(F.size(parts) == 0, F.array().cast("array<bigint>")).otherwise(let(hashes(parts), lambda h: grams(parts, h, lead))))
 
-    def chosen(parts: Column) -> Column:
-        hashes = F.transform(parts, lambda p: F.xxhash64(F.lower(F.rtrim(p, F.lit(_WHITE)))))
-        # what ends before the first whole gram is no gram, but all of a text that has none
-        whole = lambda g: F.when(F.size(g) < gram, F.array(F.element_at(g, -1))).otherwise(F.slice(g, gram, F.size(g)))
-        return let(hashes, lambda h: let(let(grams(parts, h, lead), whole), least))
 
-    body = F.ltrim(text, F.lit(_WHITE))
-    lead = F.length(text) - F.length(body)
-    return let(tokens(body), lambda parts: F.when(F.size(parts) == 0, F.array().cast("array<bigint>")).otherwise(chosen(parts)))
+def _whole(g: Column, gram: int) -> Column:
+    """Without what ends before the first whole gram; of a text that has none, all its tokens are one."""
+    return F.when(F.size(g) < gram, F.slice(g, -1, 1)).otherwise(F.slice(g, gram, F.size(g)))
+
+
+def _minima(g: Column, window: int) -> Column:
+    """The least gram of each window, once each."""
+    many = F.transform(F.sequence(F.lit(0), F.size(g) - window), lambda i: F.least(*[F.get(g, i + k) for k in range(window)]))
+    least = F.array_distinct(F.when(F.size(g) < window, F.array(F.array_min(g))).otherwise(many))
+    return F.when(F.size(g) == 0, F.array().cast("array<bigint>")).otherwise(least)
+
+
+def winnowed(text: Column, gram: int = GRAM, window: int = WINDOW) -> Column:
+    """Array of chosen (hash, position) pairs, packed as hash * 2**31 + (2**31 - 1 - position), by position."""
+    grams = let(rolled(text, F.lit(0), gram), lambda g: F.when(F.size(g) == 0, g).otherwise(_whole(g, gram)))
+    return let(grams, lambda g: _minima(g, window))
+
+
+def winnowed_with_edit(text: Column, cut: Column, edited: Column, gram: int = GRAM, window: int = WINDOW) -> Column:
+    """Struct of the fingerprints `own` and `edited` of a text and another that has the same first `cut` code points, whose grams are rolled once.
+
+    Runs without white space that end before the cut have the same tokens in both; grams that begin `gram` - 1 runs before the last
+    of these, or earlier, lie in them. From there on the edited text is rolled anew.
+    """
+    back = F.length(F.regexp_extract(F.reverse(F.left(text, cut)), rf"^(\S*+(?:\s++\S++){{0,{gram - 1}}}+)", 1))
+
+    def both(g: Column, at: Column) -> Column:
+        kept = F.filter(g, lambda x: (_LAST - x.bitwiseAND(F.lit(_LAST))) < at)
+        at_start = F.size(kept) == 0
+        # the first gram - 1 of them end before any whole gram; none is kept of a text that has no run before
+        first = F.slice(kept, gram, F.greatest(F.size(kept), F.lit(1)))
+        more = let(rolled(F.substring(edited, at + 1, F.length(edited)), at, gram), lambda t: F.when(at_start, F.when(F.size(t) == 0, t).otherwise(_whole(t, gram))).otherwise(F.slice(t, gram, F.greatest(F.size(t), F.lit(1)))))
+        own = let(F.when(F.size(g) == 0, g).otherwise(_whole(g, gram)), lambda x: _minima(x, window))
+        return F.struct(own.alias("own"), let(F.concat(first, more), lambda x: _minima(x, window)).alias("edited"))
+
+    return let(rolled(text, F.lit(0), gram), lambda g: let(F.greatest(cut - back, F.lit(0)), lambda at: both(g, at)))
 
 
 def hashes_of(chosen: Column) -> Column:
@@ -156,11 +185,13 @@ def compared(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """
     order = Window.partitionBy("_r").orderBy("_ghost", "_i", "_h")
     rows = ranged(docs, id_col, text_col).withColumn("_next", F.lead("_text").over(order))
-    rows = rows.withColumn("_fp", winnowed(F.col("_text")))
+    size = F.length("_text")
+    half = F.floor(size / 2).cast("int")
+    edited = F.concat(F.substring("_text", F.lit(1), size - half), F.substring(F.coalesce("_next", F.lit("")), F.lit(1), half))
+    rows = rows.select("doc_id", "_r", "_i", "_h", "_ghost", "_text", edited.alias("_edited"))
+    rows = rows.withColumn("_both", winnowed_with_edit(F.col("_text"), size - half, F.col("_edited")))
+    rows = rows.select("doc_id", "_r", "_i", "_h", "_ghost", size.cast("long").alias("n_chars"), F.sha2(F.col("_edited").cast("binary"), 256).alias("edited_sha256"), F.col("_both.own").alias("_fp"), F.col("_both.edited").alias("_fp_edited"))
     rows = rows.withColumn("_fp_next", F.lead("_fp").over(order)).where("not _ghost")
-    half = F.floor(F.length("_text") / 2).cast("int")
-    rows = rows.select("doc_id", F.length("_text").cast("long").alias("n_chars"), F.concat(F.substring("_text", F.lit(1), F.length("_text") - half), F.substring("_next", F.lit(1), half)).alias("_edited"), "_fp", "_fp_next")
-    rows = rows.select("doc_id", "n_chars", F.sha2(F.col("_edited").cast("binary"), 256).alias("edited_sha256"), "_fp", "_fp_next", winnowed(F.col("_edited")).alias("_fp_edited"))
     sets = rows.withColumns({"_a": hashes_of(F.col("_fp")), "_b": hashes_of(F.col("_fp_edited")), "_c": hashes_of(F.col("_fp_next"))})
     return sets.select(
         "doc_id", "n_chars", "edited_sha256", written(F.col("_fp")).alias("fingerprint"), written(F.col("_fp_edited")).alias("edited_fingerprint"),
