@@ -1,6 +1,7 @@
 import json
 import re
 
+import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -34,7 +35,10 @@ def hit(spark, abstract, claim="", title="", ipc="", main=""):
 @given(st.text("ab数据", max_size=30), st.lists(st.text("ab数据", min_size=1, max_size=4), max_size=6))
 def test_automaton_equals_a_longest_first_alternation(text, words):
     m = matching.Matcher(words)
-    assert m.spans(text) == [x.span() for x in m.pattern.finditer(text)] if m.keywords else m.spans(text) == []
+    pattern = re.compile("|".join(map(re.escape, sorted(m.keywords, key=len, reverse=True))) or r"(?!)")
+    assert m.spans(text) == [x.span() for x in pattern.finditer(text)]
+    m.automaton = None
+    assert m.spans(text) == [x.span() for x in pattern.finditer(text)]
 
 
 def test_longest_match_can_lower_a_tier(spark):
@@ -115,12 +119,13 @@ def test_native_spans_agree_with_the_automaton(spark):
 
 
 def test_native_scope_agrees(spark):
-    evidence = matching.Evidence(TAXONOMY)
     texts = ["甲" * 60 + "加密" + "乙" * 60, "一。二加密三", "加密。", "！加密", "a\n加密b\nc"]
     rows = [(i, t, t.index("加密")) for i, t in enumerate(texts)]
+    batch = matching.Texts(texts)
+    at = np.array([a for *_, a in rows]) + batch.starts
+    low, high, sentence = batch.scopes(at, at + 2, 48)
     for r in spark.createDataFrame(rows, "id int, t string, a int").select("*", matching.scope(F.col("t"), F.col("a"), F.col("a") + 2, 48).alias("s")).collect():
-        marks = [m.start() for m in re.finditer(f"[{matching.BOUNDARIES}]", r.t)]
-        assert tuple(r.s) == evidence.scope(marks, r.t, r.a, r.a + 2)
+        assert tuple(r.s) == (low[r.id] - batch.starts[r.id], high[r.id] - batch.starts[r.id], "sentence" if sentence[r.id] else "window")
 
 
 def test_step1_rows_and_statistics(spark):

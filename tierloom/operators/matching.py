@@ -1,16 +1,17 @@
 """Dictionary matching with context evidence.
 
-The main form runs an automaton over Arrow batches, once per text: for hundreds of keywords that is an order
-of magnitude faster than any chain of built-in functions. `keyword_spans` is a form without Python for
-lexicons and texts where that matters more.
+The main form works on whole Arrow batches: the batch's texts are put into one string, an automaton goes over it once for
+keywords and once for context words, and places are arrays from there on. Scopes come from a search among the places
+of sentence marks, context words meet keywords by intervals, and of a keyword's hits the first that passes is kept.
+`keyword_spans` is a form without Python for lexicons and texts where that matters more.
 """
 
 from __future__ import annotations
 
 import re
-from bisect import bisect_left
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,108 +26,164 @@ KEYWORD_HIT = f"struct<group_id:string,tier:string,keyword:string,field:string,s
 DIAGNOSTIC_HIT = "struct<pattern_id:string,keyword:string,field:string,snippet:string>"
 
 
+#: Between the texts of a batch: no character, so part of no text and no keyword.
+BETWEEN = "\uffff"
+
+
 class Matcher:
-    """Leftmost, of equal starts longest, non-overlapping occurrences of many keywords."""
+    """All places of many keywords in a string."""
 
     def __init__(self, keywords: Iterable[str]):
         self.keywords = [k for k in dict.fromkeys(keywords) if k]
+        self.lengths = np.array([len(k) for k in self.keywords], np.int64)
         self.automaton = None
         try:
             import ahocorasick
 
             self.automaton = ahocorasick.Automaton()
-            for k in self.keywords:
-                self.automaton.add_word(k, len(k))
+            for number, k in enumerate(self.keywords):
+                self.automaton.add_word(k, number)
             if self.keywords:
                 self.automaton.make_automaton()
         except ImportError:
             pass
-        self.pattern = re.compile("|".join(map(re.escape, sorted(self.keywords, key=lambda k: (-len(k), k)))) or r"(?!)")
+
+    def everywhere(self, text: str, parts: list[tuple[int, int]] | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(part, start, keyword number) of every occurrence inside each part of the text, overlapping ones too, by start and then longest first."""
+        found: list[tuple[int, int, int]] = []
+        for p, (low, high) in enumerate([(0, len(text))] if parts is None else parts):
+            if self.automaton is None:
+                found += [(p, m.start() + len(k) - 1, n) for n, k in enumerate(self.keywords) for m in re.compile(f"(?={re.escape(k)})").finditer(text, low, high)]
+            elif self.keywords:
+                found += [(p, low + last, n) for last, n in self.automaton.iter(text[low:high])]
+        part, last, number = np.array(found, np.int64).reshape(-1, 3).T
+        start = last - self.lengths[number] + 1 if len(number) else last
+        order = np.lexsort((-self.lengths[number], start, part)) if len(number) else np.zeros(0, np.int64)
+        return part[order], start[order], number[order]
+
+    def leftmost(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """(start, keyword number) of leftmost, of equal starts longest, occurrences that do not overlap."""
+        _, start, number = self.everywhere(text)
+        first = np.flatnonzero(np.diff(start, prepend=-1))  # of equal starts
+        start, number = start[first], number[first]
+        after = np.searchsorted(start, start + self.lengths[number]).tolist()
+        taken, i = [], 0
+        while i < len(after):
+            taken.append(i)
+            i = after[i]
+        return start[taken], number[taken]
 
     def spans(self, text: str) -> list[tuple[int, int]]:
-        if not self.keywords:
-            return []
-        if self.automaton is None:
-            return [m.span() for m in self.pattern.finditer(text)]
-        longest: dict[int, int] = {}
-        for last, n in self.automaton.iter(text):
-            start = last - n + 1
-            if last + 1 > longest.get(start, 0):
-                longest[start] = last + 1
-        out, free = [], 0
-        for start in sorted(longest):
-            if start >= free:
-                free = longest[start]
-                out.append((start, free))
-        return out
+        start, number = self.leftmost(text)
+        return list(zip(start.tolist(), (start + self.lengths[number]).tolist()))
+
+
+class Texts:
+    """The texts of a batch in one string, with where each begins and ends and where its sentence marks are."""
+
+    def __init__(self, texts: list[str]):
+        self.whole = BETWEEN.join(texts)
+        self.ends = np.cumsum([len(t) + 1 for t in texts]) - 1
+        self.starts = np.r_[0, self.ends[:-1] + 1] if texts else np.zeros(0, np.int64)
+        codes = np.frombuffer(self.whole.encode("utf-32-le", "surrogatepass"), np.uint32)
+        self.marks = np.flatnonzero(np.isin(codes, [ord(c) for c in BOUNDARIES]))
+
+    def of(self, places: np.ndarray) -> np.ndarray:
+        """Number of the text at each place."""
+        return np.searchsorted(self.ends, places)
+
+    def scopes(self, start: np.ndarray, end: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(from, to, whether a sentence): between the nearest marks in the text or its ends; without any mark, a window around the span."""
+        text = self.of(start)
+        low, high = self.starts[text], self.ends[text]
+        marks = np.r_[-1, self.marks, len(self.whole) + 1]
+        before, after = marks[np.searchsorted(marks, start) - 1], marks[np.searchsorted(marks, end)]
+        left, right = before >= low, after < high
+        sentence = left | right
+        wide = np.maximum(low, start - window), np.minimum(high, end + window)
+        return np.where(sentence, np.where(left, before + 1, low), wide[0]), np.where(sentence, np.where(right, after, high), wide[1]), sentence
+
+    def around(self, text: int, start: int, end: int, size: int = 36) -> str:
+        return self.whole[max(self.starts[text], start - size) : min(self.ends[text], end + size)].replace("\n", " ")
 
 
 class Evidence:
     """A taxonomy compiled for one worker."""
 
     def __init__(self, taxonomy: Taxonomy):
-        self.terms, self.window, self.diagnostics = taxonomy.terms, taxonomy.window, taxonomy.diagnostics
-        self.term_matcher, self.diagnostic_matcher = Matcher(self.terms), Matcher(self.diagnostics)
-        self.contexts = [(c, re.compile("|".join(map(re.escape, words)) or r"(?!)", re.IGNORECASE)) for c, words in taxonomy.contexts]
-        self.boundary = re.compile(f"[{BOUNDARIES}]")
-
-    def scope(self, marks: list[int], text: str, start: int, end: int) -> tuple[int, int, str]:
-        """The sentence around a keyword, or a window if no boundary stands on either side of it."""
-        before, after = bisect_left(marks, start), bisect_left(marks, end)
-        left = marks[before - 1] if before else None
-        right = marks[after] if after < len(marks) else None
-        if left is None and right is None:
-            return max(0, start - self.window), min(len(text), end + self.window), "window"
-        return (0 if left is None else left + 1), (len(text) if right is None else right), "sentence"
-
-    def context_hits(self, text: str, start: int, end: int, low: int, high: int) -> list[dict]:
-        out = []
-        for lexicon, pattern in self.contexts:
-            for m in pattern.finditer(text[low:high]):
-                a, b = low + m.start(), low + m.end()
-                if a < end and start < b:
-                    continue
-                out.append({"context_id": lexicon["id"], "kind": lexicon["kind"], "keyword": m[0], "start": a, "end": b, "distance": max(a - end, start - b, 0), "snippet": around(text, a, b), "source_ids": list(lexicon.get("source_ids", []))})
-        return sorted(out, key=lambda h: (h["start"], h["start"] - h["end"], h["context_id"]))
-
-    def keyword_hits(self, text: str, field: str) -> list[dict]:
-        out, seen, marks = [], set(), None
-        for start, end in self.term_matcher.spans(text):
-            word = text[start:end]
-            group = self.terms[word]
-            if (group["id"], word) in seen:
-                continue
-            if marks is None:
-                marks = [m.start() for m in self.boundary.finditer(text)]
-            low, high, mode = self.scope(marks, text, start, end)
-            found = self.context_hits(text, start, end, low, high)
-            there = {h["context_id"] for h in found}
-            needed = []
-            if group["match_policy"]["mode"] == "cooccurrence":
-                needed = [c for c in group["match_policy"].get("required_any", []) if c in there]
-                if not needed:
-                    continue  # a later occurrence may pass
-            seen.add((group["id"], word))
-            a, b = max(low, start - 120), min(high, end + 120)
-            clipped = ("…" if a > low else "") + text[a:b].replace("\n", " ") + ("…" if b < high else "")
-            out.append({"group_id": group["id"], "tier": group["tier"], "keyword": word, "field": field, "snippet": around(text, start, end), "source_ids": list(group.get("source_ids", [])), "context_ids": needed, "context_scope": mode, "context_snippet": clipped, "context_hits": found})
+        self.window = taxonomy.window
+        self.terms, self.diagnostics = Matcher(taxonomy.terms), Matcher(taxonomy.diagnostics)
+        self.groups = [taxonomy.terms[k] for k in self.terms.keywords]
+        self.patterns = [taxonomy.diagnostics[k] for k in self.diagnostics.keywords]
+        self.lexicons = [lexicon for lexicon, _ in taxonomy.contexts]
+        # a word of several lexicons is found once and counts in each
+        self.contexts = Matcher(w for _, words in taxonomy.contexts for w in words)
+        self.in_lexicon = [np.array([w in words for w in self.contexts.keywords], bool) for words in (set(words) for _, words in taxonomy.contexts)]
+
+    def near(self, texts: Texts, start: np.ndarray, end: np.ndarray, low: np.ndarray, high: np.ndarray) -> pd.DataFrame:
+        """(hit, lexicon, start, end) of the context words inside each hit's scope and beside the hit.
+
+        In a scope, a lexicon's words are read from its beginning: leftmost, longest, none overlapping.
+        """
+        scopes, mine = np.unique(np.stack([low, high], axis=1), axis=0, return_inverse=True)
+        part, place, number = self.contexts.everywhere(texts.whole, scopes.tolist())
+        first = np.searchsorted(part, mine)
+        many = np.searchsorted(part, mine, side="right") - first
+        hit = np.repeat(np.arange(len(start)), many)
+        at = np.arange(len(hit)) - np.repeat(np.cumsum(many) - many, many) + np.repeat(first, many)
+        pairs = pd.DataFrame({"hit": hit, "start": place[at], "end": place[at] + self.contexts.lengths[number[at]], "word": number[at]})
+        own = pd.concat([pairs[has[pairs["word"]]].assign(lexicon=k) for k, has in enumerate(self.in_lexicon)] or [pairs.assign(lexicon=0)])
+        own = own.sort_values(["hit", "lexicon", "start", "end"], ascending=[True, True, True, False], kind="stable")
+        free, last, taken = 0, None, []
+        for h, k, a, b in zip(own["hit"].tolist(), own["lexicon"].tolist(), own["start"].tolist(), own["end"].tolist()):
+            if (h, k) != last:
+                free, last = 0, (h, k)
+            taken.append(a >= free)
+            free = b if a >= free else free
+        own = own[np.array(taken, bool)]
+        own = own[(own["start"] >= end[own["hit"]]) | (own["end"] <= start[own["hit"]])]
+        names = np.array([x["id"] for x in self.lexicons] or [""])
+        return own.assign(name=names[own["lexicon"]], last=-own["end"]).sort_values(["hit", "start", "last", "name"], kind="stable")
+
+    def keyword_hits(self, texts: Texts, field: str) -> list[list[dict]]:
+        """For each text its keyword hits by place: of a keyword the first whose group asks for no context or has one of those asked for."""
+        start, number = self.terms.leftmost(texts.whole)
+        end, text = start + self.terms.lengths[number], texts.of(start)
+        low, high, sentence = texts.scopes(start, end, self.window)
+        contexts = self.near(texts, start, end, low, high)
+        there: dict[int, set] = {}
+        for i, name in zip(contexts["hit"].tolist(), contexts["name"].tolist()):
+            there.setdefault(i, set()).add(name)
+        asked = [self.groups[n]["match_policy"] for n in number.tolist()]
+        met = [[c for c in p.get("required_any", []) if c in there.get(i, ())] if p["mode"] == "cooccurrence" else None for i, p in enumerate(asked)]
+        passed = np.array([m is None or bool(m) for m in met], bool)
+        _, firsts = np.unique(text[passed] * np.int64(len(self.terms.keywords)) + number[passed], return_index=True)
+        kept = np.sort(np.flatnonzero(passed)[firsts])
+        by_hit: dict[int, list[dict]] = {}
+        for c in contexts[np.isin(contexts["hit"], kept)].itertuples():
+            lexicon, t = self.lexicons[c.lexicon], text[c.hit]
+            away = max(c.start - end[c.hit], start[c.hit] - c.end, 0)
+            by_hit.setdefault(c.hit, []).append({"context_id": c.name, "kind": lexicon["kind"], "keyword": texts.whole[c.start : c.end], "start": c.start - texts.starts[t], "end": c.end - texts.starts[t], "distance": away, "snippet": texts.around(t, c.start, c.end), "source_ids": list(lexicon.get("source_ids", []))})
+        out: list[list[dict]] = [[] for _ in texts.starts]
+        for i in kept.tolist():
+            group, t = self.groups[number[i]], text[i]
+            a, b = max(low[i], start[i] - 120), min(high[i], end[i] + 120)
+            clipped = ("…" if a > low[i] else "") + texts.whole[a:b].replace("\n", " ") + ("…" if b < high[i] else "")
+            out[t].append({"group_id": group["id"], "tier": group["tier"], "keyword": self.terms.keywords[number[i]], "field": field, "snippet": texts.around(t, start[i], end[i]), "source_ids": list(group.get("source_ids", [])), "context_ids": met[i] or [], "context_scope": "sentence" if sentence[i] else "window", "context_snippet": clipped, "context_hits": by_hit.get(i, [])})
         return out
 
-    def diagnostic_hits(self, text: str, field: str) -> list[dict]:
-        out, seen = [], set()
-        for start, end in self.diagnostic_matcher.spans(text):
-            word = text[start:end]
-            p = self.diagnostics[word]
-            if (p["id"], word) not in seen:
-                seen.add((p["id"], word))
-                out.append({"pattern_id": p["id"], "keyword": word, "field": field, "snippet": around(text, start, end)})
+    def diagnostic_hits(self, texts: Texts, field: str) -> list[list[dict]]:
+        """For each text the first place of each diagnostic keyword."""
+        start, number = self.diagnostics.leftmost(texts.whole)
+        text = texts.of(start)
+        _, firsts = np.unique(text * np.int64(max(len(self.diagnostics.keywords), 1)) + number, return_index=True)
+        out: list[list[dict]] = [[] for _ in texts.starts]
+        for i in np.sort(firsts).tolist():
+            a, b = start[i], start[i] + self.diagnostics.lengths[number[i]]
+            out[text[i]].append({"pattern_id": self.patterns[number[i]]["id"], "keyword": self.diagnostics.keywords[number[i]], "field": field, "snippet": texts.around(text[i], a, b)})
         return out
 
 
-def around(text: str, start: int, end: int, size: int = 36) -> str:
-    return text[max(0, start - size) : end + size].replace("\n", " ")
-
-
 _compiled: dict[str, Evidence] = {}
 
 
@@ -148,11 +205,11 @@ def evidence(fields: dict[str, Column], taxonomy: Taxonomy) -> Column:
         compiled = _evidence(taxonomy)
         for part in parts:
             hits, notes = [], []
-            for row in zip(*part):
-                texts = [(n, normalized(v)) for n, v in zip(names, row)]
-                hits.append([h for n, t in texts if t for h in compiled.keyword_hits(t, n)])
-                notes.append([h for n, t in texts if t for h in compiled.diagnostic_hits(t, n)])
-            yield pd.DataFrame({"keyword_hits": hits, "diagnostic_hits": notes})
+            for name, column in zip(names, part):
+                texts = Texts([normalized(v) for v in column])
+                hits.append(compiled.keyword_hits(texts, name))
+                notes.append(compiled.diagnostic_hits(texts, name))
+            yield pd.DataFrame({"keyword_hits": [sum(x, []) for x in zip(*hits)], "diagnostic_hits": [sum(x, []) for x in zip(*notes)]})
 
     return run(*[F.coalesce(c.cast("string"), F.lit("")) for c in fields.values()])
 
