@@ -4,7 +4,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from tierloom.operators import metrics, sampling
+from tierloom.operators import groups, metrics, sampling
 from tierloom.operators.sampling import SamplingConfig, allocate
 
 CONFIG = SamplingConfig(target_size=40, core_size=30, seed="test-gold-seed", rare_subtype_max=8)
@@ -124,3 +124,25 @@ def test_bootstrap_and_calibration(spark):
         assert abs(got - 0.5) < 0.05
     parts = metrics.grouped_split(df.withColumn("g", F.col("id") % 40), "g", {"a": 0.5, "b": 0.5})
     assert parts.groupBy("g").agg(F.countDistinct("part").alias("n")).where("n > 1").count() == 0
+
+
+def test_group_sizes_of_hot_rare_and_missing_keys(spark, monkeypatch):
+    monkeypatch.setattr(groups, "HOT", 3)
+    keys = ["hot"] * 300 + [None] * 40 + [f"k{i % 9}" for i in range(30)] + ["", "#1", "alone"]
+    df = spark.createDataFrame([(i, k) for i, k in enumerate(keys)], "_n int, k string")
+    count = Counter(keys)
+    assert {r._n: r.size for r in groups.with_group_size(df, "k", "size").collect()} == {i: count[k] for i, k in enumerate(keys)}
+    assert groups.with_group_size(df.limit(0), "k", "size").count() == 0
+
+
+def test_large_strata_are_not_ranked_whole(spark):
+    """The ranked rows are those below the bound; a stratum that chance left short is ranked whole."""
+    df = spark.range(20_000).select(F.concat(F.lit("t"), "id").alias("task_id"), F.when(F.col("id") < 19_000, "big").otherwise("small").alias("sampling_stratum"))
+    allocation = spark.createDataFrame([("big", 19_000, 40, 10, 50), ("small", 1_000, 0, 1_000, 1_000)], "sampling_stratum string, population long, core long, risk long, sample long")
+    got = sampling.draw(df, allocation, CONFIG).collect()
+    for stratum, n in (("big", 50), ("small", 1_000)):
+        ids = [f"t{i}" for i in (range(19_000) if stratum == "big" else range(19_000, 20_000))]
+        want = sorted(ids, key=lambda t: hashlib.sha256(f"{CONFIG.seed}|draw|{stratum}|{t}".encode()).hexdigest())[:n]
+        assert [r.task_id for r in sorted((r for r in got if r.sampling_stratum == stratum), key=lambda r: r.sample_rank_in_stratum)] == want
+    wrong = allocation.withColumn("population", F.col("population") * 1000)  # as if chance had left nearly nothing
+    assert len(sampling.draw(df, wrong, CONFIG).collect()) == 1_050

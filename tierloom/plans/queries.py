@@ -6,6 +6,7 @@ task states, `part` for classification codes, `orders` for strata.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import cell, digest, first_filled, normalize_text, scope_snippet, snippet, text_hash
 from ..operators import classify, matching, metrics, routing, sampling, tasks
+from ..operators.groups import with_group_size
 from ..sources import records
 from ..sources.taxonomy import Taxonomy, sample_taxonomy
 
@@ -319,17 +321,17 @@ def stuck_tasks(spark, sf_dir):
     return tasks.stuck(state(spark, sf_dir)).select("task_id")
 
 
-LOG = "log as (select cast(user_id as varchar) as task_id, cast(row_number() over (partition by user_id order by event_id) as int) as attempt, case when event_id % 3 = 0 then 'succeeded' else 'failed' end as status, round(value, 2) as elapsed_seconds, event_type as error from events), fit as (select * from log where attempt <= 3)"
+LOG = "log as (select cast(user_id as varchar) as task_id, cast(row_number() over (partition by user_id order by event_id) as int) as attempt, case when event_id % 3 = 0 then 'succeeded' else 'failed' end as status, round(value, 2) as elapsed_seconds, event_type as error from events)"
 
 
-@query(f"""with {LOG}, last as (select task_id, max(attempt) as attempts, arg_max(status, attempt) as s, arg_max(error, attempt) as error, round(sum(elapsed_seconds), 4) as elapsed_seconds from fit group by all)
+@query(f"""with {LOG}, last as (select task_id, max(attempt) as attempts, arg_max(status, attempt) as s, arg_max(error, attempt) as error, round(sum(elapsed_seconds), 4) as elapsed_seconds from log group by all)
 select cast(c_custkey as varchar) as task_id, case when s = 'succeeded' then 'succeeded' when attempts >= 3 then 'failed' else 'pending' end as status, coalesce(attempts, 0) as attempts, coalesce(elapsed_seconds, 0) as elapsed_seconds, error from customer left join last on task_id = cast(c_custkey as varchar)""")
 def latest_state(spark, sf_dir):
     from pyspark.sql.window import Window
 
     e = table(spark, sf_dir, "events")
     n = F.row_number().over(Window.partitionBy("user_id").orderBy("event_id"))
-    log = e.select(F.col("user_id").cast("string").alias("task_id"), n.alias("attempt"), F.when(F.col("event_id") % 3 == 0, "succeeded").otherwise("failed").alias("status"), F.round("value", 2).alias("elapsed_seconds"), F.col("event_type").alias("error")).where("attempt <= 3")
+    log = e.select(F.col("user_id").cast("string").alias("task_id"), n.alias("attempt"), F.when(F.col("event_id") % 3 == 0, "succeeded").otherwise("failed").alias("status"), F.round("value", 2).alias("elapsed_seconds"), F.col("event_type").alias("error"))
     made = table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("task_id"))
     return tasks.latest_state(made, log).select("task_id", "status", "attempts", F.round("elapsed_seconds", 4).alias("elapsed_seconds"), "error")
 
@@ -369,28 +371,35 @@ def flatten_result(spark, sf_dir):
     return classify.results(rows).select("task_id", "cat", "subtype", "technical_mechanism", "evidence", "review_flag", "review_reason")
 
 
-@query(f"with {RECORDS} select doc_id, substr(abstract, 1, 600) as abstract, substr(claim, 1, 10000) as claim from records")
+@query(f"with {RECORDS} select doc_id, substr(abstract, 1, 6000) as abstract, substr(claim, 1, 10000) as claim from records")
 def json_payload(spark, sf_dir):
     rows = as_records(spark, sf_dir).withColumns({"title": F.lit(None).cast("string"), "ipc": F.lit(""), "main_ipc": F.lit("")})
     rows = rows.select("doc_id", classify.prompt(tasks.payload(), "do", "{}").alias("p"))
     body = F.from_json(F.regexp_extract("p", r"(?s)^do\n\n(.*)\n\n\{\}$", 1), "abstract string, claim string")
-    return rows.select("doc_id", F.substring(body["abstract"], 1, 600).alias("abstract"), body["claim"].alias("claim"))
+    return rows.select("doc_id", body["abstract"].alias("abstract"), body["claim"].alias("claim"))
 
 
-@query()
+@query("""with d as (select doc_id, text, case when len(coalesce(text, '')) % 2 = 1 then 1 else 3 end as cat, doc_id % 7 = 0 as busy, doc_id % 11 = 3 as odd from documents)
+select cast(doc_id as varchar) as task_id, 1 as attempt, case when busy or odd then 'failed' else 'succeeded' end as status, case when not (busy or odd) then cast(cat as varchar) end as cat,
+  case when busy then 'RuntimeError: busy' when odd then 'ValidationError: confidence' else '' end as error from d""")
 def classified_tasks(spark, sf_dir):
-    """A deterministic classifier run over all labelled documents as tasks."""
+    """A deterministic classifier run over all documents as tasks; it raises for some and breaks a rule for others."""
     import json
 
     def answer(payload: dict) -> dict:
+        k = int(payload["main_ipc"])
+        if k % 7 == 0:
+            raise RuntimeError("busy")
         cat = 1 if len(payload["claim"]) % 2 else 3
         chain = dict.fromkeys(classify.CHAIN, "x") | {"missing_or_ambiguous_link": ""}
-        return {"raw_text": json.dumps({"cat": cat, "confidence": 0.9, "subtype": "data_integrity" if cat == 1 else "other", "core_invention": "c", "evidence_chain": chain, "evidence": ["e"], "reason": "r", "review_flag": False, "review_reason": ""})}
+        return {"raw_text": json.dumps({"cat": cat, "confidence": 1.9 if k % 11 == 3 else 0.9, "subtype": "data_integrity" if cat == 1 else "other", "core_invention": "c", "evidence_chain": chain, "evidence": ["e"], "reason": "r", "review_flag": False, "review_reason": ""})}
 
-    docs = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels").select("doc_id"), "doc_id")
-    body = F.to_json(F.struct(F.lit("").alias("title"), F.lit("").alias("abstract"), F.col("text").alias("claim"), F.lit("").alias("ipc"), F.lit("").alias("main_ipc")))
-    claimed = docs.select(F.col("doc_id").cast("string").alias("task_id"), body.alias("payload_json"), F.lit(0).alias("attempts"))
-    return classify.run_classifier(claimed, answer, "fake").select("task_id", "attempt", "status", "result_json", F.coalesce("error", F.lit("")).alias("error"))
+    docs = table(spark, sf_dir, "documents")
+    blank = F.lit("")
+    rows = docs.select("doc_id", blank.alias("title"), blank.alias("abstract"), F.col("text").alias("claim"), blank.alias("ipc"), F.col("doc_id").cast("string").alias("main_ipc"))
+    claimed = rows.select(F.col("doc_id").cast("string").alias("task_id"), tasks.payload().alias("payload_json"), F.lit(0).alias("attempts"))
+    done = classify.run_classifier(claimed, answer, "fake")
+    return done.select("task_id", "attempt", "status", F.get_json_object("result_json", "$.cat").alias("cat"), F.coalesce("error", blank).alias("error"))
 
 
 # ---- sampling --------------------------------------------------------------------------------------------------
@@ -480,7 +489,7 @@ def annotator_order(spark, sf_dir):
 @query("with d as (select doc_id, sha256(text) as h from documents) select doc_id, h as text_hash, count(*) over (partition by h) as exact_text_group_size from d")
 def text_group_size(spark, sf_dir):
     d = table(spark, sf_dir, "documents").select("doc_id", F.sha2(F.col("text").cast("binary"), 256).alias("text_hash"))
-    return d.join(d.groupBy("text_hash").agg(F.count("*").alias("exact_text_group_size")), "text_hash")
+    return with_group_size(d, "text_hash", "exact_text_group_size")
 
 
 @query(r"select doc_id, sha256(chr(10) || regexp_replace(trim(regexp_replace(text, '\s+', ' ', 'g')), '^ | $', '', 'g') || chr(10)) as text_hash from documents")
@@ -557,11 +566,16 @@ def adjudication(spark, sf_dir):
     return metrics.merged_annotations(side("doc_id % 2 = 0 or doc_id % 3 = 0", "toxic"), side("doc_id % 5 <> 0", "quality")).select("sample_id", "conflict_type")
 
 
-@query()
+POISSON = [sum(1 / (math.e * math.factorial(j)) for j in range(k + 1)) for k in range(8)]
+
+
+@query(f"""with {PAIRS}, r as (select cast(replicate as int) as replicate, p.*, cast(cast(concat('0x', substr(sha256(concat_ws('|', 'bootstrap-v1', cast(replicate as varchar), cast(doc_id as varchar))), 1, 13)) as bigint) as double) / 4503599627370496 as u from p, range(1, 101) t(replicate)),
+  w as (select *, {" + ".join(f"case when u >= {x!r} then 1 else 0 end" for x in POISSON)} as times from r)
+select replicate, round(sum(times * (case when truth = guess then 1.0 else 0.0 end - case when truth = other then 1.0 else 0.0 end)) / sum(times), 6) as difference from w group by all""")
 def paired_bootstrap(spark, sf_dir):
     p = pairs(spark, sf_dir)
     right = lambda c: F.when(F.col("truth") == F.col(c), 1.0).otherwise(0.0)
-    return metrics.paired_bootstrap(p, "doc_id", right("guess"), right("other"), 100)
+    return metrics.paired_bootstrap(p, "doc_id", right("guess"), right("other"), 100).select("replicate", r6(F.col("difference")).alias("difference"))
 
 
 # ---- streaming -------------------------------------------------------------------------------------------------
