@@ -205,7 +205,7 @@ def evidence(fields: dict[str, Column], taxonomy: Taxonomy) -> Column:
         compiled = _evidence(taxonomy)
         for part in parts:
             hits, notes = [], []
-            for name, column in zip(names, part):
+            for name, column in zip(names, [part] if isinstance(part, pd.Series) else part):  # a single field comes bare
                 texts = Texts([normalized(v) for v in column])
                 hits.append(compiled.keyword_hits(texts, name))
                 notes.append(compiled.diagnostic_hits(texts, name))

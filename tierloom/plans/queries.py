@@ -188,7 +188,44 @@ def ipc_level(spark, sf_dir):
     return coded(spark, sf_dir).select("p_partkey", routing.highest_tier(F.transform(hits, lambda h: h.tier)).alias("ipc_level"))
 
 
-@query()
+#: Fields in which the sample lexicon's gated term has an "on" (that is, any word of its context) in its scope.
+GATED = f"""gated as (select distinct doc_id, field from (select doc_id, 'abstract' as field, {NORM('abstract')} as t from records union all select doc_id, 'claim', {NORM('claim')} from records)
+  where case when regexp_matches(t, '[{MARKS}]') then len(list_filter(string_split_regex(t, '[{MARKS}]'), lambda x: contains(x, 'thnd') and contains(x, 'on'))) > 0 else regexp_matches(t, 'on.{{0,46}}thnd|thnd.{{0,46}}on') end)"""
+
+
+@query(f"with {RECORDS}, {GATED} select doc_id, field from gated")
+def gated_terms(spark, sf_dir):
+    """Hits of the gated term: those with a context word in their sentence or window."""
+    hits = matching.exploded_hits(routing.route_keywords(as_records(spark, sf_dir), sample_taxonomy()), ["doc_id"])
+    return hits.where("keyword = 'thnd'").select("doc_id", "field")
+
+
+def one_term() -> Taxonomy:
+    """A single term with two contexts."""
+    context = lambda i, word: {"id": i, "kind": "object", "keywords": [word], "source_ids": []}
+    group = {"id": "S", "tier": "S", "keywords": ["license"], "source_ids": [], "match_policy": {"mode": "standalone_phrase"}}
+    return Taxonomy({"taxonomy_version": "1", "term_groups": [group], "context_lexicons": [context("A", "version"), context("B", "under")]}, {"taxonomy_version": "1", "rules": []})
+
+
+@query(f"""with {FIRST.replace("lower(text)", NORM("text"))},
+  part as (select doc_id, mode, a, b, low, substr(t, low + 1, high - low) as x from q),
+  c as (select doc_id, mode, a, b, low, 'A' as context_id, x, 'version' as word from part union all select doc_id, mode, a, b, low, 'B', x, 'under' from part),
+  s as (select *, unnest(range(1, len(string_split(x, word)))) as i from c),
+  h as (select doc_id, mode, context_id, a, b, low + cast(list_sum(list_transform(string_split(x, word)[1:i], lambda y: len(y))) as bigint) + (i - 1) * len(word) as start, len(word) as n from s)
+select doc_id, mode as context_scope, context_id, count(*) as hits, cast(min(start) as int) as first_start, cast(min(greatest(start - b, a - start - n, 0)) as int) as least_distance from h group by all""")
+def context_hits(spark, sf_dir):
+    """Context words around the first hit of a term: how many, where the first is, how near the nearest."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", matching.evidence({"text": F.col("text")}, one_term()).alias("e"))
+    found = docs.select("doc_id", F.explode("e.keyword_hits").alias("h")).select("doc_id", "h.context_scope", F.explode("h.context_hits").alias("c"))
+    return found.groupBy("doc_id", "context_scope", "c.context_id").agg(F.count("*").alias("hits"), F.min("c.start").alias("first_start"), F.min("c.distance").alias("least_distance"))
+
+
+@query(f"""with {HITS}, {RULES}, {GATED}, k as (select l.doc_id, greatest(l.rank, case when exists (select 1 from gated g where g.doc_id = l.doc_id) then 1 else 0 end) as rank from levels l),
+  c as (select doc_id, lpad(cast(doc_id % 70 as varchar), 2, '0') as subgroup from documents),
+  met as (select c.doc_id, r.tier, row_number() over (partition by c.doc_id order by spec desc, pos) as n from c join rules r on r.subclass = 'G06F' and r.main_group = 21
+    where case when exact then sub = subgroup else regexp_matches(sub, '^0+$') or starts_with(subgroup, sub) end),
+  v as (select doc_id, subgroup, k.rank, coalesce(case m.tier when 'S' then 3 when 'W' then 2 when 'R' then 1 end, 0) as ipc from c join k using (doc_id) left join (select * from met where n = 1) m using (doc_id))
+select doc_id, {LEVEL} as keyword_level, {LEVEL.replace("rank", "ipc")} as ipc_level, {LEVEL.replace("rank", "greatest(rank, ipc)")} as route_level, 'G06F 21/' || subgroup as normalized_ipc from v""")
 def route_both(spark, sf_dir):
     """Keywords and codes together: the higher level of both."""
     rows = as_records(spark, sf_dir).withColumns({"ipc": F.concat(F.lit("G06F 21/"), F.lpad((F.col("doc_id") % 70).cast("string"), 2, "0")), "main_ipc": F.lit("")})
