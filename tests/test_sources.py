@@ -1,4 +1,5 @@
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -38,6 +39,40 @@ def test_parallel_reader_agrees_where_no_line_is_blank(spark, tmp_path):
     assert got["2021", 2].title == "T3" and got["2021", 2].abstract == ""
 
 
+@pytest.mark.parametrize("block", [200, 700, 100_000])
+def test_blocks_of_one_file_give_the_stream(spark, tmp_path, block):
+    """Numbers, quoted newlines and quotes, blank lines and carriage returns, wherever a block ends."""
+    rng = random.Random(block)
+    cells = ["plain", "", '"two\nlines"', '"a ""quoted"" word, and\n\n more\nlines of it"', 'in"ch', '"long ' + "x" * 150 + "\n" + "y" * 150 + '"', '"q"tail', "数据安全"]
+    lines = [",".join(rng.choice(cells) for _ in range(11)) for _ in range(120)]
+    lines[7] = lines[50] = ""
+    lines[20] += "\r"
+    lines[30] = '"' + "\n".join(["z" * 90] * 12) + '",b,c'  # a record of more than several blocks
+    p = write(tmp_path / "y_2020.csv", HEADER.replace("unknown", '"un\nknown"'), *lines)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(block))
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        got = records.read_records(spark, p, include_raw=True)
+        parts = got.rdd.getNumPartitions()
+        rows = sorted(got.collect(), key=lambda r: r.source_row_number)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    want = records.read_stream(spark, p, include_raw=True).collect()
+    assert rows == want and [r.source_row_number for r in rows] == list(range(2, 2 + len(rows)))
+    assert parts > 3 or block > 10_000
+
+
+def test_routing_of_one_file_is_spread(spark, tmp_path):
+    from tierloom.plans import pipeline
+    from tierloom.sources.taxonomy import sample_taxonomy
+
+    p = write(tmp_path / "z_2021.csv", HEADER, *[f"s,,F,T{i},CN{i},2021,,,license {i},token," for i in range(60)])
+    assert pipeline.step1(spark, p, str(tmp_path / "o"), sample_taxonomy())["S"] == 60
+    assert len(list((tmp_path / "o/keyword_2021/dataset_id=2021/keyword_level=S").glob("*.parquet"))) > 1
+
+
 def test_duplicate_headers_take_the_last(spark, tmp_path):
     p = write(tmp_path / "d.csv", "专利名称,专利名称", "first,last")
     assert records.read_records(spark, p).first().title == "last"

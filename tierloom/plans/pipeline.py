@@ -10,6 +10,7 @@ import subprocess
 import sys
 import threading
 import time
+from concurrent.futures import ThreadPoolExecutor
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,6 +34,9 @@ def step1(spark: SparkSession, path: str | Path, out: str, taxonomy: Taxonomy, l
     if summary_path.exists() and not overwrite:
         return sinks.read_json(summary_path)
     rows = records.read_records(spark, path, limit=limit)
+    width = spark.sparkContext.defaultParallelism
+    if rows.rdd.getNumPartitions() < width:  # a file of few blocks: its records go to all cores before the matcher
+        rows = rows.repartition(width)
     routed = routing.route_keywords(rows, taxonomy)
     target = f"{out}/keyword_{name}"
     sinks.write_tiers(routing.step1_rows(routed, taxonomy), target, overwrite)
@@ -153,8 +157,9 @@ def main(argv: list[str] | None = None) -> None:
     spark = session(master=a.master)
     if a.command == "step1":
         taxonomy = load_taxonomy(a.lexicon, a.codes)
-        for path in records.discover_files(a.input, a.input_dir, a.pattern):
-            print(step1(spark, path, a.out, taxonomy, a.limit, a.overwrite))
+        with ThreadPoolExecutor(4) as pool:  # files side by side: the tail of one leaves cores to the next
+            for summary in pool.map(lambda path: step1(spark, path, a.out, taxonomy, a.limit, a.overwrite), records.discover_files(a.input, a.input_dir, a.pattern)):
+                print(summary)
     elif a.command == "step2":
         if a.action == "prepare":
             for path in records.discover_files(a.input):

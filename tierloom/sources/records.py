@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import csv
+import io
+import itertools
 import re
 from collections.abc import Iterator, Mapping, Sequence
+from functools import reduce
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -94,40 +98,125 @@ def canonical(raw: DataFrame, aliases: Mapping[str, Sequence[str]] = ALIASES) ->
 
 
 def read_records(spark: SparkSession, path: str | Path, encoding: str = "utf-8-sig", limit: int | None = None, include_raw: bool = False, aliases: Mapping[str, Sequence[str]] = ALIASES) -> DataFrame:
-    """Records of one CSV file with exact record numbers (the header is 1; a blank line counts as an empty record).
+    """Records of one CSV file with exact record numbers (the header is 1; a blank line counts as an empty record), read in parallel.
 
-    A quoted newline can only be told from a record's end by reading from the start, so one task
-    parses one file, as a stream of records. `read_records_parallel` splits files where numbers may skip blank lines.
+    Spark's text reader splits the file, wherever it is kept. A quoted newline can only be told from a record's end by what
+    came before, so a first pass says of each block how it ends and how many records begin in it, for both ways in which
+    it can begin: at a record or inside quotes. These few numbers, put in order, give every block its first record number. A
+    record that runs over a block's end is completed from the beginning of the next. A limit, or another encoding than
+    UTF-8, is read as one stream, as `read_stream` does.
     """
+    if limit is not None or encoding.lower().replace("_", "-") not in ("utf-8", "utf-8-sig"):
+        return read_stream(spark, path, encoding, limit, include_raw, aliases)
+    lines = spark.read.option("lineSep", "\n").text(str(path)).select("value", F.col("_metadata.file_block_start").alias("block"))
+    found = sorted(lines.mapInPandas(_surveyed, "block long, open0 boolean, begun0 long, open1 boolean, begun1 long, head long, header string").collect())  # a row a block
+    header = next((r.header for r in found if r.block == 0 and r.header is not None), None)
     schema = "source_row_number int, raw map<string,string>, " + ", ".join(f"{f} string" for f in aliases)
-    source = spark.createDataFrame([(str(path),)], "path string")
+    if header is None:
+        rows = spark.createDataFrame([], schema)
+        return (rows if include_raw else rows.drop("raw")).withColumn("dataset_id", F.lit(dataset_id(path)))
+    first, opened, inside, number = {}, {}, False, 1
+    for r in found:
+        first[r.block], opened[r.block] = number, inside
+        number += r.begun1 if inside else r.begun0
+        inside = r.open1 if inside else r.open0
+    heads = {r.block: r.head for r in found if opened[r.block]}
+    tails: dict[int, list[str]] = {}
+    if heads:  # what lies before the first record of blocks that begin inside quotes: parts of a record each
+        wanted = lines.where(F.col("block").isin(list(heads)))
+        got = {r.block: list(r.lines) for r in wanted.mapInPandas(lambda parts: _heads(parts, heads), "block long, lines array<string>").collect()}
+        order = [r.block for r in found]
+        for k in range(len(order) - 2, -1, -1):
+            if opened[order[k + 1]]:
+                after = order[k + 1]
+                whole = not (next(r for r in found if r.block == after).begun1)  # no record begins there: the record goes on
+                tails[order[k]] = got.get(after, []) + (tails.get(after, []) if whole else [])
+    shared = spark.sparkContext.broadcast((first, heads, tails, header))  # some numbers for each block, parts of records at its end
+
+    def run(parts: Iterator) -> Iterator:
+        first, heads, tails, header = shared.value
+        names = next(csv.reader(io.StringIO(header + "\n", newline="")))
+        at = {h.lstrip("\ufeff").strip(): i for i, h in enumerate(names)}
+        for block, own in _by_block(parts):
+            skipped = itertools.islice(own, heads.get(block, 0), None)
+            text = (line + "\n" for line in itertools.chain(skipped, tails.get(block, ())))
+            rows = enumerate(csv.reader(text), first[block])
+            yield from _framed(((n, row) for n, row in rows if n > 1), at, aliases, include_raw)
+
+    # a block in which no record begins has only its tail to skip
+    idle = [r.block for r in found if opened[r.block] and not r.begun1]
+    used = lines.where(~F.col("block").isin(idle)) if idle else lines
+    records = used.mapInPandas(run, schema).withColumn("dataset_id", F.lit(dataset_id(path)))
+    return records if include_raw else records.drop("raw")
+
+
+def _by_block(parts: Iterator) -> Iterator[tuple[int, Iterator[str]]]:
+    """(block, its lines) from frames (value, block) that hold blocks one after the other; a bare carriage return ends a line too."""
+    rows = ((b, v) for part in parts for b, v in zip(part["block"].tolist(), part["value"].tolist()))
+    for block, own in itertools.groupby(rows, key=lambda r: r[0]):
+        bare = (v.removeprefix("\ufeff") if block == n == 0 else v for n, (_, v) in enumerate(own))  # a mark of the byte order opens the file
+        yield block, (line for v in bare for line in (re.split("(?<=\r)(?!$)", v) if "\r" in v[:-1] else (v,)))
+
+
+def _open_after(line: str, opened: bool) -> bool:
+    """Whether a quoted field is open after a line, given whether one was before; what the csv module itself makes of it."""
+    if '"' not in line:
+        return opened
+    return list(csv.reader([('"' if opened else "") + line + "\n", "end"]))[-1] != ["end"]
+
+
+def _surveyed(parts: Iterator) -> Iterator:
+    import pandas as pd
+
+    for block, lines in _by_block(parts):
+        open0, begun0, open1, begun1, head, header = False, 0, True, 0, 0, []
+        for line in lines:
+            if block == 0 and begun0 <= 1 and (open0 or not header):
+                header.append(line)
+            begun0 += not open0
+            begun1 += not open1
+            head += open1 and not begun1
+            if open0 == open1:
+                open0 = open1 = _open_after(line, open0)
+            else:
+                open0, open1 = _open_after(line, open0), _open_after(line, open1)
+        yield pd.DataFrame([{"block": block, "open0": open0, "begun0": begun0, "open1": open1, "begun1": begun1, "head": head, "header": "\n".join(header) if block == 0 else None}])
+
 
-    def run(batches) -> Iterator:
-        import csv
+def _heads(parts: Iterator, heads: dict[int, int]) -> Iterator:
+    import pandas as pd
 
-        import pandas as pd
+    for block, lines in _by_block(parts):
+        yield pd.DataFrame([{"block": block, "lines": list(itertools.islice(lines, heads[block]))}])
 
+
+def _framed(rows: Iterator[tuple[int, list[str]]], at: dict[str, int], aliases: Mapping[str, Sequence[str]], include_raw: bool) -> Iterator:
+    """Frames of canonical records from (number, cells)."""
+    import pandas as pd
+
+    while some := list(itertools.islice(rows, 5000)):
+        out = []
+        for n, row in some:
+            values = {f: next((v for a in names if a in at and at[a] < len(row) and (v := _cell(row[at[a]]))), "") for f, names in aliases.items()}
+            raw = {h: row[i] if i < len(row) else "" for h, i in at.items()} if include_raw else None
+            out.append({"source_row_number": n, "raw": raw, **values})
+        yield pd.DataFrame(out)
+
+
+def read_stream(spark: SparkSession, path: str | Path, encoding: str = "utf-8-sig", limit: int | None = None, include_raw: bool = False, aliases: Mapping[str, Sequence[str]] = ALIASES) -> DataFrame:
+    """The same records read by one task as a stream, from a file that every worker sees under its path."""
+    schema = "source_row_number int, raw map<string,string>, " + ", ".join(f"{f} string" for f in aliases)
+
+    def run(batches: Iterator) -> Iterator:
         for batch in batches:
             for name in batch["path"]:
                 with open(name, encoding=encoding, newline="") as file:
-                    rows, out = csv.reader(file), []
-                    header = next(rows, None)
-                    if header is None:
-                        continue
-                    at = {h.lstrip("﻿").strip(): i for i, h in enumerate(header)}
-                    for n, row in enumerate(rows):
-                        if limit is not None and n >= limit:
-                            break
-                        values = {f: next((v for a in names if a in at and at[a] < len(row) and (v := _cell(row[at[a]]))), "") for f, names in aliases.items()}
-                        raw = {h: row[i] if i < len(row) else "" for h, i in at.items()} if include_raw else None
-                        out.append({"source_row_number": n + 2, "raw": raw, **values})
-                        if len(out) == 5000:
-                            yield pd.DataFrame(out)
-                            out = []
-                    if out:
-                        yield pd.DataFrame(out)
-
-    records = source.mapInPandas(run, schema).withColumn("dataset_id", F.lit(dataset_id(path)))
+                    rows = csv.reader(file)
+                    if (header := next(rows, None)) is not None:
+                        at = {h.lstrip("\ufeff").strip(): i for i, h in enumerate(header)}
+                        yield from _framed(enumerate(itertools.islice(rows, limit), 2), at, aliases, include_raw)
+
+    records = spark.createDataFrame([(str(path),)], "path string").mapInPandas(run, schema).withColumn("dataset_id", F.lit(dataset_id(path)))
     return records if include_raw else records.drop("raw")
 
 
@@ -137,17 +226,8 @@ def _cell(value: str) -> str:
 
 
 def read_records_parallel(spark: SparkSession, paths: Sequence[str | Path], aliases: Mapping[str, Sequence[str]] = ALIASES) -> DataFrame:
-    """Records of many files in parallel; each file's header counts for itself. Numbers follow file order without blank lines."""
-    from functools import reduce
-
-    from pyspark.sql.window import Window
-
-    frames = []
-    for path in paths:
-        raw = spark.read.csv(str(path), header=True, multiLine=True, escape='"', encoding="UTF-8")
-        frames.append(canonical(raw.withColumn("_at", F.monotonically_increasing_id()).withColumn("dataset_id", F.lit(dataset_id(path))).withColumn("source_row_number", F.col("_at")), aliases))
-    whole = reduce(DataFrame.unionByName, frames)
-    return whole.withColumn("source_row_number", (F.row_number().over(Window.partitionBy("dataset_id").orderBy("source_row_number")) + 1).cast("int"))
+    """Records of many files; each file's header counts for itself."""
+    return reduce(DataFrame.unionByName, [read_records(spark, p, aliases=aliases) for p in paths])
 
 
 def patent_id(row: str = "source_row_number") -> Column:
