@@ -154,6 +154,72 @@ def test_failed_tasks_wait_while_others_go_on(spark, tmp_path):
     assert log.attempts.count() == 3
 
 
+def made_tasks(spark, folder, n):
+    body = lambda i: json.dumps({"title": str(i), "abstract": "", "claim": "", "ipc": "", "main_ipc": ""})
+    rows = [("d", i, f"p{i}", "S", "S", 1.0, 1.0, body(i), f"t{i}") for i in range(n)]
+    spark.createDataFrame(rows, "dataset_id string, source_row_number int, patent_id string, keyword_level string, selection_group string, selection_probability double, sample_weight double, payload_json string, task_id string").write.parquet(f"{folder}/tasks")
+
+
+def test_claims_count_when_a_run_is_cut_off(spark, tmp_path):
+    """A claim without an outcome is an attempt; with none left, the task is stuck and is not called again."""
+    made_tasks(spark, tmp_path, 3)
+    log = TaskLog(spark, str(tmp_path), max_attempts=2)
+    spark.createDataFrame([("t0", 1, "x"), ("t1", 1, "x"), ("t1", 2, "x")], "task_id string, attempt int, claimed_at string").write.parquet(f"{tmp_path}/claims")
+    assert [r.task_id for r in tasks.stuck(log.state(), 2).collect()] == ["t1"]
+    log.run(answer, workers=2)
+    assert sorted((r.task_id, r.attempt) for r in log.attempts.collect()) == [("t0", 2), ("t2", 1)]
+    assert {r.task_id: (r.status, r.attempts) for r in log.state().collect()} == {"t0": ("succeeded", 2), "t1": ("pending", 2), "t2": ("succeeded", 1)}
+
+
+def test_a_stop_lets_calls_end_and_releases_the_rest(spark, tmp_path):
+    import time
+
+    made_tasks(spark, tmp_path, 40)
+    log = TaskLog(spark, str(tmp_path))
+
+    def slow(p):
+        (tmp_path / "called").touch()
+        time.sleep(0.5)
+        return answer(p)
+
+    log.run(slow, stop=lambda: (tmp_path / "called").exists())
+    state = log.state().collect()
+    done = [r for r in state if r.status == "succeeded"]
+    assert 0 < len(done) < 40 and all(r.attempts == 0 for r in state if r.status == "pending")
+    log.run(answer)
+    assert {(r.status, r.attempts) for r in log.state().collect()} == {("succeeded", 1)}
+
+
+def test_serial_runs_try_the_same_task_first(spark, tmp_path):
+    made_tasks(spark, tmp_path, 2)
+    log = TaskLog(spark, str(tmp_path), max_attempts=2)
+
+    def first_fails(p):
+        if p["title"] == "0":
+            raise TimeoutError("later")
+        return answer(p)
+
+    log.run_serial(first_fails, retry_delay=0.2)
+    assert [(r.task_id, r.attempt) for r in log.attempts.orderBy("finished_at").collect()] == [("t0", 1), ("t0", 2), ("t1", 1)]
+
+
+def classifier_of_the_command(payload):
+    return answer(payload)
+
+
+def test_commands_from_end_to_end(spark, raw, tmp_path):
+    (tmp_path / "terms.json").write_text(json.dumps(TAXONOMY.docs), encoding="utf-8")
+    (tmp_path / "codes.json").write_text(json.dumps(TAXONOMY.ipc), encoding="utf-8")
+    out, folder = str(tmp_path / "s1"), str(tmp_path / "t")
+    pipeline.main(["step1", "--input", str(raw), "--lexicon", str(tmp_path / "terms.json"), "--codes", str(tmp_path / "codes.json"), "--out", out])
+    pipeline.main(["step2", "prepare", "--input", str(raw), "--step1", out, "--out", folder, "--rate", "0.5"])
+    pipeline.main(["step2", "run", "--dataset", "2021", "--out", folder, "--classifier", "tests.test_tasks:classifier_of_the_command", "--concurrency", "2"])
+    pipeline.main(["step2", "status", "--dataset", "2021", "--out", folder])
+    pipeline.main(["step2", "export", "--dataset", "2021", "--out", folder])
+    n = TaskLog(spark, f"{folder}/2021").tasks.count()
+    assert len((tmp_path / "t/results_2021.csv").read_text(encoding="utf-8-sig").splitlines()) == n + 1
+
+
 def test_state_files_of_other_tools(spark, tmp_path):
     import sqlite3
 

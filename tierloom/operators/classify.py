@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import os
 import time
 from collections.abc import Callable, Iterator
 from datetime import UTC, datetime
@@ -98,14 +99,22 @@ def results(state: DataFrame) -> DataFrame:
     ).orderBy("dataset_id", "source_row_number")
 
 
-def run_classifier(claimed: DataFrame, classify: Callable[[dict], dict], model: str = "", workers: int = 1) -> DataFrame:
+#: Written in place of an error where a stop came before the call.
+RELEASED = "released before the call"
+
+
+def run_classifier(claimed: DataFrame, classify: Callable[[dict], dict], model: str = "", workers: int = 1, stop_file: str | None = None) -> DataFrame:
     """One attempt for each claimed task, as rows of the attempts log.
 
     `classify` takes the payload and returns raw_text, and may return response_id, actual_model and usage. It runs
-    in the executors, up to `workers` calls at once in a task; whatever it raises is a failed attempt.
+    in the executors, up to `workers` calls at once in a task; whatever it raises is a failed attempt. Once `stop_file` is
+    there, no further call is made: calls under way end, the other tasks are released.
     """
 
     def attempt(row) -> tuple:
+        if stop_file and os.path.exists(stop_file):
+            released = dict.fromkeys(("actual_model", "response_id", "raw_response", "usage_json")) | {"error": RELEASED}
+            return row.task_id, int(row.attempts) + 1, released, 0.0, datetime.now(UTC).isoformat()
         start = time.monotonic()
         out = dict.fromkeys(("actual_model", "response_id", "raw_response", "usage_json", "error"))
         try:
@@ -131,7 +140,7 @@ def run_classifier(claimed: DataFrame, classify: Callable[[dict], dict], model:
     ok = F.col("error").isNull() & (F.size("_v") == 0)
     columns = [c.split()[0] for c in ATTEMPTS.split(", ")]
     return judged.withColumns({
-        "status": F.when(ok, "succeeded").otherwise("failed"),
+        "status": F.when(ok, "succeeded").when(F.col("error") == RELEASED, "released").otherwise("failed"),
         "result_json": F.when(ok, json_object(F.col("raw_response"))),
         "error": F.coalesce("error", F.when(F.size("_v") > 0, F.concat(F.lit("ValidationError: "), F.array_join("_v", ", ")))),
     }).select(*columns)

@@ -81,14 +81,22 @@ def unmatched(selected: DataFrame, records: DataFrame) -> DataFrame:
     return selected.join(records, ["dataset_id", "source_row_number"], "left_anti")
 
 
-def latest_state(tasks: DataFrame, attempts: DataFrame, max_attempts: int = 3) -> DataFrame:
-    """Tasks with status, attempts and the latest attempt's fields. A failed attempt leaves a task pending until none is left."""
-    log = attempts.dropDuplicates(["task_id", "attempt"])
+def latest_state(tasks: DataFrame, attempts: DataFrame, max_attempts: int = 3, claims: DataFrame | None = None) -> DataFrame:
+    """Tasks with status, attempts and the latest attempt's fields. A failed attempt leaves a task pending until none is left.
+
+    An attempt counts from its claim (task_id, attempt) on: one that was interrupted, so that its end was never written, is
+    used up, and a task whose last one was is `stuck`. A released claim, whose call was never made, does not count.
+    """
+    log = attempts.where("status <> 'released'").dropDuplicates(["task_id", "attempt"])
     fields = [c for c in log.columns if c not in ("task_id", "attempt", "elapsed_seconds")]
-    last = log.groupBy("task_id").agg(F.max("attempt").alias("attempts"), F.sum("elapsed_seconds").alias("elapsed_seconds"), F.max_by(F.struct(*fields), "attempt").alias("_last"))
-    last = last.select("task_id", "attempts", "elapsed_seconds", *[F.col(f"_last.{c}").alias(f"_{c}") for c in fields])
+    last = log.groupBy("task_id").agg(F.max("attempt").alias("_ended"), F.sum("elapsed_seconds").alias("elapsed_seconds"), F.max_by(F.struct(*fields), "attempt").alias("_last"))
+    last = last.select("task_id", "_ended", "elapsed_seconds", *[F.col(f"_last.{c}").alias(f"_{c}") for c in fields])
+    if claims is not None:
+        made = claims.join(attempts.where("status = 'released'").select("task_id", "attempt"), ["task_id", "attempt"], "left_anti")
+        last = last.join(made.groupBy("task_id").agg(F.max("attempt").alias("_claimed")), "task_id", "full")
+    last = last.withColumn("attempts", F.greatest("_ended", "_claimed") if claims is not None else F.col("_ended"))
     joined = tasks.join(last, "task_id", "left")
-    status = F.when(F.col("_status") == "succeeded", "succeeded").when(F.col("attempts") >= max_attempts, "failed").otherwise("pending")
+    status = F.when(F.col("_status") == "succeeded", "succeeded").when(F.col("_ended") >= max_attempts, "failed").otherwise("pending")
     rest = [F.col(f"_{c}").alias(c) for c in fields if c != "status"]
     return joined.select(*[c for c in tasks.columns], status.alias("status"), F.coalesce("attempts", F.lit(0)).alias("attempts"), F.coalesce("elapsed_seconds", F.lit(0.0)).alias("elapsed_seconds"), *rest)
 

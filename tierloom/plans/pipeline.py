@@ -60,7 +60,7 @@ def step2_prepare(spark: SparkSession, path: str | Path, step1_dir: str, folder:
             raise ValueError(f"prepared from other inputs: {differs}")
         return there
     if rebuild:
-        for part in ("tasks", "attempts", "stream", "prepared.json", "progress.json"):
+        for part in ("tasks", "claims", "attempts", "stream", "prepared.json", "progress.json"):
             sinks.clear(Path(folder) / part)
     routed = spark.read.parquet(f"{step1_dir}/keyword_{name}").withColumn("dataset_id", F.lit(name))
     selected = tasks.select_tasks(routed, rate, seed)
@@ -173,7 +173,9 @@ def main(argv: list[str] | None = None) -> None:
             else:
                 module, _, function = a.classifier.partition(":")
                 classifier = getattr(importlib.import_module(module), function)
-                if a.action == "run":
+                if a.action == "run" and a.concurrency == 1:
+                    log.run_serial(classifier, a.model, a.retry_delay, stopped.is_set)
+                elif a.action == "run":
                     log.run(classifier, a.model, a.concurrency, retry_delay=a.retry_delay, stop=stopped.is_set)
                 else:
                     log.stream(classifier, a.model, a.concurrency)
