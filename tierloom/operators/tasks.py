@@ -53,8 +53,8 @@ def select_tasks(rows: DataFrame, rate: float = RATE, seed: str = SEED, draw: Co
     best = strongest(rows)
     sampled = F.col("keyword_level") == "E"
     draw = uniform(seed, F.col("dataset_id"), F.col("patent_id")) if draw is None else draw
-    # two branches, so that only the default tier pays for the hash
-    kept = best.where(~sampled).unionByName(best.where(sampled).where(draw < rate))
+    # one branch over one window; nearly all rows are of the default tier, so hashing the others too costs next to nothing
+    kept = best.where(~sampled | (draw < rate))
     probability = F.when(sampled, F.lit(float(rate))).otherwise(1.0)
     return kept.withColumns({"selection_group": F.when(sampled, "E_sample").otherwise(F.col("keyword_level")), "selection_probability": probability, "sample_weight": 1 / probability})
 
