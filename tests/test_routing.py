@@ -1,5 +1,7 @@
 import json
 import re
+import threading
+from contextlib import contextmanager
 
 import numpy as np
 from hypothesis import given, settings
@@ -128,6 +130,23 @@ def test_native_scope_agrees(spark):
         assert tuple(r.s) == (low[r.id] - batch.starts[r.id], high[r.id] - batch.starts[r.id], "sentence" if sentence[r.id] else "window")
 
 
+@contextmanager
+def within(spark, seconds):
+    """Jobs that take longer are cancelled, which fails the test."""
+    clock = threading.Timer(seconds, spark.sparkContext.cancelAllJobs)
+    clock.start()
+    yield
+    clock.cancel()
+
+
+def test_a_scope_is_found_in_one_pass_over_a_long_line(spark):
+    """Two hundred thousand characters without a mark, then a mark, then the keyword."""
+    text = "x" * 200_000 + ";a.b" + "加密" + "y" * 1_000 + "\nz"
+    df = spark.createDataFrame([(text, text.index("加密"))], "t string, a int")
+    with within(spark, 30):
+        assert tuple(df.select(matching.scope(F.col("t"), F.col("a"), F.col("a") + 2, 48).alias("s")).first().s) == (200_001, 201_006, "sentence")
+
+
 def test_step1_rows_and_statistics(spark):
     names = ["application_number", "publication_number", "grant_number", "application_year", "stock_code", "company_name", "industry", "market"]
     rows = [(str(i), "2020", i + 2, "t", a, "", "", "") for i, a in enumerate(["数据安全。", "隐私安全", "加密数据", "方法", ""])]

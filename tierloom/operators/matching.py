@@ -241,13 +241,16 @@ def keyword_spans(text: Column, keywords: Iterable[str]) -> Column:
 
 
 def scope(text: Column, start: Column, end: Column, window: int) -> Column:
-    """Struct (start, end, mode) of a keyword's scope, by built-in functions."""
-    marks = f"[{BOUNDARIES}]"
-    before = F.substring(text, F.lit(1), start)
-    after = F.substring(text, end + 1, F.length(text))
-    left = F.length(F.regexp_replace(before, f"[^{BOUNDARIES}]*\\z", ""))  # one past the last mark
-    right = end + F.length(F.regexp_extract(after, f"^([^{BOUNDARIES}]*)", 1))
-    sentence = (left > 0) | after.rlike(marks)
+    """Struct (start, end, mode) of a keyword's scope, by built-in functions that go over the text once.
+
+    A pattern for what follows the last mark would be tried at every place, each time as far as the next mark.
+    """
+    marked = F.translate(text, BOUNDARIES, "\n" * len(BOUNDARIES))
+    before = F.substring(marked, F.lit(1), start)
+    after = F.substring(marked, end + 1, F.length(text))
+    left = F.length(before) - F.length(F.substring_index(before, "\n", -1))  # one past the last mark
+    right = end + F.length(F.substring_index(after, "\n", 1))
+    sentence = (left > 0) | F.contains(after, F.lit("\n"))
     return F.struct(F.when(sentence, left).otherwise(F.greatest(start - window, F.lit(0))).alias("start"), F.when(sentence, right).otherwise(F.least(F.length(text), end + window)).alias("end"), F.when(sentence, "sentence").otherwise("window").alias("mode"))
 
 
