@@ -147,6 +147,15 @@ def test_a_scope_is_found_in_one_pass_over_a_long_line(spark):
         assert tuple(df.select(matching.scope(F.col("t"), F.col("a"), F.col("a") + 2, 48).alias("s")).first().s) == (200_001, 201_006, "sentence")
 
 
+def test_native_spans_of_very_many_hits(spark):
+    """A hundred and fifty thousand hits in a text: starts are not summed up in an array that is copied at each."""
+    text = "😀under, " * 150_000
+    spans = spark.createDataFrame([(text,)], "t string").select(F.explode(matching.keyword_spans(F.col("t"), ["version", "under"])).alias("s"))
+    with within(spark, 30):
+        n, first, last, total = spans.select("s.start").agg(F.count("*"), F.min("start"), F.max("start"), F.sum("start")).first()
+    assert (n, first, last, total) == (150_000, 1, 8 * 149_999 + 1, sum(range(1, len(text), 8)))
+
+
 def test_step1_rows_and_statistics(spark):
     names = ["application_number", "publication_number", "grant_number", "application_year", "stock_code", "company_name", "industry", "market"]
     rows = [(str(i), "2020", i + 2, "t", a, "", "", "") for i, a in enumerate(["数据安全。", "隐私安全", "加密数据", "方法", ""])]

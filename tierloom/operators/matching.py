@@ -222,20 +222,28 @@ def alternation(keywords: Iterable[str]) -> str:
 def keyword_spans(text: Column, keywords: Iterable[str]) -> Column:
     """Array of (keyword, start) of all leftmost-longest occurrences, without Python.
 
-    What a pattern splits off and what it matches alternate, so starts are running lengths.
+    What a pattern splits off and what it matches alternate, so starts are running lengths. These are summed up in blocks of
+    about the root of their number: an array that grows by one is copied each time.
     """
     pattern = alternation(keywords)
     let = lambda value, body: F.element_at(F.transform(F.array(value), body), 1)
 
-    def located(m: Column, gaps: Column) -> Column:
-        none = F.array().cast("array<struct<keyword:string,start:int>>")
+    def running(lengths: Column, base: Column) -> Column:
+        """Sums of all lengths before each place, from `base` on."""
+        step = lambda acc, n: F.struct((acc.at + n).alias("at"), F.concat(acc.found, F.array(acc.at)).alias("found"))
+        return F.aggregate(lengths, F.struct(base.alias("at"), F.array().cast("array<int>").alias("found")), step).found
 
-        def step(acc: Column, i: Column) -> Column:
-            start = acc.at + F.length(F.get(gaps, i))
-            one = F.struct(F.get(m, i).alias("keyword"), start.alias("start"))
-            return F.struct((start + F.length(F.get(m, i))).alias("at"), F.concat(acc.found, F.array(one)).alias("found"))
+    def in_blocks(lengths: Column, size: Column) -> Column:
+        blocks = F.transform(F.sequence(F.lit(1), F.size(lengths), size), lambda i: F.slice(lengths, i, size))
+        whole = lambda of: F.transform(of, lambda b: F.aggregate(b, F.lit(0), lambda x, n: x + n))
+        return let(blocks, lambda of: F.flatten(F.zip_with(of, running(whole(of), F.lit(0)), running)))
 
-        return F.when(F.size(m) > 0, F.aggregate(F.sequence(F.lit(0), F.size(m) - 1), F.struct(F.lit(0).alias("at"), none.alias("found")), step).found).otherwise(none)
+    def located(m: Column, gaps: Column) -> Column:
+        none = F.array().cast("array<struct<keyword:string,start:int>>")
+        lengths = F.transform(m, lambda k, i: F.length(F.get(gaps, i)) + F.length(k))
+        ends = let(lengths, lambda n: in_blocks(n, F.ceil(F.sqrt(F.size(n))).cast("int")))
+        spans = let(ends, lambda at: F.transform(m, lambda k, i: F.struct(k.alias("keyword"), (F.get(at, i) + F.length(F.get(gaps, i))).alias("start"))))
+        return F.when(F.size(m) > 0, spans).otherwise(none)
 
     return let(F.regexp_extract_all(text, F.lit(f"({pattern})"), F.lit(1)), lambda m: let(F.split(text, pattern, -1), lambda gaps: located(m, gaps)))
 
