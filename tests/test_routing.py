@@ -9,6 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tierloom.operators import matching, routing
+from tierloom.plans.queries import QUERIES
 from tierloom.sources.taxonomy import Taxonomy
 
 G = lambda i, tier, words, **policy: {"id": i, "tier": tier, "keywords": words, "source_ids": ["A"], "match_policy": {"mode": "standalone_phrase"} | policy}
@@ -147,6 +148,13 @@ def test_a_scope_is_found_in_one_pass_over_a_long_line(spark):
         assert tuple(df.select(matching.scope(F.col("t"), F.col("a"), F.col("a") + 2, 48).alias("s")).first().s) == (200_001, 201_006, "sentence")
 
 
+def test_snippets_of_a_long_line(spark, tmp_path):
+    spark.createDataFrame([(1, "x" * 200_000 + ";" + "b" * 130 + "License" + "c" * 10 + "\n" + "y" * 200_000)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    with within(spark, 30):
+        found = QUERIES["snippets"](spark, str(tmp_path)).collect()
+    assert [tuple(r) for r in found] == [(1, "b" * 36 + "license" + "c" * 10 + " " + "y" * 25, "…" + "b" * 120 + "license" + "c" * 10)]
+
+
 def test_native_spans_of_very_many_hits(spark):
     """A hundred and fifty thousand hits in a text: starts are not summed up in an array that is copied at each."""
     text = "😀under, " * 150_000
