@@ -8,7 +8,7 @@ from tierloom.operators.tasks import ATTEMPTS
 from tierloom.plans import pipeline
 from tierloom.streaming.task_log import TaskLog
 
-from .test_routing import TAXONOMY
+from .test_routing import TAXONOMY, within
 from .test_sources import HEADER, write
 
 
@@ -28,6 +28,27 @@ def test_golden_identities(spark):
     assert sorted(r.id for r in sample.collect()) == [16, 71, 98, 128, 157, 204, 229, 246, 271, 293, 294, 484]
 
 
+def test_many_quick_calls_are_handed_on_together_and_parsed_once(spark):
+    """Eight thousand calls in one task; three in eight thousand fail, one breaks a rule."""
+    n = 8_000
+
+    def classifier(payload):
+        if payload["k"] in (5, 300, 7_999):
+            raise RuntimeError("busy")
+        return answer(payload, confidence=1.5 if payload["k"] == 256 else 0.9)
+
+    rows = spark.range(n).coalesce(1).select(F.col("id").cast("string").alias("task_id"), F.to_json(F.struct(F.col("id").alias("k"))).alias("payload_json"), F.lit(1).alias("attempts"))
+    for workers in (1, 4):
+        done = classify.run_classifier(rows, classifier, "m", workers)
+        with within(spark, 15):
+            ended = done.collect()
+        assert [r.task_id for r in ended] == [str(k) for k in range(n)] and {r.attempt for r in ended} == {2}
+        assert {r.task_id: r.error for r in ended if r.status != "succeeded"} == dict.fromkeys(("5", "300", "7999"), "RuntimeError: busy") | {"256": "ValidationError: confidence"}
+    raw = spark.createDataFrame([(answer({})["raw_text"],)], "raw string")
+    plan = raw.select(classify.violations(classify.parsed(F.col("raw")), F.col("raw")).alias("v"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(") == 1
+
+
 def test_selection_takes_the_strongest_tier(spark):
     rows = [("d", "p1", 2, "E"), ("d", "p1", 5, "W"), ("d", "p1", 4, "W"), ("d", "p2", 3, "R"), ("d", "p3", 6, "E"), ("d", "p3", 7, "E"), ("e", "p1", 2, "S")]
     df = spark.createDataFrame(rows, "dataset_id string, patent_id string, source_row_number int, keyword_level string")

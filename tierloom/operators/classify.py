@@ -7,6 +7,7 @@ import os
 import time
 from collections.abc import Callable, Iterator
 from datetime import UTC, datetime
+from itertools import batched
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -52,9 +53,19 @@ def parsed(raw: Column) -> Column:
 
 
 def violations(response: Column, raw: Column | None = None) -> Column:
-    """Names of the rules that a parsed response breaks; empty means valid. With `raw`, unknown keys count too."""
+    """Names of the rules that a parsed response breaks; empty means valid. With `raw`, unknown keys count too.
+
+    Both are bound first: else the optimizer parses the answer anew for each field that a rule looks at.
+    """
+    let = lambda value, body: F.element_at(F.transform(F.array(value), body), 1)
+    if raw is None:
+        return let(response, _violations)
+    return let(F.struct(response.alias("response"), json_object(raw).alias("object")), lambda x: _violations(x.response, x.object))
+
+
+def _violations(r: Column, body: Column | None = None) -> Column:
     blank = lambda c: F.trim(F.coalesce(c, F.lit(""))) == ""
-    r, rules = response, []
+    rules = []
     rule = lambda name, broken: rules.append(F.when(F.coalesce(broken, F.lit(True)), F.lit(name)))
     rule("object", r.isNull())
     rule("cat", ~r["cat"].isin(1, 2, 3))
@@ -76,9 +87,9 @@ def violations(response: Column, raw: Column | None = None) -> Column:
     rule("cat1_open_link", (r["cat"] == 1) & ~blank(link))
     rule("cat2_no_link", (r["cat"] == 2) & blank(link))
     rule("review_without_reason", r["review_flag"] & blank(r["review_reason"]))
-    if raw is not None:
-        keys = F.json_object_keys(json_object(raw))
-        chain = F.json_object_keys(F.get_json_object(json_object(raw), "$.evidence_chain"))
+    if body is not None:
+        keys = F.json_object_keys(body)
+        chain = F.json_object_keys(F.get_json_object(body, "$.evidence_chain"))
         rule("extra_keys", (F.size(F.array_except(keys, F.lit(list(KEYS)))) > 0) | (F.size(F.array_except(chain, F.lit(list(CHAIN)))) > 0))
     return F.array_compact(F.array(*rules))
 
@@ -101,6 +112,8 @@ def results(state: DataFrame) -> DataFrame:
 
 #: Written in place of an error where a stop came before the call.
 RELEASED = "released before the call"
+#: Outcomes that a worker hands on at once: a frame for each would cost more than most else here.
+TOGETHER = 256
 
 
 def run_classifier(claimed: DataFrame, classify: Callable[[dict], dict], model: str = "", workers: int = 1, stop_file: str | None = None) -> DataFrame:
@@ -129,10 +142,15 @@ def run_classifier(claimed: DataFrame, classify: Callable[[dict], dict], model:
 
         import pandas as pd
 
+        def rows(some: list[tuple]) -> pd.DataFrame:
+            found = [{"task_id": t, "attempt": n, "status": None, "requested_model": model, "result_json": None, "elapsed_seconds": seconds, "prompt_version": PROMPT_VERSION, "finished_at": at, **out} for t, n, out, seconds, at in some]
+            return pd.DataFrame(found, columns=[c.split()[0] for c in ATTEMPTS.split(", ")])
+
         with ThreadPoolExecutor(max(1, workers)) as pool:
             for batch in batches:
-                for t, n, out, seconds, at in pool.map(attempt, batch.itertuples()):
-                    yield pd.DataFrame([{"task_id": t, "attempt": n, "status": None, "requested_model": model, "result_json": None, "elapsed_seconds": seconds, "prompt_version": PROMPT_VERSION, "finished_at": at, **out}])[[c.split()[0] for c in ATTEMPTS.split(", ")]]
+                ended = pool.map(attempt, batch.itertuples()) if workers > 1 else map(attempt, batch.itertuples())
+                for some in batched(ended, TOGETHER):
+                    yield rows(some)
 
     done = claimed.select("task_id", "payload_json", "attempts").mapInPandas(run, ATTEMPTS)
     broken = violations(parsed(F.col("raw_response")), F.col("raw_response"))
