@@ -1,9 +1,11 @@
 import json
 import re
 import threading
+import tracemalloc
 from contextlib import contextmanager
 
 import numpy as np
+import pandas as pd
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -164,6 +166,49 @@ def test_native_spans_of_very_many_hits(spark):
     assert (n, first, last, total) == (150_000, 1, 8 * 149_999 + 1, sum(range(1, len(text), 8)))
 
 
+def plain_hits(text):
+    """The taxonomy's hits in one text, hit by hit and word by word: (keyword, start, contexts asked for and met, (context, start, end) around)."""
+    spans = lambda words, t: [m.span() for m in re.finditer("|".join(map(re.escape, sorted(words, key=len, reverse=True))), t)]
+    found = []
+    for a, b in spans(TAXONOMY.terms, text):
+        policy, word = TAXONOMY.terms[text[a:b]]["match_policy"], text[a:b]
+        marks = [i for i, c in enumerate(text) if c in matching.BOUNDARIES]
+        left, right = [i for i in marks if i < a], [i for i in marks if i >= b]
+        low, high = (left[-1] + 1 if left else 0, right[0] if right else len(text)) if left or right else (max(0, a - 48), min(len(text), b + 48))
+        around = sorted(((low + x, -low - y, c["id"]) for c, words in TAXONOMY.contexts for x, y in spans(words, text[low:high]) if low + x >= b or low + y <= a))
+        met = [c for c in policy.get("required_any", []) if c in {n for *_, n in around}] if policy["mode"] == "cooccurrence" else []
+        if word not in [f[0] for f in found] and (met or policy["mode"] != "cooccurrence"):
+            found.append((word, a, met, [(n, x, -y) for x, y, n in around]))
+    return found
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(["零知识证明", "数据", "用户数据", "数据安全", "安全", "泄露", "加密", "。", "a", "甲" * 30]), max_size=14).map("".join), max_size=4))
+def test_hits_equal_those_found_one_by_one(texts):
+    batch = matching.Texts(texts)
+    for text, hits in zip(texts, matching.Evidence(TAXONOMY).keyword_hits(batch, "f")):
+        assert [(h["keyword"], h["context_ids"], [(c["context_id"], c["start"], c["end"]) for c in h["context_hits"]]) for h in hits] == [(k, met, around) for k, _, met, around in plain_hits(text)]
+
+
+def test_a_long_sentence_is_not_its_hits_times_its_words():
+    """Two thousand hits of a gated term and as many context words in one sentence, of which one hit is kept."""
+    compiled, texts = matching.Evidence(TAXONOMY), matching.Texts(["零知识证明 泄露 " * 2_000 + "。"])
+    tracemalloc.start()
+    hits = compiled.keyword_hits(texts, "claim")[0]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(hits) == 1 and [c["start"] for c in hits[0]["context_hits"]] == list(range(6, 18_000, 9)) and peak < 20e6
+
+
+def test_rows_of_a_batch_are_taken_by_their_characters(spark):
+    texts = pd.Series(["a" * n for n in (0, 5, matching.AT_ONCE + 1, 1, matching.AT_ONCE - 1, 1, 0)])
+    assert [(r.start, r.stop) for r in matching.runs([texts])] == [(0, 2), (2, 3), (3, 5), (5, 7)]
+    assert [(r.start, r.stop) for r in matching.runs([texts, texts[::-1].reset_index(drop=True)])] == [(0, 2), (2, 3), (3, 4), (4, 5), (5, 7)] and not list(matching.runs([texts[:0]]))
+    rows = [(i, "加密" * (i % 2) + "x" * 900) for i in range(1_000)]
+    found = spark.createDataFrame(rows, "id int, t string").coalesce(1).select("id", matching.evidence({"t": F.col("t")}, TAXONOMY).alias("e"))
+    assert [(r.id, r.n) for r in found.select("id", F.size("e.keyword_hits").alias("n")).collect()] == [(i, i % 2) for i in range(1_000)]
+
+
 def test_step1_rows_and_statistics(spark):
     names = ["application_number", "publication_number", "grant_number", "application_year", "stock_code", "company_name", "industry", "market"]
     rows = [(str(i), "2020", i + 2, "t", a, "", "", "") for i, a in enumerate(["数据安全。", "隐私安全", "加密数据", "方法", ""])]

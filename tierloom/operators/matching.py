@@ -1,8 +1,8 @@
 """Dictionary matching with context evidence.
 
-The main form works on whole Arrow batches: the batch's texts are put into one string, an automaton goes over it once for
-keywords and once for context words, and places are arrays from there on. Scopes come from a search among the places
-of sentence marks, context words meet keywords by intervals, and of a keyword's hits the first that passes is kept.
+The main form works on the texts of many rows, a bounded number of characters at a time: they are put into one string, an automaton
+goes over it once for keywords and over each scope for context words, and places are arrays from there on. Scopes come from a search among
+the places of sentence marks, context words meet keywords by intervals, and of a keyword's hits the first that passes is kept.
 `keyword_spans` is a form without Python for lexicons and texts where that matters more.
 """
 
@@ -26,6 +26,8 @@ KEYWORD_HIT = f"struct<group_id:string,tier:string,keyword:string,field:string,s
 DIAGNOSTIC_HIT = "struct<pattern_id:string,keyword:string,field:string,snippet:string>"
 
 
+#: Characters that are gone over together.
+AT_ONCE = 1 << 18
 #: Between the texts of a batch: no character, so part of no text and no keyword.
 BETWEEN = "\uffff"
 
@@ -120,56 +122,56 @@ class Evidence:
         self.contexts = Matcher(w for _, words in taxonomy.contexts for w in words)
         self.in_lexicon = [np.array([w in words for w in self.contexts.keywords], bool) for words in (set(words) for _, words in taxonomy.contexts)]
 
-    def near(self, texts: Texts, start: np.ndarray, end: np.ndarray, low: np.ndarray, high: np.ndarray) -> pd.DataFrame:
-        """(hit, lexicon, start, end) of the context words inside each hit's scope and beside the hit.
-
-        In a scope, a lexicon's words are read from its beginning: leftmost, longest, none overlapping.
-        """
-        scopes, mine = np.unique(np.stack([low, high], axis=1), axis=0, return_inverse=True)
+    def words(self, texts: Texts, scopes: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """For each lexicon (scope, start, end) of its words in each scope, read from its beginning: leftmost, longest, none overlapping."""
         part, place, number = self.contexts.everywhere(texts.whole, scopes.tolist())
-        first = np.searchsorted(part, mine)
-        many = np.searchsorted(part, mine, side="right") - first
-        hit = np.repeat(np.arange(len(start)), many)
-        at = np.arange(len(hit)) - np.repeat(np.cumsum(many) - many, many) + np.repeat(first, many)
-        pairs = pd.DataFrame({"hit": hit, "start": place[at], "end": place[at] + self.contexts.lengths[number[at]], "word": number[at]})
-        own = pd.concat([pairs[has[pairs["word"]]].assign(lexicon=k) for k, has in enumerate(self.in_lexicon)] or [pairs.assign(lexicon=0)])
-        own = own.sort_values(["hit", "lexicon", "start", "end"], ascending=[True, True, True, False], kind="stable")
-        free, last, taken = 0, None, []
-        for h, k, a, b in zip(own["hit"].tolist(), own["lexicon"].tolist(), own["start"].tolist(), own["end"].tolist()):
-            if (h, k) != last:
-                free, last = 0, (h, k)
-            taken.append(a >= free)
-            free = b if a >= free else free
-        own = own[np.array(taken, bool)]
-        own = own[(own["start"] >= end[own["hit"]]) | (own["end"] <= start[own["hit"]])]
-        names = np.array([x["id"] for x in self.lexicons] or [""])
-        return own.assign(name=names[own["lexicon"]], last=-own["end"]).sort_values(["hit", "start", "last", "name"], kind="stable")
+        found = []
+        for has in self.in_lexicon:
+            own = np.flatnonzero(has[number])
+            last, free, taken = -1, 0, []
+            for i, s, a, b in zip(own.tolist(), part[own].tolist(), place[own].tolist(), (place[own] + self.contexts.lengths[number[own]]).tolist()):
+                if s != last or a >= free:
+                    last, free = s, b
+                    taken.append(i)
+            own = np.array(taken, np.int64)
+            found.append((part[own], place[own], place[own] + self.contexts.lengths[number[own]]))
+        return found
 
     def keyword_hits(self, texts: Texts, field: str) -> list[list[dict]]:
-        """For each text its keyword hits by place: of a keyword the first whose group asks for no context or has one of those asked for."""
+        """For each text its keyword hits by place: of a keyword the first whose group asks for no context or has one of those asked for.
+
+        Whether a hit has a context is counted: its scope's words end in order, so those before it and those after it are known
+        by search. Words are listed for the kept hits alone, else a long sentence would give its hits times its words.
+        """
         start, number = self.terms.leftmost(texts.whole)
+        gated = np.array([g["match_policy"]["mode"] == "cooccurrence" for g in self.groups] or [False])
+        once = lambda i: np.sort(i[np.unique(texts.of(start[i]) * np.int64(len(self.terms.keywords)) + number[i], return_index=True)[1]])
+        asks = gated[number]
+        tried = np.sort(np.r_[once(np.flatnonzero(~asks)), np.flatnonzero(asks)])
+        start, number, asks = start[tried], number[tried], asks[tried]
         end, text = start + self.terms.lengths[number], texts.of(start)
         low, high, sentence = texts.scopes(start, end, self.window)
-        contexts = self.near(texts, start, end, low, high)
-        there: dict[int, set] = {}
-        for i, name in zip(contexts["hit"].tolist(), contexts["name"].tolist()):
-            there.setdefault(i, set()).add(name)
-        asked = [self.groups[n]["match_policy"] for n in number.tolist()]
-        met = [[c for c in p.get("required_any", []) if c in there.get(i, ())] if p["mode"] == "cooccurrence" else None for i, p in enumerate(asked)]
-        passed = np.array([m is None or bool(m) for m in met], bool)
-        _, firsts = np.unique(text[passed] * np.int64(len(self.terms.keywords)) + number[passed], return_index=True)
-        kept = np.sort(np.flatnonzero(passed)[firsts])
-        by_hit: dict[int, list[dict]] = {}
-        for c in contexts[np.isin(contexts["hit"], kept)].itertuples():
-            lexicon, t = self.lexicons[c.lexicon], text[c.hit]
-            away = max(c.start - end[c.hit], start[c.hit] - c.end, 0)
-            by_hit.setdefault(c.hit, []).append({"context_id": c.name, "kind": lexicon["kind"], "keyword": texts.whole[c.start : c.end], "start": c.start - texts.starts[t], "end": c.end - texts.starts[t], "distance": away, "snippet": texts.around(t, c.start, c.end), "source_ids": list(lexicon.get("source_ids", []))})
+        scopes, mine = np.unique(np.stack([low, high], axis=1), axis=0, return_inverse=True)
+        mine, wide = mine.reshape(-1), np.int64(len(texts.whole) + 1)
+        reach = []  # for each lexicon: its words' starts and ends, and for each hit the first in its scope, those before it, the first after it, the last
+        for part, a, b in self.words(texts, scopes):
+            reach.append((a, b, np.searchsorted(part, mine), np.searchsorted(part * wide + b, mine * wide + start, side="right"), np.searchsorted(part * wide + a, mine * wide + end), np.searchsorted(part, mine, side="right")))
+        there = {x["id"]: np.zeros(len(start), bool) for x in self.lexicons}
+        for x, (_, _, first, before, after, last) in zip(self.lexicons, reach):
+            there[x["id"]] |= (before > first) | (last > after)
+        met = {i: [c for c in self.groups[number[i]]["match_policy"].get("required_any", []) if c in there and there[c][i]] for i in np.flatnonzero(asks).tolist()}
+        kept = once(np.array([i for i in range(len(start)) if i not in met or met[i]], np.int64))
+        near: dict[int, list[dict]] = {}
+        for i in kept.tolist():
+            t = text[i]
+            found = [(a[j], -b[j], x["id"], x) for x, (a, b, first, before, after, last) in zip(self.lexicons, reach) for j in (*range(first[i], before[i]), *range(after[i], last[i]))]
+            near[i] = [{"context_id": name, "kind": x["kind"], "keyword": texts.whole[a:-b], "start": a - texts.starts[t], "end": -b - texts.starts[t], "distance": max(a - end[i], start[i] + b, 0), "snippet": texts.around(t, a, -b), "source_ids": list(x.get("source_ids", []))} for a, b, name, x in sorted(found, key=lambda f: f[:3])]
         out: list[list[dict]] = [[] for _ in texts.starts]
         for i in kept.tolist():
             group, t = self.groups[number[i]], text[i]
             a, b = max(low[i], start[i] - 120), min(high[i], end[i] + 120)
             clipped = ("…" if a > low[i] else "") + texts.whole[a:b].replace("\n", " ") + ("…" if b < high[i] else "")
-            out[t].append({"group_id": group["id"], "tier": group["tier"], "keyword": self.terms.keywords[number[i]], "field": field, "snippet": texts.around(t, start[i], end[i]), "source_ids": list(group.get("source_ids", [])), "context_ids": met[i] or [], "context_scope": "sentence" if sentence[i] else "window", "context_snippet": clipped, "context_hits": by_hit.get(i, [])})
+            out[t].append({"group_id": group["id"], "tier": group["tier"], "keyword": self.terms.keywords[number[i]], "field": field, "snippet": texts.around(t, start[i], end[i]), "source_ids": list(group.get("source_ids", [])), "context_ids": met.get(i, []), "context_scope": "sentence" if sentence[i] else "window", "context_snippet": clipped, "context_hits": near[i]})
         return out
 
     def diagnostic_hits(self, texts: Texts, field: str) -> list[list[dict]]:
@@ -196,6 +198,17 @@ def _evidence(taxonomy: Taxonomy) -> Evidence:
     return _compiled[key]
 
 
+def runs(columns: list[pd.Series]) -> Iterator[slice]:
+    """Consecutive rows of at most `AT_ONCE` characters together, or a single one: a worker's memory does not follow the size of an Arrow batch."""
+    ends = sum(c.str.len() for c in columns).cumsum().to_numpy()
+    first = 0
+    while first < len(ends):
+        before = ends[first - 1] if first else 0
+        last = max(first + 1, int(np.searchsorted(ends, before + AT_ONCE, side="right")))
+        yield slice(first, last)
+        first = last
+
+
 def evidence(fields: dict[str, Column], taxonomy: Taxonomy) -> Column:
     """Struct of `keyword_hits` and `diagnostic_hits` over several text fields, in their order."""
     names = list(fields)
@@ -204,12 +217,14 @@ def evidence(fields: dict[str, Column], taxonomy: Taxonomy) -> Column:
     def run(parts: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
         compiled = _evidence(taxonomy)
         for part in parts:
-            hits, notes = [], []
-            for name, column in zip(names, [part] if isinstance(part, pd.Series) else part):  # a single field comes bare
-                texts = Texts([normalized(v) for v in column])
-                hits.append(compiled.keyword_hits(texts, name))
-                notes.append(compiled.diagnostic_hits(texts, name))
-            yield pd.DataFrame({"keyword_hits": [sum(x, []) for x in zip(*hits)], "diagnostic_hits": [sum(x, []) for x in zip(*notes)]})
+            columns = [part] if isinstance(part, pd.Series) else list(part)  # a single field comes bare
+            for rows in runs(columns):
+                hits, notes = [], []
+                for name, column in zip(names, columns):
+                    texts = Texts([normalized(v) for v in column.iloc[rows]])
+                    hits.append(compiled.keyword_hits(texts, name))
+                    notes.append(compiled.diagnostic_hits(texts, name))
+                yield pd.DataFrame({"keyword_hits": [sum(x, []) for x in zip(*hits)], "diagnostic_hits": [sum(x, []) for x in zip(*notes)]})
 
     return run(*[F.coalesce(c.cast("string"), F.lit("")) for c in fields.values()])
 
