@@ -6,6 +6,7 @@ from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -209,6 +210,26 @@ def test_rows_of_a_batch_are_taken_by_their_characters(spark):
     assert [(r.id, r.n) for r in found.select("id", F.size("e.keyword_hits").alias("n")).collect()] == [(i, i % 2) for i in range(1_000)]
 
 
+def test_texts_of_a_batch_stay_in_arrow_until_their_run():
+    """Forty megabytes of text as Python has it, of which a run of 262,144 characters is taken at a time."""
+    texts = pa.array(["a😀" + "a" * 9_996 + "加密"] * 1_000)
+    kind = pa.struct([("keyword_hits", pa.list_(pa.struct([("keyword", pa.string()), ("field", pa.string())]))), ("diagnostic_hits", pa.list_(pa.struct([("keyword", pa.string())]))), ("normalized", pa.list_(pa.string()))])
+    codes = pa.array(["Ｇ０６Ｆ 21/6"] * 1_000)
+    tracemalloc.start()
+    sizes = [(len(x), {(h[0]["keyword"], h[0]["field"]) for h in x.field("keyword_hits").to_pylist()}, set(map(tuple, x.field("normalized").to_pylist()))) for x in matching.found([texts, codes], ["claim"], TAXONOMY, kind)]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(n for n, *_ in sizes) == 1_000 and len(sizes) > 30 and peak < 10e6
+    assert all(x == {("加密", "claim")} and codes == {("g06f 21/6",)} for _, x, codes in sizes)
+
+
+def test_keywords_and_codes_share_a_python_worker(spark):
+    df = spark.createDataFrame([(0, "", "加密", "", "Ｇ０６Ｆ21/60", None)], FIELDS)
+    routed = routing.route(df, TAXONOMY)
+    assert routed._jdf.queryExecution().executedPlan().toString().count("EvalPython") == 1
+    assert routed.select("normalized_ipc", "route_level").first() == (["G06F 21/60"], "S") and routed.columns == [*df.columns, "keyword_hits", "diagnostic_hits", "keyword_level", "ipc_hits", "normalized_ipc", "ipc_level", "route_level"]
+
+
 def test_step1_rows_and_statistics(spark):
     names = ["application_number", "publication_number", "grant_number", "application_year", "stock_code", "company_name", "industry", "market"]
     rows = [(str(i), "2020", i + 2, "t", a, "", "", "") for i, a in enumerate(["数据安全。", "隐私安全", "加密数据", "方法", ""])]

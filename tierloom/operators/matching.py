@@ -13,8 +13,12 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import DataType
 
 from ..functions.text import normalized
 from ..sources.taxonomy import Taxonomy
@@ -198,9 +202,9 @@ def _evidence(taxonomy: Taxonomy) -> Evidence:
     return _compiled[key]
 
 
-def runs(columns: list[pd.Series]) -> Iterator[slice]:
+def runs(columns: list[pd.Series | pa.Array]) -> Iterator[slice]:
     """Consecutive rows of at most `AT_ONCE` characters together, or a single one: a worker's memory does not follow the size of an Arrow batch."""
-    ends = sum(c.str.len() for c in columns).cumsum().to_numpy()
+    ends = np.cumsum(sum(pc.utf8_length(c if isinstance(c, pa.Array) else pa.array(c, pa.string())).to_numpy(zero_copy_only=False).astype(np.int64) for c in columns))
     first = 0
     while first < len(ends):
         before = ends[first - 1] if first else 0
@@ -209,24 +213,42 @@ def runs(columns: list[pd.Series]) -> Iterator[slice]:
         first = last
 
 
-def evidence(fields: dict[str, Column], taxonomy: Taxonomy) -> Column:
-    """Struct of `keyword_hits` and `diagnostic_hits` over several text fields, in their order."""
-    names = list(fields)
+def found(columns: list[pa.Array], names: list[str], taxonomy: Taxonomy, kind: pa.DataType) -> Iterator[pa.Array]:
+    """`evidence` of one Arrow batch, run by run: only a run's texts become Python's, the others stay in Arrow's buffers.
 
-    @F.pandas_udf(f"struct<keyword_hits:array<{KEYWORD_HIT}>,diagnostic_hits:array<{DIAGNOSTIC_HIT}>>")
-    def run(parts: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
-        compiled = _evidence(taxonomy)
+    Columns beyond the names are normalised and not searched.
+    """
+    compiled = _evidence(taxonomy)
+    for rows in runs(columns):
+        hits, notes, plain = [], [], []
+        for i, column in enumerate(columns):
+            values = [normalized(v) for v in column[rows].to_pylist()]
+            if i >= len(names):
+                plain.append(values)
+                continue
+            texts = Texts(values)
+            hits.append(compiled.keyword_hits(texts, names[i]))
+            notes.append(compiled.diagnostic_hits(texts, names[i]))
+        parts = [[sum(x, []) for x in zip(*hits)], [sum(x, []) for x in zip(*notes)], *[[list(x) for x in zip(*plain)]] * bool(plain)]
+        yield pa.StructArray.from_arrays([pa.array(p, f.type) for p, f in zip(parts, kind)], fields=list(kind))
+
+
+def evidence(fields: dict[str, Column], taxonomy: Taxonomy, plain: Iterable[Column] = ()) -> Column:
+    """Struct of `keyword_hits` and `diagnostic_hits` over several text fields, in their order.
+
+    With `plain` also `normalized`, an array of those columns as `normalize_text` has them: each such function by itself would
+    have a Python worker of its own beside this one.
+    """
+    names, plain = list(fields), list(plain)
+    ddl = f"struct<keyword_hits:array<{KEYWORD_HIT}>,diagnostic_hits:array<{DIAGNOSTIC_HIT}>{',normalized:array<string>' * bool(plain)}>"
+    kind = to_arrow_type(DataType.fromDDL(ddl))
+
+    @F.arrow_udf(ddl)
+    def run(parts: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
         for part in parts:
-            columns = [part] if isinstance(part, pd.Series) else list(part)  # a single field comes bare
-            for rows in runs(columns):
-                hits, notes = [], []
-                for name, column in zip(names, columns):
-                    texts = Texts([normalized(v) for v in column.iloc[rows]])
-                    hits.append(compiled.keyword_hits(texts, name))
-                    notes.append(compiled.diagnostic_hits(texts, name))
-                yield pd.DataFrame({"keyword_hits": [sum(x, []) for x in zip(*hits)], "diagnostic_hits": [sum(x, []) for x in zip(*notes)]})
-
-    return run(*[F.coalesce(c.cast("string"), F.lit("")) for c in fields.values()])
+            yield from found([part] if isinstance(part, pa.Array) else list(part), names, taxonomy, kind)  # a single field comes bare
+
+    return run(*[F.coalesce(c.cast("string"), F.lit("")) for c in [*fields.values(), *plain]])
 
 
 def alternation(keywords: Iterable[str]) -> str:

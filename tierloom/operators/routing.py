@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import normalize_text
 from ..sources.records import patent_id
 from ..sources.taxonomy import TIERS, Taxonomy
 from .matching import evidence
@@ -27,9 +26,14 @@ def highest_tier(tiers: Column) -> Column:
 
 def route_keywords(records: DataFrame, taxonomy: Taxonomy, fields: dict[str, str] | None = None) -> DataFrame:
     """`records` with keyword_hits, diagnostic_hits and keyword_level. Abstract and claim are read, each for itself; titles and codes are not."""
+    return _routed(records, taxonomy, fields).drop("_e")
+
+
+def _routed(records: DataFrame, taxonomy: Taxonomy, fields: dict[str, str] | None = None, plain: tuple[str, ...] = ()) -> DataFrame:
+    """`route_keywords` with the evidence struct `_e`, which has the plain columns normalised."""
     fields = fields or {"abstract": "abstract", "claim": "claim"}
-    found = records.withColumn("_e", evidence({n: F.col(c) for n, c in fields.items()}, taxonomy))
-    found = found.select(*records.columns, "_e.keyword_hits", "_e.diagnostic_hits")
+    found = records.withColumn("_e", evidence({n: F.col(c) for n, c in fields.items()}, taxonomy, map(F.col, plain)))
+    found = found.select(*records.columns, "_e.keyword_hits", "_e.diagnostic_hits", "_e")
     return found.withColumn("keyword_level", highest_tier(F.col("keyword_hits.tier")))
 
 
@@ -88,8 +92,8 @@ def ipc_hits(taxonomy: Taxonomy, codes: Column) -> Column:
 
 def route(records: DataFrame, taxonomy: Taxonomy) -> DataFrame:
     """Keyword routing plus classification codes: ipc_hits, normalized_ipc, ipc_level, and route_level, the higher of both."""
-    codes = symbols(normalize_text(F.col("ipc")), normalize_text(F.col("main_ipc")))
-    routed = route_keywords(records, taxonomy).withColumn("_codes", codes)
+    routed = _routed(records, taxonomy, plain=("ipc", "main_ipc"))
+    routed = routed.withColumn("_codes", symbols(*[F.get("_e.normalized", F.lit(i)) for i in range(2)])).drop("_e")
     routed = routed.withColumns({"ipc_hits": ipc_hits(taxonomy, F.col("_codes")), "normalized_ipc": F.transform("_codes", symbol_text)}).drop("_codes")
     routed = routed.withColumn("ipc_level", highest_tier(F.col("ipc_hits.tier")))
     return routed.withColumn("route_level", tier_of(F.greatest(rank(F.col("keyword_level")), rank(F.col("ipc_level")))))
