@@ -230,6 +230,18 @@ def test_keywords_and_codes_share_a_python_worker(spark):
     assert routed.select("normalized_ipc", "route_level").first() == (["G06F 21/60"], "S") and routed.columns == [*df.columns, "keyword_hits", "diagnostic_hits", "keyword_level", "ipc_hits", "normalized_ipc", "ipc_level", "route_level"]
 
 
+def workers(df):
+    """Python steps of the plan, of which each has a worker in every task."""
+    return df._jdf.queryExecution().executedPlan().toString().count("EvalPython")
+
+
+def test_exploded_hits_are_found_once(spark):
+    rows = [(0, "", "数据的加密", "加密", "", ""), (1, "", "甲", "", "", ""), (2, "", "隐私安全", "", "", "")]
+    hits = matching.exploded_hits(routing.route_keywords(spark.createDataFrame(rows, FIELDS), TAXONOMY), ["id"])
+    assert workers(hits) == 1
+    assert sorted((r.id, r.hit_number, r.keyword, r.field) for r in hits.collect()) == [(0, 0, "加密", "abstract"), (0, 1, "加密", "claim"), (2, 0, "隐私安全", "abstract")]
+
+
 def test_step1_rows_and_statistics(spark):
     names = ["application_number", "publication_number", "grant_number", "application_year", "stock_code", "company_name", "industry", "market"]
     rows = [(str(i), "2020", i + 2, "t", a, "", "", "") for i, a in enumerate(["数据安全。", "隐私安全", "加密数据", "方法", ""])]

@@ -300,5 +300,9 @@ def scope(text: Column, start: Column, end: Column, window: int) -> Column:
 
 
 def exploded_hits(routed: DataFrame, keep: list[str]) -> DataFrame:
-    """A row for each keyword hit."""
-    return routed.select(*keep, F.posexplode("keyword_hits").alias("hit_number", "hit")).select(*keep, "hit_number", "hit.*")
+    """A row for each keyword hit.
+
+    A plain explode would have the optimizer ask for rows with hits beneath it, that is, find the evidence twice, in two Python workers.
+    """
+    hits = routed.select(*keep, F.posexplode_outer("keyword_hits").alias("hit_number", "hit"))
+    return hits.where("hit_number is not null").select(*keep, "hit_number", "hit.*")
