@@ -242,6 +242,14 @@ def test_exploded_hits_are_found_once(spark):
     assert sorted((r.id, r.hit_number, r.keyword, r.field) for r in hits.collect()) == [(0, 0, "加密", "abstract"), (0, 1, "加密", "claim"), (2, 0, "隐私安全", "abstract")]
 
 
+def test_context_hits_are_found_once(spark, tmp_path):
+    rows = [(1, "Under a license version 2, under."), (2, "license"), (3, "nothing"), (4, None)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = QUERIES["context_hits"](spark, str(tmp_path))
+    assert workers(found) == 1
+    assert sorted(map(tuple, found.collect())) == [(1, "window", "A", 1, 16, 1), (1, "window", "B", 2, 0, 3)]
+
+
 def test_step1_rows_and_statistics(spark):
     names = ["application_number", "publication_number", "grant_number", "application_year", "stock_code", "company_name", "industry", "market"]
     rows = [(str(i), "2020", i + 2, "t", a, "", "", "") for i, a in enumerate(["数据安全。", "隐私安全", "加密数据", "方法", ""])]

@@ -216,7 +216,7 @@ select doc_id, mode as context_scope, context_id, count(*) as hits, cast(min(sta
 def context_hits(spark, sf_dir):
     """Context words around the first hit of a term: how many, where the first is, how near the nearest."""
     docs = table(spark, sf_dir, "documents").select("doc_id", matching.evidence({"text": F.col("text")}, one_term()).alias("e"))
-    found = docs.select("doc_id", F.explode("e.keyword_hits").alias("h")).select("doc_id", "h.context_scope", F.explode("h.context_hits").alias("c"))
+    found = matching.exploded_hits(docs.select("doc_id", "e.keyword_hits"), ["doc_id"]).select("doc_id", "context_scope", F.explode("context_hits").alias("c"))
     return found.groupBy("doc_id", "context_scope", "c.context_id").agg(F.count("*").alias("hits"), F.min("c.start").alias("first_start"), F.min("c.distance").alias("least_distance"))
 
 
